@@ -32,6 +32,16 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def settled(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """df's columns in keep and the given ones, each worked out once for a row.
+
+    Neighbouring projections are merged by the optimizer, which would work an array
+    out anew for each element of a lambda that looks it up; a generator of one row
+    stands between them.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def once(key: str, make):
     """make(), at most once in each Python worker for each key."""
     if key not in _LOADED:

@@ -146,7 +146,7 @@ def hit_words(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text
 
     def passed(block: list[tuple[str, str]], number: int, alone: bool) -> DataFrame:
         sent = spark.sparkContext.broadcast(block)
-        key = f"decontamination {sent.id} {number} {hashlib.sha256(repr(block).encode()).hexdigest()}"
+        key = f"decontamination {number} {hashlib.sha256(repr(block).encode()).hexdigest()}"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = once(key, lambda: Index(sent.value))

@@ -9,10 +9,13 @@ the verdict goes back to their documents.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.llm.common import checkpoint, text_of
+from reelspark.llm.common import checkpoint, settled, text_of
 
 RUN = 8
 MIN_WORDS = 20
@@ -25,26 +28,28 @@ _BLANKS = " \t\n\x0b\x0c\r"
 _BLANK_CLASS = r"[\x20\x09-\x0D]+"
 
 
-def _repeated_words(words: Column) -> Column:
-    """Words in runs of RUN words that the text has twice or more."""
-    codes = F.transform(words, lambda w: F.xxhash64(w))
-    starts = F.sequence(F.lit(1), F.size(words) - RUN + 1)
-    runs = F.transform(starts, lambda i: F.xxhash64(F.slice(codes, i, RUN)))
-    return F.when(F.size(words) >= RUN, runs).otherwise(F.array().cast("array<bigint>"))
+def _empty(kind: str) -> Column:
+    return F.expr(f"cast(array() as array<{kind}>)")
 
 
-def _covered(words: Column, runs: Column) -> Column:
-    """Words under the runs that are found twice or more, compared as words."""
-    # equal runs stand side by side; within them, by place
-    placed = F.array_sort(F.transform(runs, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+def _repeat_words(df: DataFrame, keep: list[str]) -> DataFrame:
+    """df's columns in keep and n_repeat_words: words of _words in runs of RUN words that it has twice or more."""
+    enough = F.size("_words") >= RUN
+    starts = F.when(enough, F.sequence(F.lit(0), F.size("_words") - RUN)).otherwise(_empty("int"))
+    df = settled(df, [*keep, "_words"], _codes=F.when(enough, F.transform("_words", lambda w: F.xxhash64(w))).otherwise(_empty("bigint")), _starts=starts)
+    df = settled(df, [*keep, "_words"], _runs=F.transform("_starts", lambda i: F.xxhash64(*[F.get("_codes", i + j) for j in range(RUN)])))
+    # most texts repeat no run, which costs one look; in the others, equal runs come to stand side by side
+    placed = F.array_sort(F.transform("_runs", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    df = settled(df, [*keep, "_words"], _placed=F.when(F.size(F.array_distinct("_runs")) < F.size("_runs"), placed).otherwise(_empty("struct<h:bigint,i:int>")))
 
-    def again(x: Column, k: Column, step: int) -> Column:
-        other = F.get(placed, k + step)
-        return (other["h"] == x["h"]) & (F.slice(words, other["i"] + 1, RUN) == F.slice(words, x["i"] + 1, RUN))
+    def same(x: Column, other: Column) -> Column:
+        words = [F.get("_words", x["i"] + j) == F.get("_words", other["i"] + j) for j in range(RUN)]
+        return F.coalesce((x["h"] == other["h"]) & reduce(and_, words), F.lit(False))
 
-    places = F.array_sort(F.transform(F.filter(placed, lambda x, k: F.coalesce(again(x, k, -1), F.lit(False)) | F.coalesce(again(x, k, 1), F.lit(False))), lambda x: x["i"]))
-    gaps = F.transform(places, lambda p, k: F.least(F.lit(RUN), F.coalesce(F.get(places, k + 1) - p, F.lit(RUN))))
-    return F.aggregate(gaps, F.lit(0).cast("long"), lambda n, x: n + x)
+    again = F.filter("_placed", lambda x, k: same(x, F.get("_placed", k - 1)) | same(x, F.get("_placed", k + 1)))
+    df = settled(df, keep, _places=F.array_sort(F.transform(again, lambda x: x["i"])))
+    covered = F.transform("_places", lambda p, k: F.least(F.lit(RUN), F.coalesce(F.get("_places", k + 1) - p, F.lit(RUN))))
+    return df.select(*keep, F.aggregate(covered, F.lit(0).cast("long"), lambda n, x: n + x).alias("n_repeat_words"))
 
 
 def document_statistics(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
@@ -54,20 +59,18 @@ def document_statistics(df: DataFrame, *, id_col: str = "doc_id", text_col: str
     null; other columns are not read; an empty df gives an empty result.
     """
     source = df.select(df[id_col].alias("_id"), df[host_col].cast("string").alias("_host"), text_of(text_col).alias("_t"))
-    lined = F.filter(F.split("_t", "\n"), lambda x: F.translate(x, _BLANKS, "") != "")
-    split = source.select(
-        "*", F.filter(F.split("_t", _BLANK_CLASS), lambda w: w != "").alias("_words"), lined.alias("_lines"),
+    split = settled(
+        source, ["_id", "_host", "_t"],
+        _words=F.filter(F.split("_t", _BLANK_CLASS), lambda w: w != ""),
+        _lines=F.filter(F.split("_t", "\n"), lambda x: F.translate(x, _BLANKS, "") != ""),
     )
     counted = split.select(
-        "_id", "_host", "_words", _repeated_words(F.col("_words")).alias("_runs"),
-        F.size("_words").cast("long").alias("n_words"),
+        "_id", "_host", "_words", F.size("_words").cast("long").alias("n_words"),
         F.length(F.translate("_t", _BLANKS, "")).cast("long").alias("word_chars"),
         (F.length("_t") - F.length(F.translate("_t", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
     )
-    # most texts repeat no run, which costs one look
-    repeated = F.when(F.size(F.array_distinct("_runs")) == F.size("_runs"), F.lit(0).cast("long")).otherwise(_covered(F.col("_words"), F.col("_runs")))
-    done = counted.select(F.col("_id").alias(id_col), "_host", "n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words"))
+    done = _repeat_words(counted, ["_id", "_host", "n_words", "word_chars", "n_symbols", "n_dup_lines"]).withColumnRenamed("_id", id_col)
     return done.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")))
 
 
