@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import byte_bpe, chat_format, decontamination, quality_rules, simhash, token_counts
+from reelspark.llm import byte_bpe, chat_format, decontamination, quality_rules, simhash, substring_dedup, token_counts
 from reelspark.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(chat_format.canonical_turns(rows)))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
 
@@ -100,5 +104,5 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit
 FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN items ON items.r = d.r
 """
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_chat_format, op6_quality_rules, op9_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_chat_format, op5_substring_dedup, op6_quality_rules, op9_simhash, op10_decontamination)}
 ORACLES: dict[str, str] = {"op6_quality_rules": _OP6, "op10_decontamination": _OP10}
