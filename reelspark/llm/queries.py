@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelspark.llm import byte_bpe, chat_format, decontamination, quality_rules, simhash, substring_dedup, token_counts
+from reelspark.llm import byte_bpe, chat_format, decontamination, language_id, quality_rules, simhash, substring_dedup, token_counts
 from reelspark.llm.common import table
 
 
@@ -32,6 +33,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
 
 
+def _held_out() -> Column:
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(~_held_out()))
+    return language_id.identify(docs, model).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -104,5 +115,5 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit
 FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN items ON items.r = d.r
 """
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_chat_format, op5_substring_dedup, op6_quality_rules, op9_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_chat_format, op5_substring_dedup, op6_quality_rules, op8_language_id, op9_simhash, op10_decontamination)}
 ORACLES: dict[str, str] = {"op6_quality_rules": _OP6, "op10_decontamination": _OP10}
