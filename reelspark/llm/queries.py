@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import byte_bpe, chat_format, decontamination, language_id, quality_rules, simhash, substring_dedup, token_counts
+from reelspark.llm import byte_bpe, chat_format, decontamination, language_id, pii, quality_rules, simhash, substring_dedup, token_counts
 from reelspark.llm.common import table
 
 
@@ -25,6 +25,15 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(chat_format.canonical_turns(rows)))
 
 
+#: Stands for a secret that a real run takes from its environment.
+PII_KEY = "a key for tests"
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, PII_KEY)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(substring_dedup.remove_repeats(table(spark, sf_dir, "documents")))
 
@@ -115,5 +124,5 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit
 FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN items ON items.r = d.r
 """
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_chat_format, op5_substring_dedup, op6_quality_rules, op8_language_id, op9_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_chat_format, op4_pii, op5_substring_dedup, op6_quality_rules, op8_language_id, op9_simhash, op10_decontamination)}
 ORACLES: dict[str, str] = {"op6_quality_rules": _OP6, "op10_decontamination": _OP10}
