@@ -35,6 +35,7 @@ SYLLABLES = {
     "cyrillic": "ба бе би бо да де ди до фа фе га го ха хе жа жо ка ке ки ко ла ле ли ло ма ме ми мо на не ни но па пе пи по ра ре ри ро са се си со та те ти то ва ве ви во ша ше за зе зи зо бра дре фри гро кла пле сто три".split(),
 }
 
+SECRET_NAMES = "password|passwd|pwd|passphrase|secret|token|api_key|apikey|api-key"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
 #: Type and pattern, the first that matches at a place counts.
@@ -47,18 +48,19 @@ PATTERNS = {
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "access_key": r"(?<!\w)A[KS]IA[A-Z0-9]{16}(?!\w)",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])",
+    "credential": rf"(?<=(?i:{SECRET_NAMES})[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[A-Za-z0-9_+/.-]{{6,128}}",
     "name": rf"(?<!\w)(?:{MALE}|{FEMALE}|{MALE_CYRILLIC}|{FEMALE_CYRILLIC})\.?[ ]{_NAME}(?:[ ]{_NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts without any of these have no entity; one look spares them the long pattern.
-MAYBE = rf"@|\d\D{{0,3}}\d\D{{0,3}}\d|[0-9A-Fa-f]{{32}}|(?:{MALE}|{FEMALE}|{MALE_CYRILLIC}|{FEMALE_CYRILLIC})\.? \p{{Lu}}"
+MAYBE = rf"@|\d\D{{0,3}}\d\D{{0,3}}\d|[0-9A-Fa-f]{{32}}|(?i:{SECRET_NAMES}) {{0,2}}[=:]|(?:{MALE}|{FEMALE}|{MALE_CYRILLIC}|{FEMALE_CYRILLIC})\.? \p{{Lu}}"
 
 
 def _kind(found: Column) -> Column:
     out = F.lit(None)
     for kind, pattern in reversed(PATTERNS.items()):
         out = F.when(found.rlike(rf"^(?:{pattern})$"), F.lit(kind)).otherwise(out)
-    return F.coalesce(out, F.lit("secret"))
+    return F.coalesce(out, F.lit("credential"))  # its pattern looks at what stands before
 
 
 def _canon(kind: Column, found: Column) -> Column:
@@ -164,6 +166,7 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column, form: Colu
         .when(kind == "card", _checked(_filled(form, drawn, F.lit(1))))
         .when(kind == "ssn", _filled(F.concat(F.lit("9"), F.substring(form, 2, 10)), drawn, F.lit(1)))
         .when(kind == "access_key", F.concat(F.substring(form, 1, 4), _lettered(F.substring(form, 5, 16), drawn)))
+        .when(kind == "credential", _lettered(form, drawn))
         .when(kind == "name", _named(form, drawn, attempt))
         .otherwise(_hex_for(form, drawn))
     )

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import byte_bpe, chat_format, decontamination, language_id, pii, quality_rules, simhash, substring_dedup, token_counts
+from reelspark.llm import byte_bpe, chat_format, decontamination, language_id, pii, quality_rules, sentence_dedup, simhash, substring_dedup, token_counts
 from reelspark.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def _held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
 
@@ -124,5 +128,5 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit
 FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN items ON items.r = d.r
 """
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_chat_format, op4_pii, op5_substring_dedup, op6_quality_rules, op8_language_id, op9_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_chat_format, op4_pii, op5_substring_dedup, op6_quality_rules, op7_sentence_dedup, op8_language_id, op9_simhash, op10_decontamination)}
 ORACLES: dict[str, str] = {"op6_quality_rules": _OP6, "op10_decontamination": _OP10}
