@@ -247,21 +247,26 @@ def decode(df: DataFrame, ranks: str, *, id_col: str = "doc_id", ids_col: str =
     return df.select(df[id_col].alias("_id"), df[ids_col].alias("_ids")).mapInArrow(run, f"`{id_col}` {kind}, decoded binary")
 
 
-def round_trip_digests(df: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_tokens, ids_sha256, decoded_sha256): encode, then decode the ids, with digests in place of both.
+def round_trip_digests(df: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """(id_col, n_tokens, ids_sha256, decoded_sha256): encode, then decode the ids, with digests of both.
 
-    Rows and edge cases as in encode(). Ids never leave the worker, so that a corpus
-    of many tokens takes no more memory than its texts.
+    Rows and edge cases as in encode(). Ids don't leave the worker unless with_ids adds
+    them, so that a corpus of many tokens takes no more memory than its texts.
     """
 
     def rows_of(codec: Codec, rows: pa.RecordBatch) -> pa.RecordBatch:
-        counts, ids_hex, decoded_hex = [], [], []
+        counts, ids_hex, decoded_hex, lists = [], [], [], []
         for pieces in codec.split(rows.column(1).to_pylist()):
             found = codec.merged_pieces(pieces)
             ids = [*chain.from_iterable([x[0] for x in found])]
             counts.append(len(ids))
             ids_hex.append(hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest())
             decoded_hex.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-        return pa.record_batch([rows.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(decoded_hex, pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return _mapped(df, ranks, id_col, text_col, "n_tokens long, ids_sha256 string, decoded_sha256 string", rows_of)
+            if with_ids:
+                lists.append(np.array(ids, np.int32))
+        columns = [rows.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(decoded_hex, pa.string())]
+        names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
+        return pa.record_batch([*columns, pa.array(lists, pa.list_(pa.int32()))] if with_ids else columns, [*names, "ids"] if with_ids else names)
+
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return _mapped(df, ranks, id_col, text_col, schema, rows_of)
