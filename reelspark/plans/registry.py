@@ -1,4 +1,457 @@
-"""Named queries over the driver's tables and their SQL counterparts."""
+"""Named queries over the driver's tables, one for each family of operators, and their SQL.
+
+The tables hold no clips; columns of theirs stand in for a clip's. Each pair of
+functions below builds the stand-in once in Spark and once in SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reelspark.functions import fixed_values as V
+from reelspark.functions import parsing, perceptual, relevance
+from reelspark.functions.taxonomy import KITCHEN, WAREHOUSE
+from reelspark.operators import labelling, manifest, near_duplicates, report, validation
+from reelspark.sources import records
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+#: A lexicon of syllables that the synthetic documents do have; the spec's actions get words of it as well.
+SYLLABLES = relevance.Lexicon(
+    environments={"industrial_warehouse": ("here", "tion", "ing", "der"), "residential_kitchen": ("queai", "stä"), "office": ("ciónque", "ungen")},
+    subjects=("eau", "que", "und", "sch"),
+    actions={"reach": ("mente",), "grasp": ("los",), "lift": ("arm", "pour"), "place": ("ción",)},
+    negatives=("license", "game"),
+)
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Relevance
+
+
+def _quoted(word: str) -> str:
+    return "'" + word.replace("'", "''") + "'"
+
+
+def _sql_hits(words, text: str = "t") -> str:
+    return " + ".join(f"contains({text}, {_quoted(w)})::INT" for w in words) or "0"
+
+
+def _sql_any(words, text: str = "t") -> str:
+    return " OR ".join(f"contains({text}, {_quoted(w)})" for w in words) or "false"
+
+
+def _sql_scored(spec, lexicon: relevance.Lexicon, source: str) -> str:
+    """source (with t) and env, subject, actions, negative, score, scenario, env_context."""
+    env = [w for e in spec.environments for w in lexicon.environments.get(e, ())]
+    found = ", ".join(f"CASE WHEN {_sql_any(lexicon.actions.get(a, ()))} THEN '{a}' END" for a in spec.actions)
+    places = " ".join(f"WHEN {_sql_any(lexicon.environments[e])} THEN '{e}'" for e in V.ENV_TYPES if lexicon.environments.get(e))
+    return f"""
+      SELECT *, least(env, 3) * 2.0::DOUBLE + least(subject, 3) * 1.5::DOUBLE + len(actions) * 1.5::DOUBLE - negative * 3.0::DOUBLE AS score
+      FROM (SELECT *, {_sql_hits(env)} AS env, {_sql_hits(lexicon.subjects)} AS subject, list_filter([{found}], lambda x: x IS NOT NULL) AS actions,
+                   {_sql_hits(lexicon.negatives)} AS negative, CASE WHEN {_sql_any(env)} THEN '{spec.scenario_type}' ELSE 'unknown' END AS scenario,
+                   CASE {places} ELSE 'unknown' END AS env_context
+            FROM ({source}))"""
+
+
+_SQL_DOCUMENTS = "SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents"
+
+
+def _sql_relevance(lexicon) -> str:
+    return f"SELECT doc_id, score, env, subject, len(actions)::INT AS n_actions, negative, array_to_string(actions, ',') AS actions FROM ({_sql_scored(WAREHOUSE, lexicon, _SQL_DOCUMENTS)})"
+
+
+def _relevance(spark, sf_dir, lexicon) -> DataFrame:
+    rows = _table(spark, sf_dir, "documents").select("doc_id", relevance.relevance(F.lower(F.coalesce("text", F.lit(""))), WAREHOUSE, lexicon).alias("r"))
+    return rows.select("doc_id", "r.score", "r.env", "r.subject", F.size("r.actions").alias("n_actions"), "r.negative", F.array_join("r.actions", ",").alias("actions"))
+
+
+@query(_sql_relevance(relevance.Lexicon()))
+def relevance_score_default(spark, sf_dir):
+    return _relevance(spark, sf_dir, relevance.Lexicon())
+
+
+@query(_sql_relevance(SYLLABLES))
+def relevance_score_test(spark, sf_dir):
+    return _relevance(spark, sf_dir, SYLLABLES)
+
+
+@query(f"SELECT doc_id, scenario, env_context FROM ({_sql_scored(WAREHOUSE, SYLLABLES, _SQL_DOCUMENTS)})")
+def derive_env_scenario(spark, sf_dir):
+    text = F.lower(F.coalesce("text", F.lit("")))
+    return _table(spark, sf_dir, "documents").select("doc_id", relevance.scenario_of(text, WAREHOUSE, SYLLABLES).alias("scenario"), relevance.env_of(text, SYLLABLES).alias("env_context"))
+
+
+# Labelling
+
+
+def _videos(spark, sf_dir, platform: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return docs.select(
+        F.col("doc_id").alias("ord"), F.lit("{}").alias("raw"), F.when(F.col("source") == "src7", F.lit("")).otherwise(F.concat(F.lit("https://example.com/"), F.col("source"), F.lit("/"), F.col("n_chars").cast("string"))).alias("source_url"),
+        (F.greatest(F.col("n_chars") - 300, F.lit(0)) * 20).alias("duration_ms"), F.lower(F.coalesce("text", F.lit(""))).alias("text"), F.lit(platform).alias("platform"),
+        F.lit(0.0).alias("fps"), F.lit(0).alias("width"), F.lit(0).alias("height"),
+    )
+
+
+def _sql_windows(duration: str, spec=WAREHOUSE, most: int = 3) -> str:
+    longest, least = spec.max_duration_ms, spec.min_duration_ms
+    return f"list_filter(list_transform(range(0, least({most}, ceil({duration} / {longest}.0))::BIGINT), lambda i: {{'s': i * {longest}, 'e': least((i + 1) * {longest}, {duration})}}), lambda x: x.e - x.s >= {least})"
+
+
+def _sql_judged(platform: str) -> str:
+    source = """SELECT doc_id AS ord, CASE WHEN source = 'src7' THEN '' ELSE 'https://example.com/' || source || '/' || n_chars END AS source_url,
+                       greatest(n_chars - 300, 0) * 20 AS duration_ms, lower(coalesce(text, '')) AS t FROM documents"""
+    whole = f"CASE WHEN duration_ms >= {WAREHOUSE.min_duration_ms} THEN [{{'s': 0::BIGINT, 'e': duration_ms}}] ELSE [] END"
+    return f"""
+      SELECT *, CASE WHEN source_url = '' THEN 'no_url' WHEN duration_ms <= 0 THEN 'no_duration' WHEN score < 4 THEN 'low_score'
+                     WHEN scenario = 'unknown' AND env_context = 'unknown' THEN 'no_env' WHEN len(windows) = 0 THEN 'no_window' END AS reason
+      FROM (SELECT *, {whole if platform == "tiktok" else _sql_windows("duration_ms")} AS windows FROM ({_sql_scored(WAREHOUSE, SYLLABLES, source)}))"""
+
+
+@query(f"SELECT reason, count(*) AS n FROM ({_sql_judged('youtube')}) WHERE reason IS NOT NULL GROUP BY reason")
+def label_reject_histogram(spark, sf_dir):
+    return labelling.rejects(labelling.judged(_videos(spark, sf_dir, "youtube"), WAREHOUSE, lexicon=SYLLABLES))
+
+
+def _sql_clips(platform: str, order: int) -> str:
+    boundary = "whole_video" if platform == "tiktok" else "fixed_window"
+    return f"""SELECT {order} AS platform_order, ord, win - 1 AS win, scenario AS scenario_type, CASE WHEN env_context = 'unknown' THEN 'industrial_warehouse' ELSE env_context END AS env_context,
+      array_to_string(actions, ',') AS actions, windows[win].s AS start_ms, windows[win].e AS end_ms, 30.0::DOUBLE AS fps, source_url, '{boundary}' AS boundary, score
+      FROM (SELECT *, unnest(range(1, len(windows) + 1)) AS win FROM ({_sql_judged(platform)}) WHERE reason IS NULL)"""
+
+
+def _clips(spark, sf_dir, platform: str, order: int) -> DataFrame:
+    found = labelling.clips(labelling.judged(_videos(spark, sf_dir, platform), WAREHOUSE, lexicon=SYLLABLES), WAREHOUSE)
+    return found.select(
+        F.lit(order).alias("platform_order"), "ord", F.col("win").cast("long").alias("win"), "scenario_type", "env_context", F.array_join("actions", ",").alias("actions"), "start_ms", "end_ms", "fps",
+        "source_url", F.col("_clip_boundary").alias("boundary"), F.col("_relevance_score").alias("score"),
+    )
+
+
+@query(_sql_clips("youtube", 0))
+def label_clips(spark, sf_dir):
+    return _clips(spark, sf_dir, "youtube", 0)
+
+
+_SQL_BOTH = f"SELECT * FROM ({_sql_clips('youtube', 0)}) UNION ALL SELECT * FROM ({_sql_clips('tiktok', 1)})"
+
+
+@query(f"SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY platform_order, ord, win) AS k FROM ({_SQL_BOTH})) WHERE k = 1 ORDER BY platform_order, ord, win LIMIT 60")
+def discovery_candidates(spark, sf_dir):
+    both = _clips(spark, sf_dir, "youtube", 0).unionByName(_clips(spark, sf_dir, "tiktok", 1))
+    return labelling.first_per_url(both, "source_url", "platform_order", "ord", "win").orderBy("platform_order", "ord", "win").limit(60)
+
+
+def _seconds(spark, sf_dir) -> DataFrame:
+    return _table(spark, sf_dir, "events").select("event_id", (F.col("value") * 1000).cast("long").alias("ms"))
+
+
+def _windowed(spark, sf_dir, platform: str) -> DataFrame:
+    return _seconds(spark, sf_dir).select("event_id", F.explode(labelling.windows(F.col("ms"), F.lit(platform), WAREHOUSE)).alias("w")).select("event_id", "w.start_ms", "w.end_ms")
+
+
+_SQL_SECONDS = "SELECT event_id, trunc(value * 1000)::BIGINT AS ms FROM events"
+
+
+@query(f"SELECT event_id, w.s AS start_ms, w.e AS end_ms FROM (SELECT event_id, unnest({_sql_windows('ms')}) AS w FROM ({_SQL_SECONDS}))")
+def segment_windows(spark, sf_dir):
+    return _windowed(spark, sf_dir, "youtube")
+
+
+@query(f"SELECT event_id, 0::BIGINT AS start_ms, ms AS end_ms FROM ({_SQL_SECONDS}) WHERE ms >= {WAREHOUSE.min_duration_ms}")
+def segment_windows_whole(spark, sf_dir):
+    return _windowed(spark, sf_dir, "tiktok")
+
+
+# Adapters and scalar readers
+
+
+@query("""
+SELECT doc_id AS ord, 'https://example.com/' || source AS source_url, n_chars * 1000 AS duration_ms,
+       lower(concat_ws(' ', nullif(lang, ''), nullif(trim(text, chr(10) || ' '), ''), source || ' ' || lang)) AS text, 1280 AS width, 720 AS height, 29.97::DOUBLE AS fps
+FROM documents""")
+def adapt_youtube(spark, sf_dir):
+    raw = F.to_json(F.struct(
+        F.lit("").alias("url"), F.concat(F.lit("https://example.com/"), F.col("source")).alias("link"), F.col("n_chars").alias("video_length"), F.col("lang").alias("title"), F.col("text").alias("description"),
+        F.array("source", F.lit(""), "lang").alias("tags"), F.lit("720p").alias("current_optimal_res"), F.lit("29.97").alias("fps")))
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), raw.alias("raw"))
+    return labelling.adapt(docs, "youtube").select("ord", "source_url", "duration_ms", "text", "width", "height", "fps")
+
+
+@query("""
+SELECT doc_id AS ord, 'https://example.com/' || source AS source_url, n_chars * 60000 AS duration_ms, lower(concat_ws(' ', nullif(trim(text, chr(10) || ' '), ''), lang)) AS text, 0 AS width, 0 AS height, 0::DOUBLE AS fps
+FROM documents""")
+def adapt_tiktok(spark, sf_dir):
+    raw = F.to_json(F.struct(
+        F.concat(F.lit("https://example.com/"), F.col("source")).alias("网址"), F.concat(F.col("n_chars").cast("string"), F.lit(":00")).alias("时长"), F.col("text").alias("caption"), F.array("lang").alias("hashtags"), F.lit("title").alias("title")))
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), raw.alias("raw"))
+    return labelling.adapt(docs, "tiktok").select("ord", "source_url", "duration_ms", "text", "width", "height", "fps")
+
+
+def _clock(spark, sf_dir) -> DataFrame:
+    total = F.floor("value").cast("long")
+    parts = F.concat_ws(":", F.floor(total / 3600).cast("string"), (F.floor(total / 60) % 60).cast("string"), (total % 60).cast("string"))
+    form = F.when(F.col("event_type") == "view", parts).when(F.col("event_type") == "click", F.concat(F.lit(" "), F.col("value").cast("decimal(12,2)").cast("string"), F.lit(" "))).when(F.col("event_type") == "error", F.lit("1::2")).otherwise(F.concat_ws(":", F.floor(total / 60).cast("string"), (total % 60).cast("string")))
+    return _table(spark, sf_dir, "events").select("event_id", form.alias("form"))
+
+
+@query("""
+SELECT event_id, CASE event_type WHEN 'error' THEN 0 WHEN 'click' THEN trunc(value::DECIMAL(12,2)::DOUBLE * 1000) ELSE floor(value) * 1000 END::BIGINT AS ms FROM events""")
+def parse_duration(spark, sf_dir):
+    return _clock(spark, sf_dir).select("event_id", parsing.duration_ms(F.col("form")).alias("ms"))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_size % 3 = 0 AND p_size * 30 >= 100 AND p_size * 40 >= 100 THEN p_size * 40 WHEN p_size % 3 = 0 AND p_size * 40 >= 100 THEN floor(p_size * 40 * 16 / 9.0::DOUBLE / 2)::INT * 2
+                       WHEN p_size % 3 <> 0 AND p_size * 25 >= 100 THEN floor(p_size * 25 * 16.0::DOUBLE / 9 / 2)::INT * 2 ELSE 0 END::INT AS width,
+       CASE WHEN p_size % 3 = 0 AND p_size * 30 >= 100 AND p_size * 40 >= 100 THEN p_size * 30 WHEN p_size % 3 = 0 AND p_size * 40 >= 100 THEN p_size * 40
+            WHEN p_size % 3 <> 0 AND p_size * 25 >= 100 THEN p_size * 25 ELSE 0 END::INT AS height
+FROM part""")
+def parse_resolution(spark, sf_dir):
+    size = F.col("p_size").cast("long")
+    form = F.when(size % 3 == 0, F.concat((size * 40).cast("string"), F.lit(" × "), (size * 30).cast("string"))).otherwise(F.concat((size * 25).cast("string"), F.lit("P")))
+    return _table(spark, sf_dir, "part").select("p_partkey", parsing.resolution(form).alias("r")).select("p_partkey", "r.width", "r.height")
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 0.0 ELSE p_size * 1000.0::DOUBLE / (p_size % 5) END::DOUBLE AS rate, CASE WHEN p_brand LIKE '%1' THEN 0.0 ELSE p_size / 2.0::DOUBLE END::DOUBLE AS declared FROM part""")
+def parse_fps(spark, sf_dir):
+    size = F.col("p_size")
+    pair = F.concat_ws("/", (size * 1000).cast("string"), (size % 5).cast("string"))
+    told = F.when(F.col("p_brand").endswith("1"), F.lit("fast")).otherwise((size / 2).cast("string"))
+    return _table(spark, sf_dir, "part").select("p_partkey", parsing.rate(pair).alias("rate"), parsing.declared_fps(told).alias("declared"))
+
+
+@query("SELECT page_id, regexp_matches(url, '^(?i)https?://[^/?#]+') AS is_url, regexp_matches(replace(url, 'http', 'ftp'), '^(?i)https?://[^/?#]+') AS other FROM pages")
+def url_check(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", parsing.is_url(F.col("url")).alias("is_url"), parsing.is_url(F.replace("url", F.lit("http"), F.lit("ftp"))).alias("other"))
+
+
+# Validation
+
+
+def _record_columns() -> dict[str, Column]:
+    kind, user = F.col("event_type"), F.col("user_id")
+    return {
+        "scenario_type": F.when(kind == "error", F.lit("other")).otherwise(F.lit(WAREHOUSE.scenario_type)),
+        "env_context": F.when(user < 5, F.lit("moon")).when(user < 8, F.lit("")).otherwise(F.lit("office")),
+        "camera_pov": F.when(kind == "view", F.lit("third_person")).when(kind == "click", F.lit("wrist_mounted")).when(kind == "error", F.lit("sideways")).otherwise(F.lit("overhead")),
+        "actions": F.when(user < 50, F.array(*map(F.lit, WAREHOUSE.actions))).when(user < 90, F.array(F.lit("grasp"), F.lit("place"))).when(user < 120, F.array(F.lit("grasp"), F.lit("fly"), F.lit("fly"))).otherwise(F.expr("cast(array() as array<string>)")),
+        "start_ms": F.col("event_id"), "end_ms": F.col("event_id") + (F.col("value") * 1000).cast("long") - 100, "fps": user.cast("double"),
+        "source_url": F.concat(F.lit("https://example.com/"), user.cast("string")),
+    }
+
+
+_SQL_RECORDS = f"""
+  SELECT event_id AS ord, CASE WHEN event_type = 'error' THEN 'other' ELSE '{WAREHOUSE.scenario_type}' END AS scenario_type,
+         CASE WHEN user_id < 5 THEN 'moon' WHEN user_id < 8 THEN '' ELSE 'office' END AS env_context,
+         CASE event_type WHEN 'view' THEN 'third_person' WHEN 'click' THEN 'wrist_mounted' WHEN 'error' THEN 'sideways' ELSE 'overhead' END AS camera_pov,
+         CASE WHEN user_id < 50 THEN ['reach', 'grasp', 'lift', 'place'] WHEN user_id < 90 THEN ['grasp', 'place'] WHEN user_id < 120 THEN ['grasp', 'fly', 'fly'] ELSE [] END AS actions,
+         event_id AS start_ms, event_id + trunc(value * 1000)::BIGINT - 100 AS end_ms, user_id::DOUBLE AS fps, 'https://example.com/' || user_id AS source_url
+  FROM events"""
+
+
+def _sql_checked(relaxed: bool) -> str:
+    spec = WAREHOUSE
+    listed = lambda values: "[" + ", ".join(map(_quoted, values)) + "]"
+    absent = "list_filter([CASE WHEN env_context = '' THEN 'missing_field:env_context' END" + ("" if relaxed else ", CASE WHEN len(actions) = 0 THEN 'missing_field:actions' END") + "], lambda x: x IS NOT NULL)"
+    reasons = [
+        "CASE WHEN end_ms <= start_ms THEN 'invalid_window:end<=start' END",
+        f"CASE WHEN fps < {spec.min_fps} THEN 'fps_too_low:' || fps END",
+        f"CASE WHEN end_ms - start_ms < {spec.min_duration_ms} THEN 'too_short:' || (end_ms - start_ms) || 'ms' END",
+        f"CASE WHEN end_ms - start_ms > {spec.max_duration_ms} THEN 'too_long:' || (end_ms - start_ms) || 'ms' END",
+        f"CASE WHEN scenario_type <> '{spec.scenario_type}' THEN 'scenario_mismatch:' || scenario_type END",
+        f"CASE WHEN NOT list_contains({listed(V.CAMERA_POVS)}, camera_pov) THEN 'unknown_pov:' || camera_pov WHEN NOT list_contains({listed(spec.camera_povs)}, camera_pov) THEN 'pov_out_of_scope:' || camera_pov END",
+        f"CASE WHEN NOT list_contains({listed(V.ENV_TYPES)}, env_context) THEN 'unknown_env:' || env_context END",
+        f"CASE WHEN len(list_filter(actions, lambda a: NOT list_contains({listed(V.ACTION_VOCAB)}, a))) > 0 THEN 'unknown_actions:' || array_to_string(list_filter(actions, lambda a: NOT list_contains({listed(V.ACTION_VOCAB)}, a)), ',') END",
+    ]
+    if not relaxed:
+        lacking = f"list_filter({listed(spec.actions)}, lambda a: NOT list_contains(actions, a))"
+        reasons.append(f"CASE WHEN len({lacking}) > 0 THEN 'incomplete_actions:missing=' || array_to_string({lacking}, ',') END")
+    return f"SELECT *, CASE WHEN len({absent}) > 0 THEN {absent} ELSE list_filter([{', '.join(reasons)}], lambda x: x IS NOT NULL) END AS reasons FROM ({_SQL_RECORDS})"
+
+
+def _checked(spark, sf_dir, relaxed: bool) -> DataFrame:
+    raw = F.to_json(F.struct(*[v.alias(k) for k, v in _record_columns().items()]))
+    return validation.checked(_table(spark, sf_dir, "events").select(F.col("event_id").alias("ord"), raw.alias("raw")), WAREHOUSE, relaxed=relaxed)
+
+
+_SQL_ID = "'clip_' || sha1(source_url || '|' || start_ms || '|' || end_ms)[:16]"
+
+
+def _sql_validated(relaxed: bool) -> str:
+    return f"SELECT ord, len(reasons) = 0 AS ok, array_to_string(reasons, ';') AS reasons, CASE WHEN len(reasons) = 0 THEN {_SQL_ID} END AS clip_id FROM ({_sql_checked(relaxed)})"
+
+
+def _validated(spark, sf_dir, relaxed: bool) -> DataFrame:
+    return _checked(spark, sf_dir, relaxed).select("ord", "ok", F.array_join("reasons", ";").alias("reasons"), "record.clip_id")
+
+
+@query(_sql_validated(False))
+def validate_strict(spark, sf_dir):
+    return _validated(spark, sf_dir, False)
+
+
+@query(_sql_validated(True))
+def validate_relaxed(spark, sf_dir):
+    return _validated(spark, sf_dir, True)
+
+
+def _sql_histogram(relaxed: bool) -> str:
+    return f"SELECT split_part(r, ':', 1) AS reason, count(*) AS n FROM (SELECT unnest(reasons) AS r FROM ({_sql_checked(relaxed)})) GROUP BY 1"
+
+
+@query(_sql_histogram(False))
+def reject_histogram(spark, sf_dir):
+    return validation.histogram(_checked(spark, sf_dir, False))
+
+
+@query(f"SELECT reason, sum(n)::BIGINT AS n FROM (({_sql_histogram(False)}) UNION ALL (SELECT reason, count(*) AS n FROM ({_sql_judged('youtube')}) WHERE reason IS NOT NULL GROUP BY reason)) GROUP BY reason")
+def merged_reasons(spark, sf_dir):
+    both = reject_histogram(spark, sf_dir).unionByName(label_reject_histogram(spark, sf_dir))
+    return both.groupBy("reason").agg(F.sum("n").alias("n"))
+
+
+@query("SELECT page_id, 'clip_' || sha1(url || '|' || page_id || '|' || (page_id + 5000))[:16] AS clip_id FROM pages")
+def clip_id(spark, sf_dir):
+    at = F.col("page_id")
+    return _table(spark, sf_dir, "pages").select("page_id", validation.clip_id(F.col("url"), F.lit(""), at.cast("string"), (at + 5000).cast("string")).alias("clip_id"))
+
+
+_SQL_PROBED = """
+  SELECT *, list_filter([
+      CASE WHEN height < 480 THEN 'resolution_too_low' END, CASE WHEN fps < 20 THEN 'real_fps_too_low' END, CASE WHEN ms < 3000 THEN 'real_duration_too_short' END, CASE WHEN frames <= 1 THEN 'not_a_video' END,
+      CASE WHEN declared > 0 AND ms > 0 AND abs(ms - declared) / declared::DOUBLE > 0.15 THEN 'duration_mismatch' END,
+      CASE WHEN told > 0 AND fps > 0 AND abs(told - fps) / told > 0.05 THEN 'fps_mismatch' END], lambda x: x IS NOT NULL) AS found
+  FROM (SELECT l_orderkey, l_linenumber, l_linestatus, (l_quantity * 1000)::BIGINT AS declared, trunc(l_extendedprice)::BIGINT AS ms, 25.0::DOUBLE AS told, 25.0::DOUBLE * (1 - l_discount) AS fps,
+               (l_linenumber * 150)::INT AS height, l_linenumber AS frames FROM lineitem)"""
+
+
+@query(f"SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'F' AND ms < 20000 THEN 'probe_failed' ELSE array_to_string(found, ';') END AS problems FROM ({_SQL_PROBED})")
+def metadata_check(spark, sf_dir):
+    ms = F.col("l_extendedprice").cast("long")
+    probe = F.struct(
+        (~((F.col("l_linestatus") == "F") & (ms < 20000))).alias("ok"), ms.alias("duration_ms"), (F.lit(25.0) * (1 - F.col("l_discount"))).alias("fps"), F.lit(640).alias("width"),
+        (F.col("l_linenumber") * 150).cast("int").alias("height"), F.lit("h264").alias("codec"), F.col("l_linenumber").alias("nb_frames"), F.lit("ffprobe_failed").alias("error"))
+    rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") * 1000).cast("long").alias("declared"), probe.alias("p"))
+    problems = validation.probe_problems(F.col("declared"), F.lit(25.0), F.col("p"), WAREHOUSE)
+    return rows.select("l_orderkey", "l_linenumber", F.array_join(F.transform(problems, lambda x: F.split_part(x, F.lit(":"), F.lit(1))), ";").alias("problems"))
+
+
+# Sets and order
+
+
+@query("""
+SELECT host, page_id, url FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) AS k FROM (SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host FROM pages)) WHERE k = 1""")
+def url_dedup_first(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1).alias("host"))
+    return labelling.first_per_url(pages, "host", "page_id").select("host", "page_id", "url")
+
+
+@query("SELECT event_id, user_id, value FROM events ORDER BY event_id LIMIT 60")
+def limit_in_order(spark, sf_dir):
+    return _table(spark, sf_dir, "events").select("event_id", "user_id", "value").orderBy("event_id").limit(60)
+
+
+# Signatures
+
+PAIR_BITS = 17
+
+
+def _signatures(spark, sf_dir) -> DataFrame:
+    bits = F.aggregate(F.slice("embedding", 1, 63), F.lit(0).cast("bigint"), lambda n, x: n * 2 + (x > 0).cast("bigint"))
+    return _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("ord"), F.array(bits).alias("sig"), F.col("label").alias("quality"))
+
+
+_SQL_SIGNED = "sig AS MATERIALIZED (SELECT vec_id AS ord, label AS quality, list_reduce(list_prepend(0::BIGINT, list_transform(embedding[:63], lambda x: (x > 0)::BIGINT)), lambda a, b: a * 2 + b) AS s FROM embeddings)"
+_SQL_PAIRS = f"pairs AS (SELECT a.ord AS a, b.ord AS b, bit_count(xor(a.s, b.s))::INT AS bits FROM sig a JOIN sig b ON a.ord < b.ord WHERE bit_count(xor(a.s, b.s)) <= {PAIR_BITS})"
+_SQL_CLUSTERS = "ways AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs), reach AS (SELECT ord AS a, ord AS b FROM sig UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a), found AS (SELECT a AS ord, min(b) AS cluster FROM reach GROUP BY a)"
+_SQL_WINNERS = "won AS (SELECT ord, cluster, row_number() OVER (PARTITION BY cluster ORDER BY quality DESC, ord) = 1 AS keep FROM found JOIN sig USING (ord))"
+
+
+@query(f"WITH {_SQL_SIGNED}, {_SQL_PAIRS} SELECT * FROM pairs")
+def hamming_pairs(spark, sf_dir):
+    return near_duplicates.hamming_pairs(_signatures(spark, sf_dir), PAIR_BITS, 1)
+
+
+def _clusters(spark, sf_dir) -> DataFrame:
+    return near_duplicates.clusters(_signatures(spark, sf_dir).select("ord", "sig"), PAIR_BITS, 1)
+
+
+def _winners(spark, sf_dir) -> DataFrame:
+    return near_duplicates.winners(_clusters(spark, sf_dir).join(_signatures(spark, sf_dir).select("ord", "quality"), "ord"))
+
+
+@query(f"WITH RECURSIVE {_SQL_SIGNED}, {_SQL_PAIRS}, {_SQL_CLUSTERS} SELECT * FROM found")
+def near_dup_clusters(spark, sf_dir):
+    return _clusters(spark, sf_dir)
+
+
+@query(f"WITH RECURSIVE {_SQL_SIGNED}, {_SQL_PAIRS}, {_SQL_CLUSTERS}, {_SQL_WINNERS} SELECT * FROM won")
+def dedup_winners(spark, sf_dir):
+    return _winners(spark, sf_dir)
+
+
+@query(f"WITH RECURSIVE {_SQL_SIGNED}, {_SQL_PAIRS}, {_SQL_CLUSTERS}, {_SQL_WINNERS} SELECT count(*) AS n, count(*) FILTER (keep) AS clusters, count(*) FILTER (NOT keep) AS dropped, count(*) FILTER (NOT keep) / count(*)::DOUBLE AS duplicate_rate FROM won")
+def dup_rate(spark, sf_dir):
+    return near_duplicates.rates(_winners(spark, sf_dir))
+
+
+@query()
+def phash_frames(spark, sf_dir):
+    """Frames made of an embedding's values, sixteen copies of its 64 in an order of their own; SQL has no cosine transform of them."""
+    grey = F.transform(F.flatten(F.array_repeat("embedding", 16)), lambda x, i: F.pmod((x * 100 + i * i).cast("int"), F.lit(256)))
+    frame = F.unhex(F.array_join(F.transform(grey, lambda v: F.lpad(F.hex(v), 2, "0")), ""))
+    signed = _table(spark, sf_dir, "embeddings").select("vec_id", perceptual.signatures(F.array(frame)).alias("sig"))
+    return signed.select("vec_id", perceptual.hex_of(F.col("sig")[0]).alias("phash"), (perceptual.distance(F.col("sig"), F.col("sig")) == 0).alias("padded"))
+
+
+# Reports and manifests
+
+
+@query("SELECT 'role' AS what, coalesce(nullif(role, ''), 'unknown') AS value, count(*) AS n FROM conversations GROUP BY 2 UNION ALL SELECT 'event', event_type, count(*) FROM events GROUP BY 2")
+def distribution_maps(spark, sf_dir):
+    role = manifest.distribution(_table(spark, sf_dir, "conversations"), F.col("role"), "unknown").withColumn("what", F.lit("role"))
+    return role.unionByName(manifest.distribution(_table(spark, sf_dir, "events"), F.col("event_type")).withColumn("what", F.lit("event")))
+
+
+@query("SELECT *, CASE WHEN fetched = 0 THEN 0 ELSE training_ready / fetched::DOUBLE END AS usable_yield, 100.0::DOUBLE / training_ready AS cost FROM (SELECT count(*) AS fetched, count(*) FILTER (event_type <> 'error') AS schema_valid, count(*) FILTER (event_type <> 'error' AND value > 3) AS probe_valid, count(*) FILTER (event_type <> 'error' AND value > 30) AS training_ready FROM events)")
+def yield_funnel(spark, sf_dir):
+    valid = F.col("event_type") != "error"
+    counted = report.funnel(_table(spark, sf_dir, "events"), {"fetched": F.lit(True), "schema_valid": valid, "probe_valid": valid & (F.col("value") > 3), "training_ready": valid & (F.col("value") > 30)})
+    return counted.withColumn("cost", F.coalesce(F.try_divide(F.lit(100.0), F.col("training_ready")), F.lit(float("inf"))))
+
+
+@query(f"SELECT {_SQL_ID} AS clip_id, '' AS video_uri, scenario_type AS scenario, array_to_string(actions, ',') AS actions, start_ms, end_ms, fps, camera_pov FROM ({_sql_checked(False)}) WHERE len(reasons) = 0")
+def dataset_view(spark, sf_dir):
+    """Valid clips as lines of a manifest, read back as samples."""
+    lines = manifest.lines(_checked(spark, sf_dir, False).filter("ok").select("ord", "record"))
+    schema = "video_uri string, clip_id string, scenario_type string, actions array<string>, start_ms long, end_ms long, fps double, camera_pov string"
+    read = lines.select(F.from_json("raw", schema).alias("record"))
+    return manifest.samples(read, lambda df: df.withColumn("actions", F.array_join("actions", ",")))
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({i}::INT, '{a}', '{b}', '{c}')" for i, (a, b, c) in enumerate(V.OFFLINE_DATASETS)) + ") AS v(ord, id, name, type)")
+def offline_catalogue(spark, sf_dir):
+    return records.offline_datasets(spark)
+
+
+@query("SELECT * FROM (VALUES ('warehouse robot reach grasp'), ('warehouse reach place demonstration'), ('kitchen robot reach grasp'), ('kitchen reach place demonstration')) AS v(query)")
+def search_queries(spark, sf_dir):
+    return spark.createDataFrame([(q,) for spec in (WAREHOUSE, KITCHEN) for q in spec.to_search_queries()], "query string")
