@@ -21,7 +21,11 @@ def settled(df: DataFrame, **columns: Column) -> DataFrame:
 
 def opened(records: DataFrame) -> DataFrame:
     """records (ord, raw, ...) with _m and _v, what the functions here look at."""
-    return settled(records, _m=F.from_json("raw", "map<string,string>"), _v=F.try_parse_json("raw"))
+    read = settled(records, _read=F.from_json("raw", "map<string,string>"), _v=F.try_parse_json("raw"))
+    # of repeated keys the last one counts
+    keys, entries = F.map_keys("_read"), F.map_entries("_read")
+    single = F.map_from_arrays(F.array_distinct(keys), F.transform(F.array_distinct(keys), lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]))
+    return settled(read, _m=F.when(F.size(F.array_distinct(keys)) < F.size(keys), single).otherwise(F.col("_read"))).drop("_read")
 
 
 def text(key: str) -> Column:

@@ -24,8 +24,12 @@ def _seconds(part: Column) -> Column:
 
 
 def _adapted(records: DataFrame, platform: str, text_keys) -> DataFrame:
-    found = settled(opened(records), _url=first_of(V.URL_KEYS), _duration=first_of(V.DURATION_KEYS), _size=first_of(V.RES_KEYS), _fps=first_of(V.FPS_KEYS), _said=F.array(*[first_of(keys) for keys in text_keys]))
-    read = settled(found, source_url=F.coalesce("_url.value", F.lit("")), duration_ms=parsing.duration_ms(_seconds(F.col("_duration"))), _pixels=parsing.resolution(F.col("_size.value")), text=relevance.joined_text(*[_text(F.get("_said", F.lit(i))) for i in range(len(text_keys))]))
+    found = opened(records)
+    said = [f"_said{i}" for i in range(len(text_keys))]
+    # one at a time: together they are more code than the JVM takes in one method
+    for name, keys in (("_url", V.URL_KEYS), ("_duration", V.DURATION_KEYS), ("_size", V.RES_KEYS), ("_fps", V.FPS_KEYS), *zip(said, text_keys)):
+        found = settled(found, **{name: first_of(keys)})
+    read = settled(found, source_url=F.coalesce("_url.value", F.lit("")), duration_ms=parsing.duration_ms(_seconds(F.col("_duration"))), _pixels=parsing.resolution(F.col("_size.value")), text=relevance.joined_text(*[_text(F.col(c)) for c in said]))
     return read.select(
         "ord", "raw", "source_url", "duration_ms", "text", F.lit(platform).alias("platform"), parsing.declared_fps(F.col("_fps.value")).alias("fps"),
         F.coalesce("_pixels.width", F.lit(0)).alias("width"), F.coalesce("_pixels.height", F.lit(0)).alias("height"),
