@@ -217,8 +217,10 @@ def replace_entities(df: DataFrame, key: str, *, id_col: str = "doc_id", text_co
     shuffle; up to LITERAL_ATTEMPTS redrawn entities are literals of the query, more
     come back to their documents by a join on the id.
     """
-    columns = [c for c in df.columns if c not in ("n_entities", "entity_kinds")]
-    own = df.select(*columns, F.coalesce(df[text_col].cast("string"), F.lit("")).alias("_t"))
+    names = [c for c in df.columns if c not in ("n_entities", "entity_kinds")]
+    columns = [f"_c{i}" for i in range(len(names))]  # whatever the columns are called
+    text_is, id_is = (columns[names.index(c)] for c in (text_col, id_col))
+    own = df.select(*[df[f"`{c}`"].alias(x) for c, x in zip(names, columns)], F.coalesce(df[text_col].cast("string"), F.lit("")).alias("_t"))
     found = own.filter(F.col("_t").rlike(MAYBE)).select("_t")
     listed = _entities(found, []).select(F.explode("_found").alias("x")).select("x.kind", "x.canon", "x.form")
     again = checkpoint(attempts(listed, key))
@@ -226,10 +228,10 @@ def replace_entities(df: DataFrame, key: str, *, id_col: str = "doc_id", text_co
     cut = _entities(own, columns)
     name = lambda x: F.concat(x["kind"], F.lit(" "), x["canon"])
     if len(few) > LITERAL_ATTEMPTS:
-        where = _entities(own.select(F.col(id_col).alias("_id"), "_t").filter(F.col("_t").rlike(MAYBE)), ["_id"]).select("_id", F.explode("_found").alias("x"))
+        where = _entities(own.select(F.col(id_is).alias("_id"), "_t").filter(F.col("_t").rlike(MAYBE)), ["_id"]).select("_id", F.explode("_found").alias("x"))
         drawn = where.select("_id", "x.kind", "x.canon").distinct().join(again, ["kind", "canon"])
         by_doc = drawn.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("kind", F.lit(" "), "canon"), "attempt"))).alias("_again"))
-        cut = cut.join(by_doc, F.col(id_col).eqNullSafe(F.col("_id")), "left").drop("_id")
+        cut = cut.join(by_doc, F.col(id_is).eqNullSafe(F.col("_id")), "left").drop("_id")
         attempt = lambda x: F.coalesce(F.col("_again")[name(x)], F.lit(0))
     elif few:
         literal = F.create_map(*[F.lit(v) for r in few for v in (f"{r.kind} {r.canon}", r.attempt)])
@@ -239,8 +241,8 @@ def replace_entities(df: DataFrame, key: str, *, id_col: str = "doc_id", text_co
     keep = [c for c in cut.columns if c != "_again"]
     made = settled(cut, keep, _made=F.transform("_found", lambda x: surrogate(key, x["kind"], x["canon"], attempt(x), x["form"])))
     joined = F.array_join(F.flatten(F.transform("_pieces", lambda piece, i: F.array(piece, F.coalesce(F.get("_made", i), F.lit(""))))), "")
-    text = F.when(F.col(text_col).isNull(), F.col(text_col)).when(F.size("_found") == 0, F.col(text_col)).otherwise(joined)
+    text = F.when(F.col(text_is).isNull() | (F.size("_found") == 0), F.col(text_is)).otherwise(joined)
     return made.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in columns],
+        *[(text if x == text_is else F.col(x)).alias(c) for c, x in zip(names, columns)],
         F.size("_found").cast("long").alias("n_entities"), F.array_sort(F.array_distinct(F.transform("_found", lambda x: x["kind"]))).alias("entity_kinds"),
     )
