@@ -147,7 +147,7 @@ def test_discovery_then_curation(spark, tmp_path):
     tube = {"url": "https://y/1", "video_length": 120, "title": "Warehouse robot arm grasp", "fps": 25}
     (tmp_path / records.DISCOVERY).write_text(json.dumps([tube, tube | {"url": "https://y/2", "video_length": 20}, tube | {"url": ""}, tube | {"title": "cats", "url": "https://y/3"}]))
     report = discovery.run(spark, str(tmp_path), str(tmp_path / "found"), max_clips=2)
-    assert report["funnel"] == {"discovered": 8, "labeled": 6, "url_deduped": 6, "final": 2} and report["reject_reasons"]["url_duplicate"] == 4
+    assert report["funnel"] == {"discovered": 8, "labeled": 4, "url_deduped": 4, "final": 2} and report["reject_reasons"]["url_duplicate"] == 2
     rows = json.loads((tmp_path / "found" / records.RESPONSE).read_text())
     assert [r["source_url"] for r in rows] == ["https://y/1", "https://y/2"] and rows[0]["start_ms"] == 0 and rows[0]["_label_source"] == "inferred_from_text"
     done = curation.run(spark, str(tmp_path / "found"), str(tmp_path / "out"), relaxed=True, tool=tool)
