@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelspark.operators.lineage import checkpoint  # noqa: F401
+
 _LOADED: dict[str, object] = {}
 
 
@@ -16,18 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """df, written once to the folder in spark.checkpoint.dir and cut off from its lineage.
-
-    The folder that the cluster names is used; only where none is set (tests on
-    one machine) a folder under /tmp takes its place.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints")
-    return df.checkpoint()
-
-
 def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

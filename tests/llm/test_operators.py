@@ -1,6 +1,5 @@
 """Operators against brute force, the libraries and odd inputs."""
 
-import base64
 import hashlib
 import json
 import random
@@ -13,7 +12,8 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from reelspark.llm import byte_bpe, chat_format, components, decontamination, language_id, pii, quality_rules, sentence_dedup, simhash, substring_dedup, token_counts
+from reelspark.llm import byte_bpe, chat_format, decontamination, language_id, pii, quality_rules, sentence_dedup, simhash, substring_dedup, token_counts
+from reelspark.operators import components
 
 ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "naïve café — 漢字😀 don't"), (4, "naïve café — 漢字😀 don't"), (None, "no id"), (5, "x" * 5000), (6, "<|endoftext|> it'ś 　 done"), (7, "a ́b " * 50)]
 
