@@ -35,6 +35,8 @@ BATCH_BYTES = 1 << 20
 TREE_SAMPLE = 1 << 17
 #: Fingerprints that a shard is to have, where the sample allows.
 SHARD = 1024
+#: Fingerprints that a task compares all with all; a larger shard is divided once more there.
+LOCAL_SHARD = 1 << 12
 #: Larger shards are dealt out again: their queries by salt, what they look up to every salt.
 SPLIT_SHARD = 1 << 14
 _HALVES = 2
@@ -97,15 +99,14 @@ class Tree:
                 inside = np.zeros(0, bool)
             members[2 * node + 1], members[2 * node + 2] = own[inside], own[~inside]
 
-    def visits(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(position in values, leaf, at home) of every visit: one at home for each value, and those as a query.
+    def visits(self, values: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position in values, leaf, at home) of every visit: one at home for those that have a home, and those as a query.
 
         Of two values with a node between them, the outer one visits the inner side,
         so a pair within reach meets once at least without the inner one going out.
         """
         place = np.arange(len(values))
         node = np.zeros(len(values), np.int64)
-        home = np.ones(len(values), bool)
         for _ in range(self.depth):
             far = np.bitwise_count(values[place] ^ self.points[node]).astype(np.int16) - self.radii[node]
             inward = far <= np.where(home, 0, _REACH)
@@ -141,6 +142,29 @@ def forest(prints: np.ndarray, asks: np.ndarray, held: np.ndarray) -> np.ndarray
     return roots
 
 
+def shard_edges(prints: np.ndarray, asks: np.ndarray, held: np.ndarray, half: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Edges between positions of a shard that connect whatever its links connect.
+
+    A large shard gets a tree of its own, so that its work doesn't grow with the square of its size.
+    """
+    n = int(held.sum())
+    if n <= LOCAL_SHARD:
+        roots = forest(prints, asks, held)
+        linked = np.flatnonzero(roots != np.arange(len(roots)))
+        yield linked, roots[linked]
+        return
+    tree = Tree(_half(prints[held], half), (n // SHARD).bit_length())
+    place, leaf, home = tree.visits(_half(prints, half), held)
+    order = np.lexsort((place, leaf))  # positions stay in order within a leaf
+    place, leaf, home = place[order], leaf[order], home[order]
+    cuts = np.flatnonzero(np.diff(leaf, prepend=-1, append=-1))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        own = place[a:b]
+        roots = forest(prints[own], asks[own], home[a:b])
+        linked = np.flatnonzero(roots != np.arange(len(roots)))
+        yield own[linked], own[roots[linked]]
+
+
 def links(prints: DataFrame) -> DataFrame:
     """Edges (a, b) between the nodes of prints (_node, _print; each once) that connect whatever links connect."""
     spark = prints.sparkSession
@@ -152,7 +176,7 @@ def links(prints: DataFrame) -> DataFrame:
     def visits(rows: pa.RecordBatch) -> Iterator[tuple]:
         values = rows.column(1).to_numpy().view(np.uint64)
         for half, tree in enumerate(trees.value):
-            place, leaf, home = tree.visits(_half(values, half))
+            place, leaf, home = tree.visits(_half(values, half), np.ones(len(values), bool))
             yield place, leaf + (half << depth), home
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,11 +214,10 @@ def links(prints: DataFrame) -> DataFrame:
             node = shard.column(2).to_numpy()
             order = np.argsort(node, kind="stable")
             asks, held = (shard.column(i).to_numpy(zero_copy_only=False)[order] for i in (4, 5))
-            roots = forest(shard.column(3).to_numpy().view(np.uint64)[order], asks, held)
-            linked = np.flatnonzero(roots != np.arange(len(roots)))
             node = node[order]
-            if len(linked):
-                yield pa.record_batch([pa.array(node[linked]), pa.array(node[roots[linked]])], ["a", "b"])
+            for a, b in shard_edges(shard.column(3).to_numpy().view(np.uint64)[order], asks, held, shard.column(0)[0].as_py() >> depth):
+                if len(a):
+                    yield pa.record_batch([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
 
     dealt = prints.mapInArrow(deal, "leaf long, salt long, node long, print long, asks boolean, held boolean")
     return dealt.repartition("leaf", "salt").sortWithinPartitions("leaf", "salt").mapInArrow(joined, "a long, b long")

@@ -375,6 +375,23 @@ def test_vantage_point_trees_find_all_links(spark, monkeypatch, shard, split):
     assert [found.get(i, i) for i in range(len(prints))] == brute_components(prints)
 
 
+def test_large_shards_are_divided(monkeypatch):
+    monkeypatch.setattr(simhash, "LOCAL_SHARD", 20)
+    monkeypatch.setattr(simhash, "SHARD", 8)
+    rng = np.random.default_rng(3)
+    prints = rng.integers(0, 1 << 63, 150, np.uint64)
+    prints = np.unique(np.concatenate([prints, prints ^ (np.uint64(1) << rng.integers(0, 64, 150, np.uint64)), prints[:40] ^ np.uint64(7)]))
+    asks, held = rng.random(len(prints)) < 0.9, rng.random(len(prints)) < 0.9
+    for half in (0, 1):
+        want = {(i, j) for i in range(len(prints)) for j in range(len(prints)) if i != j and asks[i] and held[j] and int(prints[i] ^ prints[j]).bit_count() <= 3 and int((prints[i] ^ prints[j]) >> np.uint64(32 * half) & np.uint64(0xFFFFFFFF)).bit_count() <= 1}
+        group = list(range(len(prints)))
+        for a, b in simhash.shard_edges(prints, asks, held, half):
+            for x, y in zip(a.tolist(), b.tolist()):
+                old, new = group[x], group[y]
+                group = [new if g == old else g for g in group]
+        assert all(group[i] == group[j] for i, j in want if asks[j] and held[i])
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(7, 7), (None, 3)]
