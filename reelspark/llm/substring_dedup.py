@@ -37,9 +37,9 @@ from reelspark.llm.hashing import Spans, mixed
 from reelspark.llm.simhash import groups
 
 LENGTH = 50
-CHUNK_BYTES = 4 << 20
-#: Text that a step of the regions' comparison holds.
-SLICE_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
+#: Text of a chunk that is hashed at a time, and text of regions that is compared at a time.
+STEP_BYTES = SLICE_BYTES = 1 << 20
 #: An anchor found in more chunks is dealt out string by string.
 COMMON_CHUNKS = 64
 _NO_ID = np.iinfo(np.int64).min
@@ -168,18 +168,30 @@ def sort_suffixes(data: np.ndarray, spans: Spans, starts: np.ndarray, group: np.
 
 
 class Chunk:
-    """Texts of a chunk, in order of their ids, and the anchors of their strings."""
+    """Texts of a chunk, in order of their ids, and its regions: strings in a row with one anchor.
+
+    Hashes are worked out STEP_BYTES of text at a time, so that a chunk takes little
+    more memory than its text and its regions. A region ends where a step does.
+    """
 
     def __init__(self, blob: bytes, ids: np.ndarray, sizes: np.ndarray, length: int):
         self.length = length
-        self.width = width = max(1, min(length // 2, 60))  # strings that an anchor can serve
-        gram = length - width + 1
+        self.width = max(1, min(length // 2, 60))  # strings that an anchor can serve
         self.data = np.frombuffer(zstandard.decompress(blob) if sizes.sum() else b"", np.uint8)
         self.ids, self.sizes = ids, sizes
         self.firsts = np.cumsum(sizes) - sizes
         self.rank = np.cumsum(np.diff(ids, prepend=ids[:1]) != 0) if len(ids) else np.zeros(0, np.int64)  # equal ids are equal
-        self.spans = Spans(self.data + np.uint64(1), "bytes")
-        hashes = mixed(self.spans.every(gram))
+        found = [self._regions(a) for a in range(0, max(1, len(self.data) - length + 1), STEP_BYTES)]
+        self.starts, self.stops, self.offsets, self.doc, self.hashes, self.contents = map(np.concatenate, zip(*found))
+
+    def _hashed(self, first: int) -> Spans:
+        """Spans of the step that starts at first, with what its last strings reach over."""
+        return Spans(self.data[first : first + STEP_BYTES + self.length - 1] + np.uint64(1), "bytes")
+
+    def _regions(self, first: int) -> tuple[np.ndarray, ...]:
+        length, width = self.length, self.width
+        spans = self._hashed(first)
+        hashes = mixed(spans.every(length - width + 1))
         low = (hashes >> np.uint64(32)).astype(np.uint32)
         at = np.arange(len(low), dtype=np.int32)
         done = 1
@@ -188,17 +200,20 @@ class Chunk:
             left = low[:-step] <= low[step:]  # the leftmost of equals
             low, at = np.where(left, low[:-step], low[step:]), np.where(left, at[:-step], at[step:])
             done += step
-        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        strings = max(0, len(self.data) - length + 1)
+        strings = max(0, len(spans.sums) - length)
         at = at[:strings]
+        places = np.arange(first, first + len(spans.sums) - 1)
+        owner = (np.searchsorted(self.firsts, places, "right") - 1).astype(np.int32)
+        # documents without bytes share their place with the next one, which searchsorted takes
         at[owner[:strings] != owner[length - 1 :]] = -1  # over the end of a document
         turns = np.flatnonzero(np.diff(at, prepend=np.int32(-2)))
         stops = np.append(turns, strings)[1:]
         kept = at[turns] >= 0
-        self.starts, self.stops = turns[kept], stops[kept]
-        self.anchors = at[self.starts].astype(np.int64)
-        self.doc = owner[self.starts]
-        self.hashes = hashes[self.anchors]
+        starts, stops = turns[kept], stops[kept]
+        anchors = at[starts].astype(np.int64)
+        offsets = (anchors - starts).astype(np.uint8)
+        contents = mixed(spans.of(starts, stops + length - 1) + offsets)
+        return starts + first, stops + first, offsets, owner[starts], hashes[anchors], contents
 
     def anchor_codes(self) -> tuple[np.ndarray, np.ndarray]:
         """The anchors' hashes without their low bits, each once, and the place of each region's among them."""
@@ -224,12 +239,17 @@ class Chunk:
         start, strings = self.starts[shared], self.stops[shared] - self.starts[shared]
         apart = _cells(self.starts[common], self.stops[common] - self.starts[common])
         lone = np.repeat(self.doc[common], self.stops[common] - self.starts[common])
-        key = np.concatenate([self.hashes[shared], mixed(self.spans.of(apart, apart + self.length))])
-        offset = np.concatenate([self.anchors[shared] - start, np.full(len(apart), 255)]).astype(np.uint8)
-        start, strings = np.concatenate([start, apart]), np.concatenate([strings, np.ones(len(apart), np.int64)])
-        doc = np.concatenate([self.doc[shared], lone])
+        alone = np.zeros(len(apart), np.uint64)
+        for step in np.unique(apart // STEP_BYTES).tolist():
+            own = np.flatnonzero(apart // STEP_BYTES == step)
+            at = apart[own] - step * STEP_BYTES
+            alone[own] = mixed(self._hashed(step * STEP_BYTES).of(at, at + self.length))
+        key = np.concatenate([self.hashes[shared], alone])
+        offset = np.concatenate([self.offsets[shared], np.full(len(apart), 255, np.uint8)])
+        content = np.concatenate([self.contents[shared], alone])
+        start, strings, doc = np.concatenate([start, apart]), np.concatenate([strings, np.ones(len(apart), np.int64)]), np.concatenate([self.doc[shared], lone])
         size = strings + self.length - 1
-        content = mixed(mixed(self.spans.of(start, start + size) + offset) + key + strings.astype(np.uint64))
+        content = mixed(content + key + strings.astype(np.uint64))
         order = np.lexsort((self.rank[doc], content, key))
         key, offset, start, strings, doc, size, content = (x[order] for x in (key, offset, start, strings, doc, size, content))
         new = (np.diff(key, prepend=np.uint64(0)) != 0) | (np.diff(content, prepend=np.uint64(0)) != 0)
@@ -448,7 +468,7 @@ def _slice_masks(keys, offsets, strings, owners, data, full, length) -> np.ndarr
 
 def _removed(chunk: Chunk, found: dict[str, np.ndarray], masks: np.ndarray) -> np.ndarray:
     """Which bytes of the chunk go."""
-    edges = np.zeros(len(chunk.data) + 1, np.int64)
+    edges = np.zeros(len(chunk.data) + 1, np.int32)
     entry, start, count = found["entry"], found["start"], found["count"]
     own = masks[entry]
     full = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
@@ -460,7 +480,7 @@ def _removed(chunk: Chunk, found: dict[str, np.ndarray], masks: np.ndarray) -> n
         at = start[part[(own[part] >> np.uint64(w)) & np.uint64(1) == 1]] + w
         np.add.at(edges, at, 1)
         np.add.at(edges, at + chunk.length, -1)
-    return np.cumsum(edges[:-1]) > 0
+    return np.cumsum(edges[:-1], dtype=np.int32) > 0
 
 
 def digests(done: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
