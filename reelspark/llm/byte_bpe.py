@@ -30,7 +30,7 @@ from reelspark.llm.common import once, shipped, slices, text_of
 
 BATCH_BYTES = 1 << 20
 #: Pieces that a worker keeps merged; beyond, it starts anew. Bounds its memory, not its results.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 250_000
 #: Longer pieces are merged anew each time.
 CACHED_CHARS = 64
 
