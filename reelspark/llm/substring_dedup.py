@@ -40,6 +40,8 @@ LENGTH = 50
 CHUNK_BYTES = 8 << 20
 #: Text of a chunk that is hashed at a time, and text of regions that is compared at a time.
 STEP_BYTES = SLICE_BYTES = 1 << 20
+#: Hash ranges of regions to each one of anchors: regions carry text, and a task holds the regions of one range.
+REGION_RANGES = 8
 #: An anchor found in more chunks is dealt out string by string.
 COMMON_CHUNKS = 64
 _NO_ID = np.iinfo(np.int64).min
@@ -331,6 +333,7 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """
     kind = df.schema[id_col].dataType.simpleString()
     chunks, buckets = _chunks(df, id_col, text_col)
+    parts = buckets * REGION_RANGES
 
     def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,12 +356,12 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             for i in range(batch.num_rows):
                 chunk = _opened(batch, i, length)
                 found = chunk.entries(_answered(batch.column(4), i, np.uint8))
-                bounds = _ranges(found["key"], buckets)
+                bounds = _ranges(found["key"], parts)
                 out = []
                 for a, b in zip(bounds, bounds[1:]):
                     text = chunk.data[_cells(found["first_start"][a:b], found["first_size"][a:b])].tobytes()
                     out.append({"keys": _pack_sorted(found["key"][a:b]), "offsets": _pack(found["offset"][a:b]), "strings": _pack(found["strings"][a:b]), "owners": _pack(chunk.ids[found["first_doc"][a:b]]), "text": zstandard.compress(text, 3)})
-                yield pa.record_batch([pa.array([batch.column(0)[i].as_py()] * buckets), pa.array(range(buckets), pa.int64()), *[pa.array([x[k] for x in out], pa.binary()) for k in out[0]]], ["chunk", "range", *out[0]])
+                yield pa.record_batch([pa.array([batch.column(0)[i].as_py()] * parts), pa.array(range(parts), pa.int64()), *[pa.array([x[k] for x in out], pa.binary()) for k in out[0]]], ["chunk", "range", *out[0]])
 
     def answer_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(_swapped(batches)):
@@ -367,6 +370,7 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             counts = [len(x) for x in keys]
             offsets, strings, owners = (np.concatenate([_unpack(x, kind_) for x in column]) for column, kind_ in zip(columns[1:4], (np.uint8, np.uint8, np.int64)))
             data = np.frombuffer(b"".join([zstandard.decompress(x) if n else b"" for x, n in zip(columns[4], counts)]), np.uint8)
+            del columns
             masks = _masks(np.concatenate(keys), offsets, strings.astype(np.int64), owners, data, length)
             ends = np.cumsum(counts)
             blobs = [_pack(masks[b - n : b]) for b, n in zip(ends, counts)]
