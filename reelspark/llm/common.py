@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -32,6 +33,25 @@ def settled(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
+def released(run):
+    """run, an Arrow function; after a task, its worker hands freed memory back to the system.
+
+    Workers live on for later tasks, and their allocators would keep what large arrays
+    have left.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def once(key: str, make):
     """make(), at most once in each Python worker for each key."""
     if key not in _LOADED:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.llm.common import checkpoint, text_of
+from reelspark.llm.common import checkpoint, released, text_of
 from reelspark.llm.hashing import Spans, mixed
 from reelspark.llm.simhash import groups
 
@@ -297,7 +297,7 @@ def _chunks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     buckets = max(4, source.rdd.getNumPartitions())
     checkpoint(spark.range(0))  # sets the shared folder where none is set
     name = f"chunks_{uuid.uuid4().hex}"
-    packed = source.mapInArrow(pack, "chunk long, ids array<long>, sizes array<long>, blob binary")
+    packed = source.mapInArrow(released(pack), "chunk long, ids array<long>, sizes array<long>, blob binary")
     packed.write.format("parquet").option("compression", "none").option("path", f"{spark.sparkContext.getCheckpointDir()}/{name}").bucketBy(buckets, "chunk").saveAsTable(name)
     return spark.table(name), buckets
 
@@ -391,13 +391,13 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                 ids = pa.array(chunk.ids, mask=chunk.ids == _NO_ID)
                 yield pa.record_batch([ids, pa.array(chunk.sizes), pa.array(spans, spans_type), pa.array(kept, pa.binary())], ["_id", "n_bytes", "spans", "kept"])
 
-    anchors = _by_range(chunks.mapInArrow(send_anchors, "chunk long, range long, blob binary"), buckets)
-    shared = _gathered(anchors.mapInArrow(answer_anchors, "chunk long, range long, answer binary"))
+    anchors = _by_range(chunks.mapInArrow(released(send_anchors), "chunk long, range long, blob binary"), buckets)
+    shared = _gathered(anchors.mapInArrow(released(answer_anchors), "chunk long, range long, answer binary"))
     asked = chunks.join(shared.hint("shuffle_hash"), "chunk").select("chunk", "ids", "sizes", "blob", "answers")
-    regions = _by_range(asked.mapInArrow(send_regions, "chunk long, range long, keys binary, offsets binary, strings binary, owners binary, text binary"), buckets)
-    covered = _gathered(regions.mapInArrow(answer_regions, "chunk long, range long, answer binary")).withColumnRenamed("answers", "covered")
+    regions = _by_range(asked.mapInArrow(released(send_regions), "chunk long, range long, keys binary, offsets binary, strings binary, owners binary, text binary"), buckets)
+    covered = _gathered(regions.mapInArrow(released(answer_regions), "chunk long, range long, answer binary")).withColumnRenamed("answers", "covered")
     answered = asked.join(covered.hint("shuffle_hash"), "chunk").select("chunk", "ids", "sizes", "blob", "answers", "covered")
-    done = answered.mapInArrow(cut, "_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
+    done = answered.mapInArrow(released(cut), "_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
     return done.select(F.col("_id").cast(kind).alias(id_col), "n_bytes", "spans", "kept")
 
 
