@@ -1,15 +1,21 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of RUN consecutive sentences is hashed, and every sentence that alone is as
-long as a passage. Spans of the same words meet in one join over the corpus; the first
-of them, by document id and place, stays, and sentences that any other span covers are
-removed. Spans of few words are left out: chance repeats them.
+A span is a run of sentences, as short as has enough words: the shortest that begins
+with a sentence and the shortest that ends with it are hashed, so that spans cover
+every repeated run of sentences with enough words. Long sentences are cut into pieces
+where the words themselves say (minima of their hashes in windows), which cuts a
+passage alike wherever it stands; pieces are sentences to the spans. Spans of the same
+words meet in one join over the corpus; the first of them, by document id and place,
+stays, and sentences that any other span covers are removed. Spans of few words are
+left out: chance repeats them.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
+from zlib import crc32
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -19,11 +25,15 @@ from pyspark.sql import functions as F
 
 from reelspark.llm.common import slices, text_of
 
-RUN = 2
 #: Words of a span at least, and of a span of one sentence.
 MIN_WORDS, LONE_WORDS = 12, 15
+#: Sentences of more words are cut. Each WINDOW words have a cut, and copies share all cuts but those
+#: in their first and last WINDOW - 1 words. So of each end of a passage, 18 words at most lie in a piece
+#: that reaches beyond it: max(2 * (WINDOW - 1), WHOLE_WORDS - 1). Of over 50 words, LONE_WORDS stay.
+WHOLE_WORDS, WINDOW = 19, 10
 BATCH_BYTES = 1 << 19
 _SENTENCE = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？]+(?=\s|$)\s*|[.!?。！？]+|\n\s*|$)")
+_WORD = re.compile(r"\S+")
 
 
 def sentences(text: str) -> list[str]:
@@ -37,22 +47,51 @@ def sentences(text: str) -> list[str]:
     return [*found, open_] if open_ else found
 
 
+def pieces(sentence: str) -> list[tuple[str, list[str]]]:
+    """(piece, its words in lower case) of a sentence; joined, the pieces are the sentence."""
+    words = sentence.lower().split()
+    if len(words) <= WHOLE_WORDS:
+        return [(sentence, words)]
+    places = [m.start() for m in _WORD.finditer(sentence)]
+    words = [w.lower() for w in _WORD.findall(sentence)]
+    hashes = [crc32(w.encode()) * 0x9E3779B1 & 0xFFFFFFFF for w in words]
+    cuts, at = [0], -1
+    for i in range(len(words) - WINDOW + 1):  # the first least of each window
+        if at < i:
+            own = hashes[i : i + WINDOW]
+            at = i + own.index(min(own))
+        elif hashes[i + WINDOW - 1] < hashes[at]:
+            at = i + WINDOW - 1
+        if at > cuts[-1]:
+            cuts.append(at)
+    ends = [0, *(places[c] for c in cuts[1:]), len(sentence)]
+    return [(sentence[i:j], words[a:b]) for i, j, a, b in zip(ends, ends[1:], cuts, [*cuts[1:], len(words)])]
+
+
 def spans(text: str) -> Iterator[tuple[int, int, int, int]]:
-    """(hash, hash, first sentence, sentences) of the spans of a text; case and white space don't count."""
-    words = [s.lower().split() for s in sentences(text)]
-    full = [i for i, w in enumerate(words) if w]
-    for k, i in enumerate(full):
-        for n, least in ((1, LONE_WORDS), (RUN, MIN_WORDS)):
-            if k + n <= len(full):
-                own = [w for j in full[k : k + n] for w in words[j]]
-                if len(own) >= least:
-                    digest = xxhash.xxh3_128_intdigest(f"{n} {' '.join(own)}")
-                    yield (digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63), i, full[k + n - 1] - i + 1
+    """(hash, hash, first piece, pieces) of the spans of a text; case and white space don't count."""
+    parts = [words for s in sentences(text) for _, words in pieces(s)]
+    full = [i for i, words in enumerate(parts) if words]
+    ends = [0, *accumulate(len(parts[i]) for i in full)]
+    words = [w for i in full for w in parts[i]]
+
+    def enough(k: int, end: int) -> bool:
+        return ends[end] - ends[k] >= (LONE_WORDS if end - k == 1 else MIN_WORDS)
+
+    k = 0  # from here, no span has enough words yet
+    for end in range(1, len(full) + 1):
+        before = k
+        while k < end and enough(k, end):
+            k += 1
+        for start in range(min(before, k - 1), k) if k else ():  # those that end here first, or else the latest that has enough
+            digest = xxhash.xxh3_128_intdigest(" ".join(words[ends[start] : ends[end]]))
+            yield (digest >> 96) - (1 << 31), (digest & (1 << 64) - 1) - (1 << 63), full[start], full[end - 1] - full[start] + 1
 
 
 def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, text, n_sentences, n_removed) of every row of df, without the sentences of non-first repeated spans.
 
+    Of long sentences, only the pieces in such spans go; n_removed counts the sentences that lose anything.
     First is the span in the smallest id, then at the smallest place; a null id comes
     before all. Repeats within a document count. Rows of the same id and text are one
     document: each of them gives what one of them would. A null text has no sentences
@@ -72,12 +111,12 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             if found:
                 row, high, low, first, n = map(list, zip(*found))
                 at = pa.array(row)
-                yield pa.record_batch([rows.column(0).take(at), rows.column(1).take(at), pa.array(high), pa.array(low), pa.array(first, pa.int32()), pa.array(n, pa.int32())], ["_id", "_key", "_high", "_low", "_first", "_n"])
+                yield pa.record_batch([rows.column(0).take(at), rows.column(1).take(at), pa.array(high, pa.int32()), pa.array(low), pa.array(first, pa.int32()), pa.array(n, pa.int32())], ["_id", "_key", "_high", "_low", "_first", "_n"])
 
-    schema = f"_id {kind}, _key long, _high long, _low long, _first int, _n int"
+    schema = f"_id {kind}, _key long, _high int, _low long, _first int, _n int"
     found = keyed.select("_id", "_key", text_of("_text").alias("_text")).mapInArrow(hashed, schema)
     place = F.struct("_id", "_first", "_key")
-    repeated = found.groupBy("_high", "_low").agg(F.min(place).alias("_least"), F.max(place).alias("_most")).filter("_least <> _most").select("_high", "_low", "_least")
+    repeated = found.groupBy("_high", "_low").agg(F.min(place).alias("_least"), F.count("*").alias("_times")).filter("_times > 1").select("_high", "_low", "_least")
     later = found.join(repeated, ["_high", "_low"]).filter(place != F.col("_least"))
     by_doc = later.groupBy("_id", "_key").agg(F.collect_set(F.struct(F.col("_first").alias("first"), F.col("_n").alias("n"))).alias("_spans"))
     joined = keyed.alias("d").join(by_doc.alias("s"), F.col("d._id").eqNullSafe(F.col("s._id")) & (F.col("d._key") == F.col("s._key")), "left")
@@ -86,11 +125,12 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         for rows in slices(batches, 1, BATCH_BYTES):
             texts, counts, gone = [], [], []
             for text, held in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist()):
-                parts = sentences(text or "")
+                found = sentences(text or "")
                 drop = {i for x in held or () for i in range(x["first"], x["first"] + x["n"])}
-                texts.append(text if not drop else "".join(s for i, s in enumerate(parts) if i not in drop))
-                counts.append(len(parts))
-                gone.append(len(drop))
+                parts = [(k, piece) for k, s in enumerate(found) for piece, _ in pieces(s)] if drop else []
+                texts.append(text if not drop else "".join(piece for i, (_, piece) in enumerate(parts) if i not in drop))
+                counts.append(len(found))
+                gone.append(len({k for i, (k, _) in enumerate(parts) if i in drop}))
             yield pa.record_batch([rows.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], [id_col, "text", "n_sentences", "n_removed"])
 
     return joined.select("d._id", "d._text", "s._spans").mapInArrow(cut, f"`{id_col}` {kind}, text string, n_sentences long, n_removed long")

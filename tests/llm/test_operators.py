@@ -303,6 +303,34 @@ def test_sentence_dedup(spark):
     assert sentence_dedup.remove_repeats(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_no_passage_of_over_50_words_stays_twice(spark):
+    """Whatever sentences and lines a repeated passage is made of; against every run of 51 words."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 6)))
+    short = lambda n, end: "".join(" ".join(word() for _ in range(rng.randint(1, 5))) + end for _ in range(n))
+    shared = [short(40, ".\n"), short(40, "\n"), short(40, "!! "), " ".join(word() for _ in range(51)) + " ", short(9, ". ") + " ".join(word() for _ in range(70)) + " "]
+    rows = []
+    for i in range(40):
+        around = lambda: " ".join(word() for _ in range(rng.randint(0, 60))) + rng.choice([" ", ". ", "\n"])
+        rows.append((i, around() + rng.choice(shared) + around() + rng.choice(shared) + around()))
+    rows += [(100 + i, shared[i % 5]) for i in range(10)] + [(200, "word!! " * 300)]
+
+    def runs(texts):
+        count = {}
+        for words in (t.lower().split() for t in texts):
+            for a in range(len(words) - 50):
+                count[tuple(words[a : a + 51])] = count.get(tuple(words[a : a + 51]), 0) + 1
+        return {r for r, n in count.items() if n > 1}
+
+    out = sentence_dedup.remove_repeats(docs(spark, rows)).collect()
+    left = {r.doc_id: r.text for r in out}
+    assert len(runs(t for _, t in rows)) > 100 and not runs(left.values()) and all(r.n_removed <= r.n_sentences for r in out)
+    assert all(not left[i].split() for i in range(105, 110))
+    for passage in shared:  # once, it stays, but for its ends, which may share a piece with what stands before or behind
+        words = passage.lower().split()
+        assert any(" ".join(words[18:-18]) in " ".join(t.lower().split()) for t in left.values())
+
+
 def test_language_id(spark):
     rng = random.Random(8)
     sounds = {"aa": "ka ro mi ta le", "bb": "schu ngö pfei ät", "cc": "zzq xwv qqk"}
