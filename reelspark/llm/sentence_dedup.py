@@ -33,15 +33,20 @@ MIN_WORDS, LONE_WORDS = 12, 15
 WHOLE_WORDS, WINDOW = 19, 10
 BATCH_BYTES = 1 << 19
 _SENTENCE = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？]+(?=\s|$)\s*|[.!?。！？]+|\n\s*|$)")
-_WORD = re.compile(r"\S+")
+#: Scripts without spaces between words: Thai to Tibetan, Myanmar, Khmer, Chinese and Japanese.
+_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u2e80-\u312f\u3190-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
+#: Each code point of such scripts counts as a word.
+_WORD = re.compile(rf"[^\s{_UNSPACED}]+|[{_UNSPACED}](?<!\s)")
+_SPACED_WORD = re.compile(r"\S+")
 
 
 def sentences(text: str) -> list[str]:
-    """Sentences with the white space behind them; joined, they are the text. A line's end ends a sentence."""
+    """Sentences with the white space behind them; joined, they are the text. A line's end or a fullwidth mark ends a sentence."""
     found, open_ = [], ""
     for part in _SENTENCE.findall(text):
         open_ += part
-        if open_ and (open_[-1].isspace()):
+        if open_ and (open_[-1].isspace() or open_[-1] in "。！？"):
             found.append(open_)
             open_ = ""
     return [*found, open_] if open_ else found
@@ -49,11 +54,12 @@ def sentences(text: str) -> list[str]:
 
 def pieces(sentence: str) -> list[tuple[str, list[str]]]:
     """(piece, its words in lower case) of a sentence; joined, the pieces are the sentence."""
-    words = sentence.lower().split()
+    spaced = not _HAS_UNSPACED.search(sentence)
+    words = sentence.lower().split() if spaced else _WORD.findall(sentence.lower())
     if len(words) <= WHOLE_WORDS:
         return [(sentence, words)]
-    places = [m.start() for m in _WORD.finditer(sentence)]
-    words = [w.lower() for w in _WORD.findall(sentence)]
+    places = [m.start() for m in (_SPACED_WORD if spaced else _WORD).finditer(sentence)]
+    words = [sentence[i:j].strip().lower() for i, j in zip(places, [*places[1:], len(sentence)])]
     hashes = [crc32(w.encode()) * 0x9E3779B1 & 0xFFFFFFFF for w in words]
     cuts, at = [0], -1
     for i in range(len(words) - WINDOW + 1):  # the first least of each window

@@ -331,6 +331,20 @@ def test_no_passage_of_over_50_words_stays_twice(spark):
         assert any(" ".join(words[18:-18]) in " ".join(t.lower().split()) for t in left.values())
 
 
+def test_sentence_dedup_without_spaces(spark):
+    """Fullwidth marks end sentences, and code points count as words where words have no spaces."""
+    rng = random.Random(6)
+    for low, high, mark in ((0x4E00, 0x9000, "。"), (0x3041, 0x3090, "！"), (0x0E01, 0x0E2E, "")):
+        said = lambda n: "".join("".join(chr(rng.randint(low, high)) for _ in range(rng.randint(4, 30))) + mark for _ in range(n))
+        if mark:
+            assert len(sentence_dedup.sentences(said(60))) == 60
+        passage = said(12)
+        rows = [(1, said(3) + passage + said(2)), (2, said(2) + passage), (3, passage)]
+        left = {r.doc_id: r.text for r in sentence_dedup.remove_repeats(docs(spark, rows)).collect()}
+        assert left[1] == rows[0][1] and len(left[3]) <= (0 if mark else 36)
+        assert passage[18:38] not in left[2] and passage[-38:-18] not in left[2] and left[2].startswith(rows[1][1][:8])
+
+
 def test_language_id(spark):
     rng = random.Random(8)
     sounds = {"aa": "ka ro mi ta le", "bb": "schu ngö pfei ät", "cc": "zzq xwv qqk"}
