@@ -17,7 +17,8 @@ from reelspark.llm.common import checkpoint, settled
 
 #: Attempts that go into the query as literals at most; more are joined by document.
 LITERAL_ATTEMPTS = 200
-MAX_DRAWS = 64
+#: Draws that keep the length; each further one adds a digit or letter, so that there is no end of surrogates.
+SAME_LENGTH = 8
 
 # Honorifics by script and gender, and given names for surrogates.
 MALE = "Mr|Mister|Herr|Monsieur|Señor|Sr|Don"
@@ -154,21 +155,24 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column, form: Colu
     """What stands in place of an entity written as form."""
     drawn = _draw(key, kind, canon, attempt, "entity")
     domain = _draw(key, F.lit("domain"), F.regexp_extract(canon, "@(.*)$", 1), F.lit(0), "domain")
-    octet = lambda i: (F.conv(F.substring(drawn, 8 * i + 1, 6), 16, 10).cast("int") % (223 if i == 0 else 254) + 1).cast("string")
+    wider = F.greatest(attempt - (SAME_LENGTH - 1), F.lit(0))
+    more = lambda x, c: F.concat(x, F.repeat(F.lit(c), wider))
+    # wider octets are those of no address
+    octet = lambda i: (F.conv(F.substring(drawn, 8 * i + 1, 6), 16, 10).cast("int") % (223 if i == 0 else 254) + 1 + 256 * wider).cast("string")
     country = F.length(F.regexp_extract(form, r"^\+(\d{1,3})", 1))
     # the country's digits stay where they are set apart; a run of digits keeps its first
     prefix = F.when(form.rlike(r"^\+\d{1,3}[ .(-]"), country).when(form.startswith("+"), F.lit(1)).otherwise(F.lit(0))
     return (
-        F.when(kind == "email", F.concat(_lettered(F.regexp_extract(form, "^(.*)@", 1), drawn), F.lit("@"), _lettered(F.lit("mailhost"), domain), F.when(form.rlike("[a-z]"), F.lit(".example.org")).otherwise(F.lit(".EXAMPLE.ORG"))))
+        F.when(kind == "email", F.concat(_lettered(more(F.regexp_extract(form, "^(.*)@", 1), "a"), drawn), F.lit("@"), _lettered(F.lit("mailhost"), domain), F.when(form.rlike("[a-z]"), F.lit(".example.org")).otherwise(F.lit(".EXAMPLE.ORG"))))
         .when(kind == "ip", F.concat_ws(".", *[octet(i) for i in range(4)]))
-        .when(kind == "iban", _filled(form, drawn, F.lit(0)))
-        .when(kind == "phone", _filled(form, drawn, prefix))
-        .when(kind == "card", _checked(_filled(form, drawn, F.lit(1))))
-        .when(kind == "ssn", _filled(F.concat(F.lit("9"), F.substring(form, 2, 10)), drawn, F.lit(1)))
-        .when(kind == "access_key", F.concat(F.substring(form, 1, 4), _lettered(F.substring(form, 5, 16), drawn)))
-        .when(kind == "credential", _lettered(form, drawn))
+        .when(kind == "iban", _filled(more(form, "0"), drawn, F.lit(0)))
+        .when(kind == "phone", _filled(more(form, "0"), drawn, prefix))
+        .when(kind == "card", _checked(_filled(more(form, "0"), drawn, F.lit(1))))
+        .when(kind == "ssn", _filled(F.concat(F.lit("9"), more(F.substring(form, 2, 10), "0")), drawn, F.lit(1)))
+        .when(kind == "access_key", F.concat(F.substring(form, 1, 4), _lettered(more(F.substring(form, 5, 16), "A"), drawn)))
+        .when(kind == "credential", _lettered(more(form, "a"), drawn))
         .when(kind == "name", _named(form, drawn, attempt))
-        .otherwise(_hex_for(form, drawn))
+        .otherwise(_hex_for(more(form, "0"), drawn))
     )
 
 
@@ -189,13 +193,14 @@ def attempts(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, attempt) of the entities (kind, canon, form) that need another draw than the first.
 
     All distinct entities are drawn; those that share a surrogate with one before them,
-    or whose surrogate is an entity of the corpus, are drawn again, until none is left.
+    or whose surrogate is an entity of the corpus, are drawn again, until none is left;
+    as longer and longer ones are drawn, that comes to an end however many there are.
     Only distinct entities are shuffled, by their own values.
     """
     distinct = checkpoint(entities.groupBy("kind", "canon").agg(F.min("form").alias("form")))
     taken = distinct.select("kind", F.col("canon").alias("image"), F.lit(True).alias("is_entity"))
     drawn = distinct.withColumn("attempt", F.lit(0))
-    for _ in range(MAX_DRAWS):
+    while True:
         made = surrogate(key, F.col("kind"), F.col("canon"), F.col("attempt"), F.col("form"))
         seen = drawn.withColumn("image", _canon(F.col("kind"), made))
         first = seen.groupBy("kind", "image").agg(F.min_by("canon", F.struct("attempt", "canon")).alias("first"), F.count("*").alias("n"))
@@ -205,7 +210,6 @@ def attempts(entities: DataFrame, key: str) -> DataFrame:
         if not losers.head(1):
             return drawn.filter("attempt > 0").select("kind", "canon", "attempt")
         drawn = checkpoint(drawn.join(losers, ["kind", "canon"], "left").withColumn("attempt", F.col("attempt") + F.coalesce("again", F.lit(0))).drop("again"))
-    raise ValueError(f"{MAX_DRAWS} draws leave surrogates that aren't distinct")
 
 
 def replace_entities(df: DataFrame, key: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

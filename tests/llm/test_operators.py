@@ -191,6 +191,20 @@ def test_pii_clashes_are_drawn_again(spark, monkeypatch, literals):
     assert all(a == b for a, b in out) and len({a for a, _ in out}) == 20
 
 
+def replaced(spark, texts):
+    """The texts with surrogates."""
+    out = pii.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()
+    return [r.text for r in sorted(out)]
+
+
+def test_pii_of_few_surrogates(spark):
+    """Formats of which the corpus has all there are."""
+    phones = [f"+10 {n:02}" for n in range(100)]
+    mails = [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyz"]
+    out = replaced(spark, [*phones, *mails, "password: ------", "password: ------"])
+    assert len(set(out)) == 127 and not set(out) & {*phones, *mails, "password: ------"}
+
+
 def brute_substrings(rows, length=50):
     seen, out = {}, []
     key = lambda i: (i is not None, i or 0)
