@@ -48,8 +48,8 @@ PATTERNS = {
     "card": r"(?<![\w.-])(?:3[47]\d{2}[ -]?\d{6}[ -]?\d{5}|[2-6]\d{3}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7})(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "access_key": r"(?<!\w)A[KS]IA[A-Z0-9]{16}(?!\w)",
-    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])",
-    "credential": rf"(?<=(?i:{SECRET_NAMES})[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[A-Za-z0-9_+/.-]{{6,128}}",
+    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])",
+    "credential": rf"(?<=(?i:{SECRET_NAMES})[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[A-Za-z0-9_+/.-]{{6,}}",
     "name": rf"(?<!\w)(?:{MALE}|{FEMALE}|{MALE_CYRILLIC}|{FEMALE_CYRILLIC})\.?[ ]{_NAME}(?:[ ]{_NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -113,20 +113,25 @@ def _checked(form: Column) -> Column:
     return F.concat(F.regexp_replace(form, r"\d$", ""), F.pmod(-total, F.lit(10)).cast("string"))
 
 
+def _bound(value: Column, body) -> Column:
+    """body(value), with value worked out once, and not for each character that looks it up."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _lettered(form: Column, drawn: Column) -> Column:
-    """form with letters for letters and digits for digits, case kept."""
+    """form with letters for letters and digits for digits, case kept; in a time that grows with its length."""
 
-    def step(done: Column, c: Column) -> Column:
-        n = F.conv(F.substring(drawn, done["i"] * 3 % 60 + 1, F.lit(3)), 16, 10).cast("int")
+    def new(c: Column, i: Column) -> Column:
+        n = F.conv(F.substring(drawn, i * 3 % 60 + 1, F.lit(3)), 16, 10).cast("int")
         letter = F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), n % 26 + 1, F.lit(1))
-        new = F.when(c.rlike("^[0-9]$"), (n % 10).cast("string")).when(c.rlike(r"^\p{Lu}$"), F.upper(letter)).when(c.rlike(r"^\p{L}$"), letter).otherwise(c)
-        return F.struct(F.concat(done["s"], new).alias("s"), (done["i"] + 1).alias("i"))
+        return F.when(c.rlike("^[0-9]$"), (n % 10).cast("string")).when(c.rlike(r"^\p{Lu}$"), F.upper(letter)).when(c.rlike(r"^\p{L}$"), letter).otherwise(c)
 
-    return F.aggregate(F.split(form, ""), F.struct(F.lit("").alias("s"), F.lit(0).alias("i")), step, lambda done: done["s"])
+    return F.array_join(F.transform(F.split(form, ""), new), "")
 
 
 def _hex_for(form: Column, drawn: Column) -> Column:
-    long = F.substring(F.concat(drawn, F.sha2(drawn, 256)), F.lit(1), F.length(form))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.length(form) / 64).cast("int")), lambda i: F.sha2(F.concat(drawn, i.cast("string")), 256))
+    long = F.substring(F.array_join(blocks, ""), F.lit(1), F.length(form))
     return F.when(form.rlike("[A-F]"), F.upper(long)).otherwise(long)
 
 
@@ -153,7 +158,10 @@ def _script_name(form: Column, drawn: Column, attempt: Column, script: str, titl
 
 def surrogate(key: str, kind: Column, canon: Column, attempt: Column, form: Column) -> Column:
     """What stands in place of an entity written as form."""
-    drawn = _draw(key, kind, canon, attempt, "entity")
+    return _bound(_draw(key, kind, canon, attempt, "entity"), lambda drawn: _drawn_as(key, kind, canon, attempt, form, drawn))
+
+
+def _drawn_as(key: str, kind: Column, canon: Column, attempt: Column, form: Column, drawn: Column) -> Column:
     domain = _draw(key, F.lit("domain"), F.regexp_extract(canon, "@(.*)$", 1), F.lit(0), "domain")
     wider = F.greatest(attempt - (SAME_LENGTH - 1), F.lit(0))
     more = lambda x, c: F.concat(x, F.repeat(F.lit(c), wider))
@@ -163,7 +171,7 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column, form: Colu
     # the country's digits stay where they are set apart; a run of digits keeps its first
     prefix = F.when(form.rlike(r"^\+\d{1,3}[ .(-]"), country).when(form.startswith("+"), F.lit(1)).otherwise(F.lit(0))
     return (
-        F.when(kind == "email", F.concat(_lettered(more(F.regexp_extract(form, "^(.*)@", 1), "a"), drawn), F.lit("@"), _lettered(F.lit("mailhost"), domain), F.when(form.rlike("[a-z]"), F.lit(".example.org")).otherwise(F.lit(".EXAMPLE.ORG"))))
+        F.when(kind == "email", F.concat(_lettered(more(F.regexp_extract(form, "^(.*)@", 1), "a"), drawn), F.lit("@"), _bound(domain, lambda x: _lettered(F.lit("mailhost"), x)), F.when(form.rlike("[a-z]"), F.lit(".example.org")).otherwise(F.lit(".EXAMPLE.ORG"))))
         .when(kind == "ip", F.concat_ws(".", *[octet(i) for i in range(4)]))
         .when(kind == "iban", _filled(more(form, "0"), drawn, F.lit(0)))
         .when(kind == "phone", _filled(more(form, "0"), drawn, prefix))

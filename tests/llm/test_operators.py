@@ -205,6 +205,15 @@ def test_pii_of_few_surrogates(spark):
     assert len(set(out)) == 127 and not set(out) & {*phones, *mails, "password: ------"}
 
 
+def test_pii_of_any_length(spark):
+    """No rest of a long secret stays."""
+    rng = random.Random(9)
+    token, hexed = "".join(rng.choices("abcXYZ019_-", k=3000)), "".join(rng.choices("0123456789abcdef", k=700))
+    first, second = replaced(spark, [f"token = {token} end", f"key {hexed} end"])
+    assert len(first) == len(f"token = {token} end") and not any(token[i : i + 12] in first for i in range(len(token) - 12))
+    assert re.fullmatch("key [0-9a-f]{700} end", second) and not any(hexed[i : i + 12] in second for i in range(len(hexed) - 12))
+
+
 def brute_substrings(rows, length=50):
     seen, out = {}, []
     key = lambda i: (i is not None, i or 0)
