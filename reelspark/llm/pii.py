@@ -36,6 +36,8 @@ SYLLABLES = {
     "cyrillic": "ба бе би бо да де ди до фа фе га го ха хе жа жо ка ке ки ко ла ле ли ло ма ме ми мо на не ни но па пе пи по ра ре ри ро са се си со та те ти то ва ве ви во ша ше за зе зи зо бра дре фри гро кла пле сто три".split(),
 }
 
+#: The country's one, two or three digits behind a plus sign.
+COUNTRY = r"^\+([17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 SECRET_NAMES = "password|passwd|pwd|passphrase|secret|token|api_key|apikey|api-key"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
@@ -70,7 +72,8 @@ def _canon(kind: Column, found: Column) -> Column:
     female = found.rlike(rf"^(?:{FEMALE}|{FEMALE_CYRILLIC})\.? ")
     bare = F.lower(F.regexp_replace(found, r"^\S+ ", ""))
     return (
-        F.when(kind.isin("phone", "card", "ssn"), digits)
+        F.when(kind == "phone", F.concat(F.regexp_extract(found, r"^(\+?)", 1), digits))
+        .when(kind.isin("card", "ssn"), digits)
         .when(kind == "iban", F.regexp_replace(found, " ", ""))
         .when(kind.isin("email", "secret"), F.lower(found))
         .when(kind == "name", F.concat(F.when(female, "female ").otherwise("male "), bare))
@@ -139,12 +142,12 @@ def _pick(values, drawn: Column, place: int) -> Column:
     return F.get(F.array(*map(F.lit, values)), F.conv(F.substring(drawn, place, 3), 16, 10).cast("int") % len(values))
 
 
-def _named(form: Column, drawn: Column, attempt: Column) -> Column:
-    """The honorific, a given name of its gender if the form has one, and a surname, in the form's script."""
+def _named(canon: Column, form: Column, drawn: Column, attempt: Column) -> Column:
+    """The honorific, a given name of its gender if the form has one, and a surname, in the name's script."""
     title = F.regexp_extract(form, r"^(\S+ )", 1)
     two = form.rlike(r"^\S+ \S+ \S+$")
     names = [_script_name(form, drawn, attempt, script, title, two) for script in ("cyrillic", "latin")]
-    return F.when(form.rlike(r"\p{IsCyrillic}"), names[0]).otherwise(names[1])
+    return F.when(canon.rlike(r"\p{IsCyrillic}"), names[0]).otherwise(names[1])
 
 
 def _script_name(form: Column, drawn: Column, attempt: Column, script: str, title: Column, two: Column) -> Column:
@@ -167,9 +170,8 @@ def _drawn_as(key: str, kind: Column, canon: Column, attempt: Column, form: Colu
     more = lambda x, c: F.concat(x, F.repeat(F.lit(c), wider))
     # wider octets are those of no address
     octet = lambda i: (F.conv(F.substring(drawn, 8 * i + 1, 6), 16, 10).cast("int") % (223 if i == 0 else 254) + 1 + 256 * wider).cast("string")
-    country = F.length(F.regexp_extract(form, r"^\+(\d{1,3})", 1))
-    # the country's digits stay where they are set apart; a run of digits keeps its first
-    prefix = F.when(form.rlike(r"^\+\d{1,3}[ .(-]"), country).when(form.startswith("+"), F.lit(1)).otherwise(F.lit(0))
+    # the country's digits stay, told by the number itself, however it is written
+    prefix = F.length(F.regexp_extract(canon, COUNTRY, 1))
     return (
         F.when(kind == "email", F.concat(_lettered(more(F.regexp_extract(form, "^(.*)@", 1), "a"), drawn), F.lit("@"), _bound(domain, lambda x: _lettered(F.lit("mailhost"), x)), F.when(form.rlike("[a-z]"), F.lit(".example.org")).otherwise(F.lit(".EXAMPLE.ORG"))))
         .when(kind == "ip", F.concat_ws(".", *[octet(i) for i in range(4)]))
@@ -179,7 +181,7 @@ def _drawn_as(key: str, kind: Column, canon: Column, attempt: Column, form: Colu
         .when(kind == "ssn", _filled(F.concat(F.lit("9"), more(F.substring(form, 2, 10), "0")), drawn, F.lit(1)))
         .when(kind == "access_key", F.concat(F.substring(form, 1, 4), _lettered(more(F.substring(form, 5, 16), "A"), drawn)))
         .when(kind == "credential", _lettered(more(form, "a"), drawn))
-        .when(kind == "name", _named(form, drawn, attempt))
+        .when(kind == "name", _named(canon, form, drawn, attempt))
         .otherwise(_hex_for(more(form, "0"), drawn))
     )
 

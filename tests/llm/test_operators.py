@@ -214,6 +214,16 @@ def test_pii_of_any_length(spark):
     assert re.fullmatch("key [0-9a-f]{700} end", second) and not any(hexed[i : i + 12] in second for i in range(len(hexed) - 12))
 
 
+def test_pii_is_told_by_no_form(spark):
+    """One number has the same digits however it is written, and so has one name."""
+    forms = ["+49 30 1234567", "+49301234567", "+49 (30) 1234567", "+493 012 345 67", "+1 212 555 0100", "+12125550100", "+358 9 123 4567", "+35891234567"]
+    out = replaced(spark, [*forms, "Mr Smith", "господин Smith"])
+    digits = [re.sub(r"\D", "", x) for x in out[:8]]
+    assert len(set(digits[:4])) == len(set(digits[4:6])) == len(set(digits[6:])) == 1
+    assert (digits[0][:2], digits[4][0], digits[6][:3]) == ("49", "1", "358") and all(re.sub(r"\d", "", a) == re.sub(r"\d", "", b) for a, b in zip(forms, out))
+    assert out[8].split()[1] == out[9].split()[1]
+
+
 def brute_substrings(rows, length=50):
     seen, out = {}, []
     key = lambda i: (i is not None, i or 0)
