@@ -56,7 +56,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts without any of these have no entity; one cheap look spares them the long pattern.
-MAYBE = rf"[0-9@=:]|(?=[MHSDFгГ])(?:{MALE}|{FEMALE}|{MALE_CYRILLIC}|{FEMALE_CYRILLIC})\.? \p{{Lu}}"
+MAYBE = rf"[0-9@=:]|(?=[MHSDFгГ])(?:{MALE}|{FEMALE}|{MALE_CYRILLIC}|{FEMALE_CYRILLIC})\.? \p{{Lu}}|A[KS]IA[A-Z0-9]{{16}}|[a-f]{{32}}|[A-F]{{32}}"
 
 
 def _kind(found: Column) -> Column:
