@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """df, written once to the folder in spark.checkpoint.dir and cut off from its lineage.
+def folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which driver and executors share.
 
-    The folder that the cluster names is used; only where none is set (tests on one
-    machine) a folder under /tmp takes its place.
+    Only a session on one machine (tests) may leave it unset, where a folder under /tmp
+    takes its place; a cluster's executors wouldn't find that again, so there it fails.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints")
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        context.setCheckpointDir(named or "/tmp/checkpoints")
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """df, written once to the shared folder and cut off from its lineage."""
+    folder(df.sparkSession)
     return df.checkpoint()
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder that nothing reads any more, on whatever file system it is."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
