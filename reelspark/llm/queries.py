@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark.llm import byte_bpe, chat_format, decontamination, language_id, pii, quality_rules, sentence_dedup, simhash, substring_dedup, token_counts
-from reelspark.llm.common import table
+from reelspark.llm.common import checkpoint, table
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.digests(substring_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+    with substring_dedup.repeats_removed(table(spark, sf_dir, "documents")) as done:
+        return checkpoint(substring_dedup.digests(done))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

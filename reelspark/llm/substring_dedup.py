@@ -1,28 +1,34 @@
 """Suffix-array dedup: bytes under strings that an earlier document has too.
 
-1. Documents are packed into chunks of a few MB, written once. In a chunk, every
-   string of the wanted length has an anchor: the gram with the smallest hash in it.
-   Strings in a row mostly share their anchor; such a row is a region. Equal strings
-   have equal anchors at equal places, wherever they stand.
-2. The anchors' hashes go, sorted and packed, to hash ranges, which answer for each
-   whether other chunks have it. The rest of the corpus is settled.
-3. The bytes of the remaining regions go to the ranges of their anchors. Equal
-   regions fall together. Where regions of one anchor differ, the suffixes at their
-   string starts are sorted: a merge sort whose comparisons find the common extension
-   of two suffixes by binary search over prefix polynomial hashes. Neighbours that
-   agree over the wanted length are compared byte by byte, so a hash collision can't
-   join different strings. Each run of equal strings knows its smallest document.
+1. Documents are packed into chunks of a few MB, written once. Texts are cut into
+   blocks where their own bytes say, so copies have equal blocks. The blocks' digests go
+   to hash ranges, which answer for each whether an earlier document has it. So of each
+   group of copies one is left, and what follows grows with the distinct text.
+2. In what is left, every string of the wanted length has an anchor: the gram with the
+   smallest hash in it. Strings in a row mostly share their anchor; such a row is a
+   region. Equal strings have equal anchors at equal places, wherever they stand. The
+   anchors' hashes go to hash ranges, which answer whether other chunks have them.
+3. The bytes of the regions with shared anchors go to the ranges of their anchors. There
+   the suffixes at their string starts are sorted: a merge sort whose comparisons find
+   the common extension of two suffixes by binary search over prefix polynomial hashes.
+   Neighbours that agree over the wanted length are compared byte by byte, so a hash
+   collision can't join different strings. Each run of equal strings knows its smallest
+   document. (Regions of the very same bytes, compared byte by byte, are sorted once.)
 4. The answers go back to the chunks, which mark the bytes and cut them out.
 
-An anchor found in many chunks (a passage that many documents share) isn't kept
-together: its strings go out one by one, under their own hashes, once for each chunk.
-The chunks are a bucketed table, so answers come to the texts and no text is shuffled.
+An anchor found in very many chunks isn't kept together: its strings go out one by one,
+under their own hashes, once for each chunk. The chunks are a bucketed table, so answers
+come to the texts and no text is shuffled. There is a hash range for every few chunks,
+so a task holds the same whatever the corpus, and a chunk only sends to ranges that it
+has something for.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -32,18 +38,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.llm.common import checkpoint, released, text_of
+from reelspark.llm.common import released, text_of
 from reelspark.llm.hashing import Spans, mixed
 from reelspark.llm.simhash import groups
+from reelspark.operators.lineage import checkpoint, discard, folder
 
 LENGTH = 50
 CHUNK_BYTES = 8 << 20
 #: Text of a chunk that is hashed at a time, and text of regions that is compared at a time.
 STEP_BYTES = SLICE_BYTES = 1 << 20
-#: Hash ranges of regions to each one of anchors: regions carry text, and a task holds the regions of one range.
-REGION_RANGES = 8
+#: A text is cut where the hash of a gram has this many zero bits: into blocks of 1 << BLOCK_BITS bytes on average.
+BLOCK_GRAM, BLOCK_BITS = 24, 8
+#: Chunks to a hash range; a task holds what all chunks send to one range.
+RANGE_CHUNKS = 4
 #: An anchor found in more chunks is dealt out string by string.
-COMMON_CHUNKS = 64
+COMMON_CHUNKS = 1024
 _NO_ID = np.iinfo(np.int64).min
 
 
@@ -169,30 +178,77 @@ def sort_suffixes(data: np.ndarray, spans: Spans, starts: np.ndarray, group: np.
 # Chunks
 
 
-class Chunk:
-    """Texts of a chunk, in order of their ids, and its regions: strings in a row with one anchor.
-
-    Hashes are worked out STEP_BYTES of text at a time, so that a chunk takes little
-    more memory than its text and its regions. A region ends where a step does.
-    """
+class Texts:
+    """Texts of a chunk, in order of their ids, and their blocks."""
 
     def __init__(self, blob: bytes, ids: np.ndarray, sizes: np.ndarray, length: int):
         self.length = length
-        self.width = max(1, min(length // 2, 60))  # strings that an anchor can serve
         self.data = np.frombuffer(zstandard.decompress(blob) if sizes.sum() else b"", np.uint8)
         self.ids, self.sizes = ids, sizes
         self.firsts = np.cumsum(sizes) - sizes
         self.rank = np.cumsum(np.diff(ids, prepend=ids[:1]) != 0) if len(ids) else np.zeros(0, np.int64)  # equal ids are equal
+
+    def _hashed(self, first: int, length: int) -> Spans:
+        """Spans of the step that starts at first, with what its last strings of length bytes reach over."""
+        return Spans(self.data[first : first + STEP_BYTES + length - 1] + np.uint64(1), "bytes")
+
+    def blocks(self) -> dict[str, np.ndarray]:
+        """Blocks: strings in a row from one cut to the next, told by a digest of their bytes, and the distinct ones.
+
+        starts, stops, doc, entry: of each block, its strings, document and place among
+        the distinct ones; keys, digests, first_doc: of each distinct one, the halves of
+        its digest, in their order, and its first document here.
+        """
+        gram = min(BLOCK_GRAM, self.length)
+        ends = self.firsts + self.sizes - self.length + 1  # behind the last string
+        cuts = [self.firsts[self.sizes >= self.length]]
+        for first in range(0, len(self.data) - gram + 1, STEP_BYTES):
+            hashes = mixed(self._hashed(first, gram).every(gram))
+            cuts.append(first + np.flatnonzero(hashes >> np.uint64(64 - BLOCK_BITS) == 0))
+        starts = np.unique(np.concatenate(cuts))
+        doc = np.searchsorted(self.firsts, starts, "right") - 1
+        within = starts < ends[doc]
+        starts, doc = starts[within], doc[within]
+        stops = np.minimum(np.append(starts[1:], len(self.data)), ends[doc])
+        view = memoryview(self.data)
+        told = b"".join([blake2b(view[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), (stops + self.length - 1).tolist())])
+        key, digest = np.frombuffer(told, np.uint64).reshape(-1, 2).T
+        order = np.lexsort((digest, key))  # stable, so the first document comes first
+        new = (np.diff(key[order], prepend=np.uint64(0)) != 0) | (np.diff(digest[order], prepend=np.uint64(0)) != 0)
+        new[:1] = True
+        entry = np.zeros(len(order), np.int64)
+        entry[order] = np.cumsum(new) - 1
+        lead = order[new]
+        return {"starts": starts, "stops": stops, "doc": doc, "entry": entry, "keys": key[lead], "digests": digest[lead], "first_doc": doc[lead]}
+
+    def covered(self, answers: np.ndarray) -> np.ndarray:
+        """Which strings stand in a block that an earlier document has; answers: of each distinct block, whether one of another chunk has."""
+        blocks = self.blocks()
+        entry = blocks["entry"]
+        gone = (answers[entry] != 0) | (self.rank[blocks["doc"]] > self.rank[blocks["first_doc"][entry]])
+        edges = np.zeros(len(self.data) + 1, np.int8)
+        edges[blocks["starts"][gone]] += 1
+        edges[blocks["stops"][gone]] -= 1
+        return np.cumsum(edges[:-1], dtype=np.int8) > 0
+
+
+class Chunk(Texts):
+    """The regions of a chunk: strings in a row with one anchor, but for those that are covered.
+
+    Hashes are worked out STEP_BYTES of text at a time, so that a chunk takes little
+    more memory than its text and its regions. A region ends where a step does.
+    """
+
+    def __init__(self, blob: bytes, ids: np.ndarray, sizes: np.ndarray, length: int, blocks: np.ndarray | None = None):
+        super().__init__(blob, ids, sizes, length)
+        self.width = max(1, min(length // 2, 60))  # strings that an anchor can serve
+        self.gone = np.zeros(len(self.data), bool) if blocks is None else self.covered(blocks)
         found = [self._regions(a) for a in range(0, max(1, len(self.data) - length + 1), STEP_BYTES)]
         self.starts, self.stops, self.offsets, self.doc, self.hashes, self.contents = map(np.concatenate, zip(*found))
 
-    def _hashed(self, first: int) -> Spans:
-        """Spans of the step that starts at first, with what its last strings reach over."""
-        return Spans(self.data[first : first + STEP_BYTES + self.length - 1] + np.uint64(1), "bytes")
-
     def _regions(self, first: int) -> tuple[np.ndarray, ...]:
         length, width = self.length, self.width
-        spans = self._hashed(first)
+        spans = self._hashed(first, length)
         hashes = mixed(spans.every(length - width + 1))
         low = (hashes >> np.uint64(32)).astype(np.uint32)
         at = np.arange(len(low), dtype=np.int32)
@@ -207,7 +263,7 @@ class Chunk:
         places = np.arange(first, first + len(spans.sums) - 1)
         owner = (np.searchsorted(self.firsts, places, "right") - 1).astype(np.int32)
         # documents without bytes share their place with the next one, which searchsorted takes
-        at[owner[:strings] != owner[length - 1 :]] = -1  # over the end of a document
+        at[(owner[:strings] != owner[length - 1 :]) | self.gone[first : first + strings]] = -1  # over the end of a document, or covered
         turns = np.flatnonzero(np.diff(at, prepend=np.int32(-2)))
         stops = np.append(turns, strings)[1:]
         kept = at[turns] >= 0
@@ -245,7 +301,7 @@ class Chunk:
         for step in np.unique(apart // STEP_BYTES).tolist():
             own = np.flatnonzero(apart // STEP_BYTES == step)
             at = apart[own] - step * STEP_BYTES
-            alone[own] = mixed(self._hashed(step * STEP_BYTES).of(at, at + self.length))
+            alone[own] = mixed(self._hashed(step * STEP_BYTES, self.length).of(at, at + self.length))
         key = np.concatenate([self.hashes[shared], alone])
         offset = np.concatenate([self.offsets[shared], np.full(len(apart), 255, np.uint8)])
         content = np.concatenate([self.contents[shared], alone])
@@ -262,8 +318,8 @@ class Chunk:
         return {"key": key[new], "offset": offset[new], "strings": strings[new].astype(np.uint8), "first_start": start[new], "first_size": size[new], "first_doc": doc[new], "entry": entry, "start": start, "count": strings, "doc": doc}
 
 
-def _chunks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """The table of chunks (chunk, ids, sizes, blob), written to the shared folder, and its number of buckets."""
+def _chunks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """The table of chunks (chunk, ids, sizes, blob), written to the shared folder, and its name."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -294,17 +350,16 @@ def _chunks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
 
     spark = df.sparkSession
     source = df.select(df[id_col].cast("long").alias("_id"), text_of(text_col).alias("_text"))
-    buckets = max(4, source.rdd.getNumPartitions())
-    checkpoint(spark.range(0))  # sets the shared folder where none is set
+    buckets = max(4, 2 * source.rdd.getNumPartitions())
     name = f"chunks_{uuid.uuid4().hex}"
     packed = source.mapInArrow(released(pack), "chunk long, ids array<long>, sizes array<long>, blob binary")
-    packed.write.format("parquet").option("compression", "none").option("path", f"{spark.sparkContext.getCheckpointDir()}/{name}").bucketBy(buckets, "chunk").saveAsTable(name)
-    return spark.table(name), buckets
+    packed.write.format("parquet").option("compression", "none").option("path", f"{folder(spark)}/{name}").bucketBy(buckets, "chunk").saveAsTable(name)
+    return spark.table(name), name
 
 
-def _opened(batch: pa.RecordBatch, i: int, length: int) -> Chunk:
+def _opened(batch: pa.RecordBatch, i: int, length: int, kind=Chunk, **more) -> Texts:
     ids, sizes = (np.asarray(batch.column(c)[i].values.to_numpy(zero_copy_only=False), np.int64) for c in (1, 2))
-    return Chunk(batch.column(3)[i].as_buffer().to_pybytes(), ids, sizes, length)
+    return kind(batch.column(3)[i].as_buffer().to_pybytes(), ids, sizes, length, **more)
 
 
 def _answered(column: pa.Array, i: int, kind) -> np.ndarray:
@@ -313,13 +368,31 @@ def _answered(column: pa.Array, i: int, kind) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *[_unpack(x, kind) for _, x in parts]])
 
 
-def _gathered(answers: DataFrame) -> DataFrame:
-    """One row for each chunk, written once: a chunk's answers are as many as its regions at most."""
-    return checkpoint(answers.groupBy("chunk").agg(F.collect_list(F.struct("range", "answer")).alias("answers")))
+def _to_ranges(chunk: int, keys: np.ndarray, n: int, packed) -> pa.RecordBatch:
+    """A row for each of the n ranges that has keys; packed: from a slice of the sorted keys to the row's columns."""
+    bounds = _ranges(keys, n)
+    held = [(i, packed(slice(a, b))) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+    names = list(packed(slice(0, 0)))
+    return pa.record_batch([pa.array([chunk] * len(held), pa.int64()), pa.array([i for i, _ in held], pa.int32()), *[pa.array([x[c] for _, x in held], pa.binary()) for c in names]], ["chunk", "range", *names])
+
+
+def _answers(rows: pa.Table, answer: np.ndarray, counts: list[int]) -> pa.RecordBatch:
+    """What goes back: to each of a range's rows, the answers to its keys."""
+    ends = np.cumsum(counts)
+    blobs = [_pack(answer[b - n : b]) for b, n in zip(ends, counts)]
+    return pa.record_batch([pa.array(rows.column("chunk").to_numpy()), pa.array(rows.column("range").to_numpy()), pa.array(blobs, pa.binary())], ["chunk", "range", "answer"])
 
 
-def _by_range(sent: DataFrame, buckets: int) -> DataFrame:
-    return sent.repartition(buckets, "range").sortWithinPartitions("range", "chunk")
+@contextmanager
+def repeats_removed(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> Iterator[DataFrame]:
+    """What remove_repeats() gives; the chunks are dropped afterwards, so it has to be written or read within."""
+    chunks, name = _chunks(df, id_col, text_col)
+    try:
+        yield _without_repeats(chunks, df.schema[id_col].dataType.simpleString(), id_col, length)
+    finally:
+        spark = df.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        discard(spark, f"{folder(spark)}/{name}")
 
 
 def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -330,74 +403,100 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     within one document, and between rows of equal ids, are no repeats. A null id comes
     before all others. A null text has no bytes; texts shorter than length stay as they
     are. Other columns are not read; an empty df gives no rows.
-    """
-    kind = df.schema[id_col].dataType.simpleString()
-    chunks, buckets = _chunks(df, id_col, text_col)
-    parts = buckets * REGION_RANGES
 
-    def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                codes, _ = _opened(batch, i, length).anchor_codes()
-                bounds = _ranges(codes, buckets)
-                blobs = [_pack_sorted(codes[a:b]) for a, b in zip(bounds, bounds[1:])]
-                yield pa.record_batch([pa.array([batch.column(0)[i].as_py()] * buckets), pa.array(range(buckets), pa.int64()), pa.array(blobs, pa.binary())], ["chunk", "range", "blob"])
-
-    def answer_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in groups(_swapped(batches)):
-            held = [_unpack_sorted(x) for x in rows.column(2).to_pylist()]
-            codes, times = np.unique(np.concatenate(held), return_counts=True)
-            answer = (times > 1).astype(np.uint8) + (times > COMMON_CHUNKS)
-            blobs = [_pack(answer[np.searchsorted(codes, x)]) for x in held]
-            yield pa.record_batch([pa.array(rows.column("chunk").to_numpy()), pa.array(rows.column("range").to_numpy()), pa.array(blobs, pa.binary())], ["chunk", "range", "answer"])
-
-    def send_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                chunk = _opened(batch, i, length)
-                found = chunk.entries(_answered(batch.column(4), i, np.uint8))
-                bounds = _ranges(found["key"], parts)
-                out = []
-                for a, b in zip(bounds, bounds[1:]):
-                    text = chunk.data[_cells(found["first_start"][a:b], found["first_size"][a:b])].tobytes()
-                    out.append({"keys": _pack_sorted(found["key"][a:b]), "offsets": _pack(found["offset"][a:b]), "strings": _pack(found["strings"][a:b]), "owners": _pack(chunk.ids[found["first_doc"][a:b]]), "text": zstandard.compress(text, 3)})
-                yield pa.record_batch([pa.array([batch.column(0)[i].as_py()] * parts), pa.array(range(parts), pa.int64()), *[pa.array([x[k] for x in out], pa.binary()) for k in out[0]]], ["chunk", "range", *out[0]])
-
-    def answer_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in groups(_swapped(batches)):
-            columns = [x.to_pylist() for x in rows.columns[2:-1]]
-            keys = [_unpack_sorted(x) for x in columns[0]]
-            counts = [len(x) for x in keys]
-            offsets, strings, owners = (np.concatenate([_unpack(x, kind_) for x in column]) for column, kind_ in zip(columns[1:4], (np.uint8, np.uint8, np.int64)))
-            data = np.frombuffer(b"".join([zstandard.decompress(x) if n else b"" for x, n in zip(columns[4], counts)]), np.uint8)
-            del columns
-            masks = _masks(np.concatenate(keys), offsets, strings.astype(np.int64), owners, data, length)
-            ends = np.cumsum(counts)
-            blobs = [_pack(masks[b - n : b]) for b, n in zip(ends, counts)]
-            yield pa.record_batch([pa.array(rows.column("chunk").to_numpy()), pa.array(rows.column("range").to_numpy()), pa.array(blobs, pa.binary())], ["chunk", "range", "answer"])
+    The result reads the table of chunks in the checkpoint folder, which stays;
+    repeats_removed() drops it.
+    """
+    return _without_repeats(_chunks(df, id_col, text_col)[0], df.schema[id_col].dataType.simpleString(), id_col, length)
+
+
+def _without_repeats(chunks: DataFrame, kind: str, id_col: str, length: int) -> DataFrame:
+    n = max(8, chunks.count() // RANGE_CHUNKS)
+
+    def exchanged(asked: DataFrame, send, columns: str, answer, name: str) -> DataFrame:
+        """asked with the ranges' answers to what send makes of each chunk, in the column name."""
+
+        def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in groups(_swapped(batches)):
+                yield answer(rows)
+
+        def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    yield send(batch, i)
+
+        # ranges are dealt out one by one: a hash of their few numbers would deal them unevenly
+        dealt = asked.mapInArrow(released(sent), f"chunk long, range int, {columns}").repartitionById(n, F.col("range")).sortWithinPartitions("range", "chunk")
+        answers = dealt.mapInArrow(released(answered), "chunk long, range int, answer binary")
+        # one row for each chunk, written once: its answers are as many as what it sent
+        gathered = checkpoint(answers.groupBy("chunk").agg(F.collect_list(F.struct("range", "answer")).alias(name)))
+        return asked.join(gathered.hint("shuffle_hash"), "chunk", "left").select(*asked.columns, name)
+
+    def send_blocks(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
+        chunk = _opened(batch, i, length, Texts)
+        found = chunk.blocks()
+        owners = chunk.ids[found["first_doc"]]
+        return _to_ranges(batch.column(0)[i].as_py(), found["keys"], n, lambda own: {"keys": _pack_sorted(found["keys"][own]), "digests": _pack(found["digests"][own]), "owners": _pack(owners[own])})
+
+    def answer_blocks(rows: pa.Table) -> pa.RecordBatch:
+        held = [_unpack_sorted(x) for x in rows.column("keys").to_pylist()]
+        digests_, owners = (np.concatenate([_unpack(x, k) for x in rows.column(c).to_pylist()]) for c, k in (("digests", np.uint64), ("owners", np.int64)))
+        keys = np.concatenate(held)
+        order = np.lexsort((owners, digests_, keys))
+        new = (np.diff(keys[order], prepend=np.uint64(0)) != 0) | (np.diff(digests_[order], prepend=np.uint64(0)) != 0)
+        new[:1] = True
+        least = owners[order][new][np.cumsum(new) - 1]
+        earlier = np.zeros(len(keys), np.uint8)
+        earlier[order] = owners[order] > least
+        return _answers(rows, earlier, [*map(len, held)])
+
+    def opened(batch: pa.RecordBatch, i: int) -> Chunk:
+        return _opened(batch, i, length, blocks=_answered(batch.column(4), i, np.uint8))
+
+    def send_anchors(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
+        codes, _ = opened(batch, i).anchor_codes()
+        return _to_ranges(batch.column(0)[i].as_py(), codes, n, lambda own: {"codes": _pack_sorted(codes[own])})
+
+    def answer_anchors(rows: pa.Table) -> pa.RecordBatch:
+        held = [_unpack_sorted(x) for x in rows.column("codes").to_pylist()]
+        _, place, times = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+        return _answers(rows, ((times > 1).astype(np.uint8) + (times > COMMON_CHUNKS))[place], [*map(len, held)])
+
+    def send_regions(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
+        chunk = opened(batch, i)
+        found = chunk.entries(_answered(batch.column(5), i, np.uint8))
+
+        def packed(own: slice) -> dict[str, bytes]:
+            text = chunk.data[_cells(found["first_start"][own], found["first_size"][own])].tobytes()
+            return {"keys": _pack_sorted(found["key"][own]), "offsets": _pack(found["offset"][own]), "strings": _pack(found["strings"][own]), "owners": _pack(chunk.ids[found["first_doc"][own]]), "texts": zstandard.compress(text, 3)}
+
+        return _to_ranges(batch.column(0)[i].as_py(), found["key"], n, packed)
+
+    def answer_regions(rows: pa.Table) -> pa.RecordBatch:
+        keys = [_unpack_sorted(x) for x in rows.column("keys").to_pylist()]
+        offsets, strings, owners = (np.concatenate([_unpack(x, k) for x in rows.column(c).to_pylist()]) for c, k in (("offsets", np.uint8), ("strings", np.uint8), ("owners", np.int64)))
+        data = np.frombuffer(b"".join([zstandard.decompress(x) for x in rows.column("texts").to_pylist()]), np.uint8)
+        return _answers(rows, _masks(np.concatenate(keys), offsets, strings.astype(np.int64), owners, data, length), [*map(len, keys)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         for batch in batches:
             for i in range(batch.num_rows):
-                chunk = _opened(batch, i, length)
-                removed = _removed(chunk, chunk.entries(_answered(batch.column(4), i, np.uint8)), _answered(batch.column(5), i, np.uint64))
+                chunk = opened(batch, i)
+                removed = _removed(chunk, chunk.entries(_answered(batch.column(5), i, np.uint8)), _answered(batch.column(6), i, np.uint64))
                 spans, kept = [], []
-                for a, n in zip(chunk.firsts.tolist(), chunk.sizes.tolist()):
-                    own = removed[a : a + n]
+                for a, size in zip(chunk.firsts.tolist(), chunk.sizes.tolist()):
+                    own = removed[a : a + size]
                     turns = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
                     spans.append([{"start": x, "stop": y} for x, y in turns.reshape(-1, 2).tolist()])
-                    kept.append(chunk.data[a : a + n][~own].tobytes())
+                    kept.append(chunk.data[a : a + size][~own].tobytes())
                 ids = pa.array(chunk.ids, mask=chunk.ids == _NO_ID)
                 yield pa.record_batch([ids, pa.array(chunk.sizes), pa.array(spans, spans_type), pa.array(kept, pa.binary())], ["_id", "n_bytes", "spans", "kept"])
 
-    anchors = _by_range(chunks.mapInArrow(released(send_anchors), "chunk long, range long, blob binary"), buckets)
-    shared = _gathered(anchors.mapInArrow(released(answer_anchors), "chunk long, range long, answer binary"))
-    asked = chunks.join(shared.hint("shuffle_hash"), "chunk").select("chunk", "ids", "sizes", "blob", "answers")
-    regions = _by_range(asked.mapInArrow(released(send_regions), "chunk long, range long, keys binary, offsets binary, strings binary, owners binary, text binary"), buckets)
-    covered = _gathered(regions.mapInArrow(released(answer_regions), "chunk long, range long, answer binary")).withColumnRenamed("answers", "covered")
-    answered = asked.join(covered.hint("shuffle_hash"), "chunk").select("chunk", "ids", "sizes", "blob", "answers", "covered")
-    done = answered.mapInArrow(released(cut), "_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
+    asked = exchanged(chunks, send_blocks, "keys binary, digests binary, owners binary", answer_blocks, "blocks")
+    asked = exchanged(asked, send_anchors, "codes binary", answer_anchors, "anchors")
+    asked = exchanged(asked, send_regions, "keys binary, offsets binary, strings binary, owners binary, texts binary", answer_regions, "regions")
+    done = asked.mapInArrow(released(cut), "_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
     return done.select(F.col("_id").cast(kind).alias(id_col), "n_bytes", "spans", "kept")
 
 
@@ -452,10 +551,7 @@ def _slice_masks(keys, offsets, strings, owners, data, full, length) -> np.ndarr
     at = begin[owner] + w
     # equal strings have equal anchors at equal places
     group = mixed(keys[owner] + (offsets[owner].astype(np.int64) - w).astype(np.uint64) * np.uint64(0x9E3779B1))
-    whole = mixed(spans.of(at, at + length) + group)
-    _, place, times = np.unique(whole, return_inverse=True, return_counts=True)
-    able = np.flatnonzero(times[place] > 1)  # a string whose hash is alone is alone
-    able = able[np.argsort(group[able], kind="stable")]
+    able = np.argsort(group, kind="stable")
     rank, equal = sort_suffixes(data, spans, at[able], np.cumsum(np.diff(group[able], prepend=group[able][:1]) != 0), length)
     able = able[rank]
     if len(able):
@@ -472,7 +568,10 @@ def _slice_masks(keys, offsets, strings, owners, data, full, length) -> np.ndarr
 
 def _removed(chunk: Chunk, found: dict[str, np.ndarray], masks: np.ndarray) -> np.ndarray:
     """Which bytes of the chunk go."""
-    edges = np.zeros(len(chunk.data) + 1, np.int32)
+    edges = np.zeros(len(chunk.data) + chunk.length, np.int32)
+    turns = np.flatnonzero(np.diff(chunk.gone.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    edges[turns[::2]] += 1
+    edges[turns[1::2] + chunk.length - 1] -= 1
     entry, start, count = found["entry"], found["start"], found["count"]
     own = masks[entry]
     full = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
@@ -484,7 +583,7 @@ def _removed(chunk: Chunk, found: dict[str, np.ndarray], masks: np.ndarray) -> n
         at = start[part[(own[part] >> np.uint64(w)) & np.uint64(1) == 1]] + w
         np.add.at(edges, at, 1)
         np.add.at(edges, at + chunk.length, -1)
-    return np.cumsum(edges[:-1], dtype=np.int32) > 0
+    return np.cumsum(edges[: len(chunk.data)], dtype=np.int32) > 0
 
 
 def digests(done: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
