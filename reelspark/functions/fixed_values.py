@@ -2,7 +2,7 @@
 
 # Results depend on these words and their order.
 
-SCHEMA_VERSION = "yt-dlp-clip/1.2"
+SCHEMA_VERSION = "reelspark-clip/1"
 
 TASK_FAMILIES = ("manipulation", "locomotion", "interaction", "driving")
 

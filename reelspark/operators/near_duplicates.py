@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,31 +12,83 @@ from reelspark.functions.perceptual import distance
 from reelspark.operators.components import connected_components
 from reelspark.operators.lineage import checkpoint
 
-BAND_BITS = 16
+#: Values that a row goes out under for a band at most, which bounds the literals of a plan.
+MAX_NEAR = 1024
 
 
-def _bands(signature: Column, n: int) -> Column:
-    return F.array(*[F.shiftrightunsigned(F.get(signature, F.lit(i)), 64 - BAND_BITS * (b + 1)).bitwiseAND(F.lit((1 << BAND_BITS) - 1)) for i in range(n) for b in range(64 // BAND_BITS)])
+def _flips(width: int, reach: int) -> list[int]:
+    """Masks of up to reach out of width bits."""
+    return [sum(1 << i for i in c) for k in range(reach + 1) for c in combinations(range(width), k)]
+
+
+def _cuts(n_bits: int, bands: int) -> list[int]:
+    """Bounds of bands of about the same width."""
+    return [n_bits * i // bands for i in range(bands + 1)]
+
+
+def banding(rows: float, n_bits: int, most_bits: int) -> tuple[int, int, int]:
+    """(bands, reach of one side, reach of the other) with the least expected work for so many rows.
+
+    Of bands many pieces, one has most_bits // bands differing bits at most; the sides
+    share that reach. Work of a row: the values it goes out under, and the other rows
+    that meet it by chance, which more and more rows make up for by wider bands.
+    """
+    best = None
+    for bands in range(1, min(most_bits + 1, n_bits) + 1):
+        width, reach = n_bits // bands, min(most_bits // bands, n_bits // bands)
+        near = [sum(comb(width, k) for k in range(r + 1)) for r in ((reach + 1) // 2, reach // 2)]
+        if width > 62 or max(near) > MAX_NEAR:
+            continue
+        work = bands * sum(near) + rows * bands * near[0] * near[1] / 2.0**width
+        if best is None or work < best[0]:
+            best = work, bands, (reach + 1) // 2, reach // 2
+    if best is None:
+        raise ValueError(f"{most_bits} of {n_bits} bits is no near-duplicate")
+    return best[1:]
+
+
+def _bands(signature: Column, n: int, bands: int) -> Column:
+    """The signature's bits, cut into bands, each a number."""
+
+    def number(start: int, stop: int) -> Column:
+        parts = []
+        for i in range(start // 64, (stop - 1) // 64 + 1):  # a band may reach over two hashes
+            low, high = max(start, 64 * i), min(stop, 64 * i + 64)
+            own = F.shiftrightunsigned(F.get(signature, F.lit(i)), 64 * i + 64 - high).bitwiseAND(F.lit((1 << (high - low)) - 1))
+            parts.append(F.shiftleft(own, stop - high))
+        return parts[0] if len(parts) == 1 else parts[0].bitwiseOR(parts[1])
+
+    cuts = _cuts(64 * n, bands)
+    return F.array(*[number(a, b) for a, b in zip(cuts, cuts[1:])])
 
 
 def hamming_pairs(signatures: DataFrame, most_bits: int, n: int) -> DataFrame:
     """(a, b, bits) for all pairs a < b of (ord, sig) rows with most_bits differing bits at most, out of n * 64.
 
-    Some band of BAND_BITS bits has its share of the differing bits or less; so one side
-    goes out under all values that near each of its bands, the other under its bands,
-    and an equi-join finds all pairs. Only the first band that could find a pair gives
-    it out. Large keys are split by the engine's skew join.
+    Some band has its share of the differing bits or less; so either side goes out under
+    the values that near each of its bands, and an equi-join finds all pairs. Bands are
+    as wide as the number of rows asks for (see banding), so that chance meetings of a
+    row don't grow with it. Only bands and ords are shuffled there; pairs that met get
+    their signatures afterwards, once each. Large keys are split by the engine's skew join.
     """
-    bands = n * 64 // BAND_BITS
-    reach = most_bits // bands
-    flips = [sum(1 << i for i in c) for k in range(reach + 1) for c in combinations(range(BAND_BITS), k)]
-    own = signatures.select("ord", "sig", F.posexplode(_bands(F.col("sig"), n)).alias("band", "value"))
-    around = own.select(F.col("ord").alias("a"), F.col("sig").alias("sig_a"), "band", F.explode(F.transform(F.array(*map(F.lit, flips)), lambda m: F.col("value").bitwiseXOR(m))).alias("value"))
-    met = around.join(own.select(F.col("ord").alias("b"), F.col("sig").alias("sig_b"), "band", "value"), ["band", "value"]).filter("a < b")
+    bands, far, near = banding(signatures.count(), 64 * n, most_bits)
+    widths = [b - a for a, b in zip(_cuts(64 * n, bands), _cuts(64 * n, bands)[1:])]
+    own = signatures.select("ord", F.posexplode(_bands(F.col("sig"), n, bands)).alias("band", "value"))
+
+    def around(name: str, reach: int) -> DataFrame:
+        if not reach:
+            return own.select(F.col("ord").alias(name), "band", "value")
+        masks = {w: F.lit(_flips(w, reach)).cast("array<bigint>") for w in set(widths)}
+        wide = F.array(*map(F.lit, widths))[F.col("band")]
+        chosen = F.lit(None).cast("array<bigint>")
+        for w, listed in masks.items():
+            chosen = F.when(wide == w, listed).otherwise(chosen)
+        return own.select(F.col("ord").alias(name), "band", "value", F.explode(chosen).alias("mask")).select(name, "band", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
+
+    met = around("a", far).join(around("b", near), ["band", "value"]).filter("a < b").select("a", "b").distinct()
+    held = met.join(signatures.select(F.col("ord").alias("a"), F.col("sig").alias("sig_a")), "a").join(signatures.select(F.col("ord").alias("b"), F.col("sig").alias("sig_b")), "b")
     bits = distance(F.col("sig_a"), F.col("sig_b"), n)
-    apart = F.zip_with(_bands(F.col("sig_a"), n), _bands(F.col("sig_b"), n), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    first = F.array_position(F.transform(apart, lambda x: x <= reach), True) - 1
-    return met.select("a", "b", "band", bits.alias("bits"), "sig_a", "sig_b").filter(F.col("bits") <= most_bits).filter(F.col("band") == first).select("a", "b", "bits")
+    return held.select("a", "b", bits.alias("bits")).filter(F.col("bits") <= most_bits)
 
 
 def clusters(signatures: DataFrame, threshold: float, n: int) -> DataFrame:
