@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelspark.llm.common import released, text_of
-from reelspark.llm.hashing import Spans, mixed
+from reelspark.llm.hashing import M1, Spans, mixed
 from reelspark.llm.simhash import groups
 from reelspark.operators.lineage import checkpoint, discard, folder
 
@@ -271,7 +271,8 @@ class Chunk(Texts):
         anchors = at[starts].astype(np.int64)
         offsets = (anchors - starts).astype(np.uint8)
         contents = mixed(spans.of(starts, stops + length - 1) + offsets)
-        return starts + first, stops + first, offsets, owner[starts], hashes[anchors], contents
+        # the least of many hashes are small ones; mixed again, they fill all ranges alike
+        return starts + first, stops + first, offsets, owner[starts], mixed(hashes[anchors] + M1), contents
 
     def anchor_codes(self) -> tuple[np.ndarray, np.ndarray]:
         """The anchors' hashes without their low bits, each once, and the place of each region's among them."""
