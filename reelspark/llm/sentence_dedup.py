@@ -1,13 +1,13 @@
 """Substring dedup by sliding sentence spans.
 
-A span is a run of sentences, as short as has enough words: the shortest that begins
-with a sentence and the shortest that ends with it are hashed, so that spans cover
-every repeated run of sentences with enough words. Long sentences are cut into pieces
-where the words themselves say (minima of their hashes in windows), which cuts a
-passage alike wherever it stands; pieces are sentences to the spans. Spans of the same
-words meet in one join over the corpus; the first of them, by document id and place,
-stays, and sentences that any other span covers are removed. Spans of few words are
-left out: chance repeats them.
+Every run of several consecutive sentences is hashed: each run of RUN sentences, however
+few words they have, and so each longer one by the runs in it; and of sentences with
+more words, the shortest runs of two or more that begin and that end with each. Long
+sentences are cut into pieces where the words themselves say (minima of their hashes in
+windows), which cuts a passage alike wherever it stands, so that spans also cover
+passages without whole sentences; an ordinary sentence alone is no span. Spans of the
+same words meet in one join over the corpus; the first of them, by document id and
+place, stays, and sentences that any other span covers are removed.
 """
 
 from __future__ import annotations
@@ -17,20 +17,25 @@ from collections.abc import Iterator
 from itertools import accumulate
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelspark.llm.common import slices, text_of
 
-#: Words of a span at least, and of a span of one sentence.
-MIN_WORDS, LONE_WORDS = 12, 15
+#: Sentences that are several, whatever their words, unless all are the same: one said over and over is a span by its words.
+RUN = 3
+#: Runs of fewer sentences are spans from this many words on, and pieces of one sentence from this many.
+MIN_WORDS, LONE_WORDS = 12, 24
 #: Sentences of more words are cut. Each WINDOW words have a cut, and copies share all cuts but those
-#: in their first and last WINDOW - 1 words. So of each end of a passage, 18 words at most lie in a piece
-#: that reaches beyond it: max(2 * (WINDOW - 1), WHOLE_WORDS - 1). Of over 50 words, LONE_WORDS stay.
-WHOLE_WORDS, WINDOW = 19, 10
+#: in their first and last WINDOW - 1 words. So of each end of a passage, 11 words at most lie in a piece
+#: that reaches beyond it: max(2 * (WINDOW - 1), WHOLE_WORDS - 1). Of over 50 words, LONE_WORDS stay and more.
+WHOLE_WORDS, WINDOW = 12, 6
+#: Text in which repeats are found before anything is shuffled; of a span, each such part sends one place.
+PART_BYTES = 8 << 20
 BATCH_BYTES = 1 << 19
 _SENTENCE = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？]+(?=\s|$)\s*|[.!?。！？]+|\n\s*|$)")
 #: Scripts without spaces between words: Thai to Tibetan, Myanmar, Khmer, Chinese and Japanese.
@@ -76,22 +81,40 @@ def pieces(sentence: str) -> list[tuple[str, list[str]]]:
 
 def spans(text: str) -> Iterator[tuple[int, int, int, int]]:
     """(hash, hash, first piece, pieces) of the spans of a text; case and white space don't count."""
-    parts = [words for s in sentences(text) for _, words in pieces(s)]
-    full = [i for i, words in enumerate(parts) if words]
-    ends = [0, *accumulate(len(parts[i]) for i in full)]
-    words = [w for i in full for w in parts[i]]
+    parts = [(k, words) for k, s in enumerate(sentences(text)) for _, words in pieces(s)]
+    full = [i for i, (_, words) in enumerate(parts) if words]
+    ends = [0, *accumulate(len(parts[i][1]) for i in full)]
+    words = [w for i in full for w in parts[i][1]]
+    owner = [parts[i][0] for i in full]
 
-    def enough(k: int, end: int) -> bool:
-        return ends[end] - ends[k] >= (LONE_WORDS if end - k == 1 else MIN_WORDS)
+    def told(start: int, end: int) -> tuple[int, int, int, int]:
+        digest = xxhash.xxh3_128_intdigest(" ".join(words[ends[start] : ends[end]]))
+        return (digest >> 96) - (1 << 31), (digest & (1 << 64) - 1) - (1 << 63), full[start], full[end - 1] - full[start] + 1
 
     k = 0  # from here, no span has enough words yet
     for end in range(1, len(full) + 1):
         before = k
-        while k < end and enough(k, end):
+        while k < end and ends[end] - ends[k] >= (LONE_WORDS if owner[k] == owner[end - 1] else MIN_WORDS):
             k += 1
         for start in range(min(before, k - 1), k) if k else ():  # those that end here first, or else the latest that has enough
-            digest = xxhash.xxh3_128_intdigest(" ".join(words[ends[start] : ends[end]]))
-            yield (digest >> 96) - (1 << 31), (digest & (1 << 64) - 1) - (1 << 63), full[start], full[end - 1] - full[start] + 1
+            yield told(start, end)
+    # runs of whole sentences with fewer words
+    cut = {k for i, (k, _) in enumerate(parts) if i and k == parts[i - 1][0]}
+    for start in range(len(full) - RUN + 1):
+        end = start + RUN
+        if ends[end] - ends[start] < MIN_WORDS and cut.isdisjoint(owner[start:end]) and any(parts[full[i]][1] != parts[full[start]][1] for i in range(start + 1, end)):
+            yield told(start, end)
+
+
+def _sent(row: np.ndarray, rank: np.ndarray, key: np.ndarray, high: np.ndarray, low: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the spans of a part: the first place of each, and the places behind it."""
+    order = np.lexsort((key[row], first, rank[row], low, high))
+    new = (np.diff(high[order], prepend=0) != 0) | (np.diff(low[order], prepend=0) != 0)
+    new[:1] = True
+    lead = order[new][np.cumsum(new) - 1]
+    # rows of the same id and text are one document, and have one place
+    same = (rank[row[order]] == rank[row[lead]]) & (key[row[order]] == key[row[lead]]) & (first[order] == first[lead])
+    return order[new], order[~same]
 
 
 def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,27 +126,52 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     document: each of them gives what one of them would. A null text has no sentences
     and stays null. Other columns are not read; an empty df gives no rows.
 
-    Spans are grouped by hash with partial minima, so a span that many documents share
-    is a few rows for each map task there; in the join that leads back to its places it
-    is a large key of the probed side, whose partition is split.
+    Texts are hashed once. In each part of PART_BYTES, of the places of a span the first
+    goes to its hash; of the others it's known that they aren't the first one, so they go
+    to the shuffle under numbers of their own, neighbours merged. So a span that any
+    share of all documents has is one row for each part.
     """
     kind = df.schema[id_col].dataType.simpleString()
     source = df.select(df[id_col].alias("_id"), df[text_col].cast("string").alias("_text"))
-    keyed = source.withColumn("_key", F.xxhash64("_text"))
+    keyed = source.withColumn("_key", F.xxhash64(text_of("_text")))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches, 2, BATCH_BYTES):
+        for rows in slices(batches, 2, PART_BYTES):
             found = [(i, *span) for i, text in enumerate(rows.column(2).to_pylist()) for span in spans(text)]
-            if found:
-                row, high, low, first, n = map(list, zip(*found))
-                at = pa.array(row)
-                yield pa.record_batch([rows.column(0).take(at), rows.column(1).take(at), pa.array(high, pa.int32()), pa.array(low), pa.array(first, pa.int32()), pa.array(n, pa.int32())], ["_id", "_key", "_high", "_low", "_first", "_n"])
-
-    schema = f"_id {kind}, _key long, _high int, _low long, _first int, _n int"
+            if not found:
+                continue
+            row, high, low, first, n = map(np.array, zip(*found))
+            names = rows.column(0).to_pylist()
+            place = {x: i for i, x in enumerate(sorted(set(names), key=lambda x: (x is not None, x)))}
+            kept, later = _sent(row, np.array([place[x] for x in names]), rows.column(1).to_numpy(), high, low, first)
+            gone: dict[int, list[list[int]]] = {}
+            for i, a, b in zip(*(x.tolist() for x in (row[later], first[later], first[later] + n[later]))):
+                gone.setdefault(i, []).append([a, b])
+            merged = []
+            for i, runs in gone.items():
+                stop = -1
+                for a, b in sorted(runs):
+                    if a > stop:
+                        merged.append([i, a, b])
+                    stop = merged[-1][2] = max(stop, b)
+            owner, a, b = np.array(merged, np.int64).reshape(-1, 3).T
+            at = pa.array(np.concatenate([row[kept], owner]))
+            own = np.concatenate([kept * 0, np.arange(1, len(a) + 1)])
+            yield pa.record_batch(
+                [
+                    rows.column(0).take(at), rows.column(1).take(at), pa.array(np.concatenate([high[kept], a * 0]), pa.int32()), pa.array(np.concatenate([low[kept], a * 0])),
+                    pa.array(own), pa.array(np.concatenate([first[kept], a]), pa.int32()), pa.array(np.concatenate([n[kept], b - a]), pa.int32()),
+                ],
+                ["_id", "_key", "_high", "_low", "_own", "_first", "_n"],
+            )
+
+    schema = f"_id {kind}, _key long, _high int, _low long, _own long, _first int, _n int"
     found = keyed.select("_id", "_key", text_of("_text").alias("_text")).mapInArrow(hashed, schema)
+    # what is known to be later is dealt out by its document
+    found = found.withColumn("_low", F.when(F.col("_own") > 0, F.col("_key") + F.col("_own")).otherwise(F.col("_low")))
     place = F.struct("_id", "_first", "_key")
-    repeated = found.groupBy("_high", "_low").agg(F.min(place).alias("_least"), F.count("*").alias("_times")).filter("_times > 1").select("_high", "_low", "_least")
-    later = found.join(repeated, ["_high", "_low"]).filter(place != F.col("_least"))
+    least = F.min(place).over(Window.partitionBy("_high", "_low", F.col("_own") > 0))
+    later = found.withColumn("_least", least).filter((F.col("_own") > 0) | (place != F.col("_least")))
     by_doc = later.groupBy("_id", "_key").agg(F.collect_set(F.struct(F.col("_first").alias("first"), F.col("_n").alias("n"))).alias("_spans"))
     joined = keyed.alias("d").join(by_doc.alias("s"), F.col("d._id").eqNullSafe(F.col("s._id")) & (F.col("d._key") == F.col("s._key")), "left")
 
