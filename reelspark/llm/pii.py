@@ -138,6 +138,30 @@ def _hex_for(form: Column, drawn: Column) -> Column:
     return F.when(form.rlike("[A-F]"), F.upper(long)).otherwise(long)
 
 
+def _laid(form: Column, image: Column) -> Column:
+    """image with form's blanks where they stand there."""
+    at = F.struct(F.lit("").alias("s"), F.lit(0).alias("i"))
+
+    def step(done: Column, c: Column) -> Column:
+        blank = c == " "
+        return F.struct(F.concat(done["s"], F.when(blank, c).otherwise(F.substring(image, done["i"] + 1, F.lit(1)))).alias("s"), (done["i"] + (~blank).cast("int")).alias("i"))
+
+    return F.aggregate(F.split(form, ""), at, step, lambda done: done["s"])
+
+
+def _account(canon: Column, drawn: Column) -> Column:
+    """An account number of the same country and letter pattern, whose two check digits hold (modulo 97)."""
+    body = _lettered(F.substring(canon, F.lit(5), F.length(canon)), drawn)
+    country = F.substring(canon, 1, 2)
+
+    def step(rest: Column, c: Column) -> Column:
+        digit = c.rlike("^[0-9]$")
+        worth = F.when(digit, c.cast("int")).otherwise(F.ascii(c) - 55)  # A is 10
+        return F.when(c == "", rest).otherwise((rest * F.when(digit, 10).otherwise(100) + F.coalesce(worth, F.lit(0))) % 97)
+
+    return _bound(body, lambda x: F.concat(country, F.lpad((98 - F.aggregate(F.split(F.concat(x, country, F.lit("00")), ""), F.lit(0), step)).cast("string"), 2, "0"), x))
+
+
 def _pick(values, drawn: Column, place: int) -> Column:
     return F.get(F.array(*map(F.lit, values)), F.conv(F.substring(drawn, place, 3), 16, 10).cast("int") % len(values))
 
@@ -175,7 +199,7 @@ def _drawn_as(key: str, kind: Column, canon: Column, attempt: Column, form: Colu
     return (
         F.when(kind == "email", F.concat(_lettered(more(F.regexp_extract(form, "^(.*)@", 1), "a"), drawn), F.lit("@"), _bound(domain, lambda x: _lettered(F.lit("mailhost"), x)), F.when(form.rlike("[a-z]"), F.lit(".example.org")).otherwise(F.lit(".EXAMPLE.ORG"))))
         .when(kind == "ip", F.concat_ws(".", *[octet(i) for i in range(4)]))
-        .when(kind == "iban", _filled(more(form, "0"), drawn, F.lit(0)))
+        .when(kind == "iban", _bound(_account(more(canon, "0"), drawn), lambda image: _laid(more(form, "0"), image)))
         .when(kind == "phone", _filled(more(form, "0"), drawn, prefix))
         .when(kind == "card", _checked(_filled(more(form, "0"), drawn, F.lit(1))))
         .when(kind == "ssn", _filled(F.concat(F.lit("9"), more(F.substring(form, 2, 10), "0")), drawn, F.lit(1)))
@@ -207,7 +231,9 @@ def attempts(entities: DataFrame, key: str) -> DataFrame:
     as longer and longer ones are drawn, that comes to an end however many there are.
     Only distinct entities are shuffled, by their own values.
     """
-    distinct = checkpoint(entities.groupBy("kind", "canon").agg(F.min("form").alias("form")))
+    # a fixed number of partitions, as the engine would merge those of few bytes, and drawing is what costs
+    spread = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = checkpoint(entities.groupBy("kind", "canon").agg(F.min("form").alias("form")).repartition(spread, "kind", "canon"))
     taken = distinct.select("kind", F.col("canon").alias("image"), F.lit(True).alias("is_entity"))
     drawn = distinct.withColumn("attempt", F.lit(0))
     while True:
@@ -219,7 +245,8 @@ def attempts(entities: DataFrame, key: str) -> DataFrame:
         losers = checkpoint(losers)
         if not losers.head(1):
             return drawn.filter("attempt > 0").select("kind", "canon", "attempt")
-        drawn = checkpoint(drawn.join(losers, ["kind", "canon"], "left").withColumn("attempt", F.col("attempt") + F.coalesce("again", F.lit(0))).drop("again"))
+        again = drawn.join(losers, ["kind", "canon"], "left").withColumn("attempt", F.col("attempt") + F.coalesce("again", F.lit(0))).drop("again")
+        drawn = checkpoint(again.repartition(spread, "kind", "canon"))
 
 
 def replace_entities(df: DataFrame, key: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,22 +254,21 @@ def replace_entities(df: DataFrame, key: str, *, id_col: str = "doc_id", text_co
 
     Every row and other column stays; a null text stays null with no entities, an empty
     one empty; ids may be null and rows may repeat; an empty df gives no rows. The text
-    outside of entities stays as it is. Without clashes, documents take part in no
-    shuffle; up to LITERAL_ATTEMPTS redrawn entities are literals of the query, more
-    come back to their documents by a join on the id.
+    outside of entities stays as it is. Texts are taken apart once and written so.
+    Without clashes, documents take part in no shuffle; up to LITERAL_ATTEMPTS redrawn
+    entities are literals of the query, more come back to their documents by a join on
+    the id.
     """
     names = [c for c in df.columns if c not in ("n_entities", "entity_kinds")]
     columns = [f"_c{i}" for i in range(len(names))]  # whatever the columns are called
     text_is, id_is = (columns[names.index(c)] for c in (text_col, id_col))
     own = df.select(*[df[f"`{c}`"].alias(x) for c, x in zip(names, columns)], F.coalesce(df[text_col].cast("string"), F.lit("")).alias("_t"))
-    found = own.filter(F.col("_t").rlike(MAYBE)).select("_t")
-    listed = _entities(found, []).select(F.explode("_found").alias("x")).select("x.kind", "x.canon", "x.form")
-    again = checkpoint(attempts(listed, key))
+    cut = checkpoint(_entities(own, columns))  # the long patterns run once
+    again = checkpoint(attempts(cut.select(F.explode("_found").alias("x")).select("x.kind", "x.canon", "x.form"), key))
     few = again.limit(LITERAL_ATTEMPTS + 1).collect()
-    cut = _entities(own, columns)
     name = lambda x: F.concat(x["kind"], F.lit(" "), x["canon"])
     if len(few) > LITERAL_ATTEMPTS:
-        where = _entities(own.select(F.col(id_is).alias("_id"), "_t").filter(F.col("_t").rlike(MAYBE)), ["_id"]).select("_id", F.explode("_found").alias("x"))
+        where = cut.select(F.col(id_is).alias("_id"), F.explode("_found").alias("x"))
         drawn = where.select("_id", "x.kind", "x.canon").distinct().join(again, ["kind", "canon"])
         by_doc = drawn.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("kind", F.lit(" "), "canon"), "attempt"))).alias("_again"))
         cut = cut.join(by_doc, F.col(id_is).eqNullSafe(F.col("_id")), "left").drop("_id")
