@@ -12,98 +12,141 @@ place, stays, and sentences that any other span covers are removed.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import accumulate
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelspark.llm.common import slices, text_of
+from reelspark.llm.common import once, slices, text_of
+from reelspark.llm.hashing import Spans, mixed
 
 #: Sentences that are several, whatever their words, unless all are the same: one said over and over is a span by its words.
 RUN = 3
 #: Runs of fewer sentences are spans from this many words on, and pieces of one sentence from this many.
-MIN_WORDS, LONE_WORDS = 12, 24
+MIN_WORDS, LONE_WORDS = 12, 20
 #: Sentences of more words are cut. Each WINDOW words have a cut, and copies share all cuts but those
-#: in their first and last WINDOW - 1 words. So of each end of a passage, 11 words at most lie in a piece
+#: in their first and last WINDOW - 1 words. So of each end of a passage, 14 words at most lie in a piece
 #: that reaches beyond it: max(2 * (WINDOW - 1), WHOLE_WORDS - 1). Of over 50 words, LONE_WORDS stay and more.
-WHOLE_WORDS, WINDOW = 12, 6
+WHOLE_WORDS, WINDOW = 15, 8
 #: Text in which repeats are found before anything is shuffled; of a span, each such part sends one place.
 PART_BYTES = 8 << 20
+#: Text that is hashed at a time.
 BATCH_BYTES = 1 << 19
-_SENTENCE = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？]+(?=\s|$)\s*|[.!?。！？]+|\n\s*|$)")
+MARKS, FULL_MARKS = ".!?。！？", "。！？"
 #: Scripts without spaces between words: Thai to Tibetan, Myanmar, Khmer, Chinese and Japanese.
-_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u2e80-\u312f\u3190-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
-_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
-#: Each code point of such scripts counts as a word.
-_WORD = re.compile(rf"[^\s{_UNSPACED}]+|[{_UNSPACED}](?<!\s)")
-_SPACED_WORD = re.compile(r"\S+")
+UNSPACED = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x312F), (0x3190, 0x9FFF), (0xF900, 0xFAFF), (0xFF00, 0xFFEF), (0x20000, 0x3FFFF))
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each code point: whether it is white space, whether it is a word of its own, and its lower case."""
+    every = [*map(chr, range(0x110000))]
+    alone = np.zeros(0x110000, bool)
+    for low, high in UNSPACED:
+        alone[low : high + 1] = True
+    lower = np.fromiter((ord(x) if len(x := c.lower()) == 1 else ord(c) for c in every), np.uint32, 0x110000)
+    return np.fromiter(map(str.isspace, every), bool, 0x110000), alone, lower
+
+
+class Layout:
+    """Sentences, words and pieces of several texts, as places in their code points.
+
+    A sentence ends behind marks with white space, behind a line's end and behind a
+    fullwidth mark, and takes the white space behind it. Each code point of a script
+    without spaces is a word. starts, owner, sentence: of each piece, where it starts,
+    its text and its sentence; sentences and pieces of a text, joined, are the text.
+    """
+
+    def __init__(self, texts: list[str]):
+        space, alone, lower = once("sentence tables", _tables)
+        points = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.firsts, self.lengths = np.cumsum(lengths + 1) - lengths - 1, lengths
+        n = len(points)
+        blank, at = space[points], np.arange(n)
+        text_of_ = np.minimum(np.repeat(np.arange(len(texts)), lengths + 1)[:n], len(texts) - 1)
+        mark, full = (np.isin(points, [ord(c) for c in marks]) for marks in (MARKS, FULL_MARKS))
+        before = np.concatenate([[True], blank[:-1]])[:n]  # a blank stands before
+        after_run = np.flatnonzero(~blank & before)
+        said = np.maximum.accumulate(np.where(blank, -1, at)) if n else at  # the last code point that is no blank
+        last = np.where(after_run > 0, said[after_run - 1], -1)
+        first = self.firsts[text_of_[after_run]]
+        lines = np.concatenate([[0], np.cumsum(points == 10)])
+        ended = (lines[after_run] > lines[np.maximum(last + 1, first)]) | (last >= first) & mark[last]
+        joined = np.flatnonzero(~blank[1:] & ~mark[1:] & full[:-1]) + 1
+        bounds = np.unique(np.concatenate([self.firsts[lengths > 0], after_run[ended], joined]))
+        self.n_sentences = np.bincount(text_of_[bounds], minlength=len(texts)) if n else np.zeros(len(texts), np.int64)
+
+        own = alone[points]
+        self.words = np.flatnonzero(~blank & (before | own | np.concatenate([[True], own[:-1]])[:n]))
+        ends = np.append(self.words[1:], n)[: len(self.words)]
+        stops = said[ends - 1] + 1  # without the blanks behind
+        spelt = Spans(lower[points] + np.uint64(1), "bytes")
+        self.hashes = mixed(spelt.of(self.words, stops) + (stops - self.words).astype(np.uint64))
+        sentence = np.searchsorted(bounds, self.words, "right") - 1  # of each word
+        size = np.bincount(sentence, minlength=len(bounds))
+        cuts = self._cuts(sentence, size[sentence] > WHOLE_WORDS)
+        self.starts = np.unique(np.concatenate([bounds, self.words[cuts]]))
+        self.owner = text_of_[self.starts]
+        self.sentence = np.searchsorted(bounds, self.starts, "right") - 1
+        self.is_cut = size > WHOLE_WORDS  # of each sentence
+        self.first_piece = np.searchsorted(self.owner, np.arange(len(texts) + 1))
+
+    def _cuts(self, sentence: np.ndarray, long: np.ndarray) -> np.ndarray:
+        """Words at which a long sentence is cut: the first least hash of each window."""
+        low, at, done = self.hashes, np.arange(len(self.hashes)), 1
+        if len(low) < WINDOW:
+            return at[:0]
+        while done < WINDOW:
+            step = min(done, WINDOW - done)
+            left = low[:-step] <= low[step:]
+            low, at = np.where(left, low[:-step], low[step:]), np.where(left, at[:-step], at[step:])
+            done += step
+        within = (sentence[: len(at)] == sentence[WINDOW - 1 :]) & long[: len(at)]
+        return np.unique(at[within])
+
+    def spans(self) -> tuple[np.ndarray, ...]:
+        """(text, hash, hash, first piece, pieces) of the spans; case and white space don't count."""
+        firsts = np.searchsorted(self.words, self.starts)  # of each piece, its first word
+        counts = np.diff(np.append(firsts, len(self.words)))
+        full = np.flatnonzero(counts)  # pieces with words; from here on, these are counted
+        begin, end = firsts[full], firsts[full] + counts[full]
+        owner, sentence = self.owner[full], self.sentence[full]
+        n, k = len(full), np.arange(len(full))
+        edge = np.searchsorted(owner, owner, "right")  # behind the text's last piece
+        # the shortest from each piece on: MIN_WORDS beyond its sentence, or LONE_WORDS
+        beyond = np.maximum(np.searchsorted(end, begin + MIN_WORDS), np.searchsorted(sentence, sentence, "right")) + 1
+        stop = np.minimum(beyond, np.searchsorted(end, begin + LONE_WORDS) + 1)
+        ahead = stop <= edge
+        # and up to each
+        beyond = np.minimum(np.searchsorted(begin, end - MIN_WORDS, "right"), np.searchsorted(sentence, sentence)) - 1
+        start = np.maximum(beyond, np.searchsorted(begin, end - LONE_WORDS, "right") - 1)
+        behind = start >= np.searchsorted(owner, owner)
+        # runs of whole sentences with fewer words, not all of them the same
+        spelt = [Spans(self.hashes, "words"), Spans(mixed(self.hashes + np.uint64(1)), "bytes")]
+        last = k[: max(0, n - RUN + 1)]
+        few = (owner[last] == owner[last + RUN - 1]) & (end[last + RUN - 1] - begin[last] < MIN_WORDS)
+        same = np.ones(len(last), bool)
+        told = spelt[0].of(begin, end)
+        for i in range(RUN):
+            few &= ~self.is_cut[sentence[last + i]]
+            same &= told[last + i] == told[last]
+        last = last[few & ~same]
+        pairs = np.unique(np.concatenate([np.stack([k[ahead], stop[ahead]]), np.stack([start[behind], k[behind] + 1]), np.stack([last, last + RUN])], axis=1), axis=1)
+        start, stop = pairs
+        a, b = begin[start], end[stop - 1]
+        first = full[start]
+        high = (mixed(spelt[1].of(a, b)) >> np.uint64(32)).astype(np.uint32)
+        return owner[start], high.view(np.int32).astype(np.int64), mixed(spelt[0].of(a, b)).view(np.int64), first - self.first_piece[owner[start]], full[stop - 1] - first + 1
 
 
 def sentences(text: str) -> list[str]:
-    """Sentences with the white space behind them; joined, they are the text. A line's end or a fullwidth mark ends a sentence."""
-    found, open_ = [], ""
-    for part in _SENTENCE.findall(text):
-        open_ += part
-        if open_ and (open_[-1].isspace() or open_[-1] in "。！？"):
-            found.append(open_)
-            open_ = ""
-    return [*found, open_] if open_ else found
-
-
-def pieces(sentence: str) -> list[tuple[str, list[str]]]:
-    """(piece, its words in lower case) of a sentence; joined, the pieces are the sentence."""
-    spaced = not _HAS_UNSPACED.search(sentence)
-    words = sentence.lower().split() if spaced else _WORD.findall(sentence.lower())
-    if len(words) <= WHOLE_WORDS:
-        return [(sentence, words)]
-    places = [m.start() for m in (_SPACED_WORD if spaced else _WORD).finditer(sentence)]
-    words = [sentence[i:j].strip().lower() for i, j in zip(places, [*places[1:], len(sentence)])]
-    hashes = [crc32(w.encode()) * 0x9E3779B1 & 0xFFFFFFFF for w in words]
-    cuts, at = [0], -1
-    for i in range(len(words) - WINDOW + 1):  # the first least of each window
-        if at < i:
-            own = hashes[i : i + WINDOW]
-            at = i + own.index(min(own))
-        elif hashes[i + WINDOW - 1] < hashes[at]:
-            at = i + WINDOW - 1
-        if at > cuts[-1]:
-            cuts.append(at)
-    ends = [0, *(places[c] for c in cuts[1:]), len(sentence)]
-    return [(sentence[i:j], words[a:b]) for i, j, a, b in zip(ends, ends[1:], cuts, [*cuts[1:], len(words)])]
-
-
-def spans(text: str) -> Iterator[tuple[int, int, int, int]]:
-    """(hash, hash, first piece, pieces) of the spans of a text; case and white space don't count."""
-    parts = [(k, words) for k, s in enumerate(sentences(text)) for _, words in pieces(s)]
-    full = [i for i, (_, words) in enumerate(parts) if words]
-    ends = [0, *accumulate(len(parts[i][1]) for i in full)]
-    words = [w for i in full for w in parts[i][1]]
-    owner = [parts[i][0] for i in full]
-
-    def told(start: int, end: int) -> tuple[int, int, int, int]:
-        digest = xxhash.xxh3_128_intdigest(" ".join(words[ends[start] : ends[end]]))
-        return (digest >> 96) - (1 << 31), (digest & (1 << 64) - 1) - (1 << 63), full[start], full[end - 1] - full[start] + 1
-
-    k = 0  # from here, no span has enough words yet
-    for end in range(1, len(full) + 1):
-        before = k
-        while k < end and ends[end] - ends[k] >= (LONE_WORDS if owner[k] == owner[end - 1] else MIN_WORDS):
-            k += 1
-        for start in range(min(before, k - 1), k) if k else ():  # those that end here first, or else the latest that has enough
-            yield told(start, end)
-    # runs of whole sentences with fewer words
-    cut = {k for i, (k, _) in enumerate(parts) if i and k == parts[i - 1][0]}
-    for start in range(len(full) - RUN + 1):
-        end = start + RUN
-        if ends[end] - ends[start] < MIN_WORDS and cut.isdisjoint(owner[start:end]) and any(parts[full[i]][1] != parts[full[start]][1] for i in range(start + 1, end)):
-            yield told(start, end)
+    """Sentences with the white space behind them; joined, they are the text."""
+    found = Layout([text])
+    at = found.starts[np.flatnonzero(np.diff(found.sentence, prepend=-1))].tolist()
+    return [text[a:b] for a, b in zip(at, [*at[1:], len(text)])]
 
 
 def _sent(row: np.ndarray, rank: np.ndarray, key: np.ndarray, high: np.ndarray, low: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,6 +160,17 @@ def _sent(row: np.ndarray, rank: np.ndarray, key: np.ndarray, high: np.ndarray,
     return order[new], order[~same]
 
 
+def _merged(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, stop) of the runs that spans of a row make up together."""
+    order = np.lexsort((start, row))
+    row, start, stop = row[order], start[order], stop[order]
+    shift = row * (int(stop.max(initial=0)) + 2)  # so that rows don't reach each other
+    reach = np.maximum.accumulate(stop + shift) if len(row) else stop
+    new = np.flatnonzero(np.concatenate([[True], (start + shift)[1:] > reach[:-1]])[: len(row)])
+    last = np.append(new[1:], len(row))[: len(new)] - 1
+    return row[new], start[new], reach[last] - shift[last]
+
+
 def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, text, n_sentences, n_removed) of every row of df, without the sentences of non-first repeated spans.
 
@@ -133,58 +187,53 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """
     kind = df.schema[id_col].dataType.simpleString()
     source = df.select(df[id_col].alias("_id"), df[text_col].cast("string").alias("_text"))
-    keyed = source.withColumn("_key", F.xxhash64(text_of("_text")))
+    # of a text, enough to tell rows of one id apart
+    keyed = source.withColumn("_key", F.xxhash64(text_of("_text")).bitwiseAND(0x7FFFFFFF).cast("int"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, 2, PART_BYTES):
-            found = [(i, *span) for i, text in enumerate(rows.column(2).to_pylist()) for span in spans(text)]
-            if not found:
-                continue
-            row, high, low, first, n = map(np.array, zip(*found))
-            names = rows.column(0).to_pylist()
-            place = {x: i for i, x in enumerate(sorted(set(names), key=lambda x: (x is not None, x)))}
-            kept, later = _sent(row, np.array([place[x] for x in names]), rows.column(1).to_numpy(), high, low, first)
-            gone: dict[int, list[list[int]]] = {}
-            for i, a, b in zip(*(x.tolist() for x in (row[later], first[later], first[later] + n[later]))):
-                gone.setdefault(i, []).append([a, b])
-            merged = []
-            for i, runs in gone.items():
-                stop = -1
-                for a, b in sorted(runs):
-                    if a > stop:
-                        merged.append([i, a, b])
-                    stop = merged[-1][2] = max(stop, b)
-            owner, a, b = np.array(merged, np.int64).reshape(-1, 3).T
-            at = pa.array(np.concatenate([row[kept], owner]))
-            own = np.concatenate([kept * 0, np.arange(1, len(a) + 1)])
-            yield pa.record_batch(
-                [
-                    rows.column(0).take(at), rows.column(1).take(at), pa.array(np.concatenate([high[kept], a * 0]), pa.int32()), pa.array(np.concatenate([low[kept], a * 0])),
-                    pa.array(own), pa.array(np.concatenate([first[kept], a]), pa.int32()), pa.array(np.concatenate([n[kept], b - a]), pa.int32()),
-                ],
-                ["_id", "_key", "_high", "_low", "_own", "_first", "_n"],
-            )
-
-    schema = f"_id {kind}, _key long, _high int, _low long, _own long, _first int, _n int"
-    found = keyed.select("_id", "_key", text_of("_text").alias("_text")).mapInArrow(hashed, schema)
-    # what is known to be later is dealt out by its document
-    found = found.withColumn("_low", F.when(F.col("_own") > 0, F.col("_key") + F.col("_own")).otherwise(F.col("_low")))
-    place = F.struct("_id", "_first", "_key")
-    least = F.min(place).over(Window.partitionBy("_high", "_low", F.col("_own") > 0))
-    later = found.withColumn("_least", least).filter((F.col("_own") > 0) | (place != F.col("_least")))
-    by_doc = later.groupBy("_id", "_key").agg(F.collect_set(F.struct(F.col("_first").alias("first"), F.col("_n").alias("n"))).alias("_spans"))
+            found, done = [], 0
+            for some in slices(iter([rows]), 2, BATCH_BYTES):
+                owner, *more = Layout(some.column(2).to_pylist()).spans()
+                found.append((owner + done, *more))
+                done += some.num_rows
+            row, high, low, first, n = map(np.concatenate, zip(*found))
+            if len(row):
+                yield places(rows, row, high, low, first, n)
+
+    def places(rows: pa.RecordBatch, row: np.ndarray, high: np.ndarray, low: np.ndarray, first: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        """(_id, _key, _high, _low, _at) of a part; _at: first and number of pieces, negative for what is known to be later."""
+        names, key = rows.column(0).to_pylist(), rows.column(1).to_numpy()
+        rank = {x: i for i, x in enumerate(sorted(set(names), key=lambda x: (x is not None, x)))}
+        kept, later = _sent(row, np.array([rank[x] for x in names]), key, high, low, first)
+        owner, a, b = _merged(row[later], first[later], first[later] + n[later])
+        anywhere = mixed(mixed((owner << 32 | a).astype(np.uint64)) + key[owner].astype(np.uint64)).view(np.int64)
+        own = np.concatenate([row[kept], owner])
+        columns = [rows.column(0).take(pa.array(own)), key[own], np.concatenate([high[kept], anywhere & 0x7FFFFFFF]), np.concatenate([low[kept], anywhere]), np.concatenate([first[kept] << 32 | n[kept], -(a << 32 | b - a)])]
+        return pa.record_batch([columns[0], pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), pa.array(columns[3]), pa.array(columns[4])], ["_id", "_key", "_high", "_low", "_at"])
+
+    found = keyed.select("_id", "_key", text_of("_text").alias("_text")).mapInArrow(hashed, f"_id {kind}, _key int, _high int, _low long, _at long")
+    place = F.struct("_id", "_at", "_key")
+    least = F.min(F.when(F.col("_at") >= 0, place)).over(Window.partitionBy("_low", "_high"))
+    later = found.withColumn("_least", least).filter((F.col("_at") < 0) | (place != F.col("_least"))).withColumn("_at", F.abs("_at"))
+    span = F.struct(F.shiftright("_at", 32).cast("int").alias("first"), F.col("_at").bitwiseAND(0x7FFFFFFF).cast("int").alias("n"))
+    by_doc = later.groupBy("_id", "_key").agg(F.collect_set(span).alias("_spans"))
     joined = keyed.alias("d").join(by_doc.alias("s"), F.col("d._id").eqNullSafe(F.col("s._id")) & (F.col("d._key") == F.col("s._key")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, 1, BATCH_BYTES):
-            texts, counts, gone = [], [], []
-            for text, held in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist()):
-                found = sentences(text or "")
-                drop = {i for x in held or () for i in range(x["first"], x["first"] + x["n"])}
-                parts = [(k, piece) for k, s in enumerate(found) for piece, _ in pieces(s)] if drop else []
-                texts.append(text if not drop else "".join(piece for i, (_, piece) in enumerate(parts) if i not in drop))
-                counts.append(len(found))
-                gone.append(len({k for i, (k, _) in enumerate(parts) if i in drop}))
-            yield pa.record_batch([rows.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], [id_col, "text", "n_sentences", "n_removed"])
+            texts = rows.column(1).to_pylist()
+            layout = Layout([x or "" for x in texts])
+            gone = [0] * len(texts)
+            for i, held in enumerate(rows.column(2).to_pylist()):
+                if held:
+                    a, b = layout.first_piece[i], layout.first_piece[i + 1]
+                    drop = np.zeros(b - a, bool)
+                    for x in held:
+                        drop[x["first"] : x["first"] + x["n"]] = True
+                    at = (layout.starts[a:b] - layout.firsts[i]).tolist()
+                    gone[i] = len(np.unique(layout.sentence[a:b][drop]))
+                    texts[i] = "".join(texts[i][x:y] for x, y, out in zip(at, [*at[1:], len(texts[i])], drop.tolist()) if not out)
+            yield pa.record_batch([rows.column(0), pa.array(texts, pa.string()), pa.array(layout.n_sentences), pa.array(gone, pa.int64())], [id_col, "text", "n_sentences", "n_removed"])
 
     return joined.select("d._id", "d._text", "s._spans").mapInArrow(cut, f"`{id_col}` {kind}, text string, n_sentences long, n_removed long")
