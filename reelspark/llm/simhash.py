@@ -247,7 +247,8 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """(id_col, fingerprint, component_id) of every row of df; ids are of an integer type.
 
     component_id: the smallest id reachable over fingerprints with MAX_BITS or fewer
-    differing bits, exact copies included. Texts that are null or have no words have
+    differing bits, exact copies included; rows of one id are one document, whose
+    fingerprints are linked. Texts that are null or have no words have
     the fingerprint zero and link like others. Repeated ids and rows stay. A null id is
     no node: its row has the component of the documents with ids that share its very
     fingerprint, or null. Other columns are not read; an empty df gives no rows.
@@ -255,8 +256,10 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     kind = df.schema[id_col].dataType.simpleString()
     prints = checkpoint(fingerprints(df, id_col=id_col, text_col=text_col).withColumn("_id", F.col("_id").cast("long")))
     nodes = checkpoint(prints.filter(F.col("_id").isNotNull()).groupBy("_print").agg(F.min("_id").alias("_node")).select("_node", "_print"))
-    # one id may stand for several fingerprints if ids repeat: they are one document, and so one node
-    found = checkpoint(connected_components(links(nodes)))
+    # an id may stand for several fingerprints if ids repeat: they are one document, and so linked
+    own = prints.filter(F.col("_id").isNotNull()).join(nodes, "_print").groupBy("_id").agg(F.min("_node").alias("b"), F.collect_set("_node").alias("_nodes"))
+    shared = own.filter(F.size("_nodes") > 1).select(F.explode("_nodes").alias("a"), "b").filter("a <> b")
+    found = checkpoint(connected_components(links(nodes).unionByName(shared)))
     labels = nodes.join(found.withColumnRenamed("node", "_node"), "_node", "left").select("_print", F.coalesce("component", "_node").alias("_component"))
     shown = F.lpad(F.lower(F.hex("_print")), 16, "0")
     return prints.join(labels, "_print", "left").select(F.col("_id").cast(kind).alias(id_col), shown.alias("fingerprint"), F.col("_component").cast(kind).alias("component_id"))
