@@ -174,6 +174,9 @@ class Codec:
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         for piece, rank in self.ranks.items():
             self.bytes_of[rank] = piece
+        lengths = np.fromiter(map(len, self.bytes_of), np.int64, len(self.bytes_of))
+        self.size_of, self.at_of = lengths, np.cumsum(lengths) - lengths
+        self.table = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.classes = _classes()
         self.merged = _Merged(self.ranks)
 
@@ -199,11 +202,23 @@ class Codec:
         """Ids of each text and the byte offset at which each id's bytes start."""
         for pieces in self.split(texts):
             ids = [*chain.from_iterable([x[0] for x in self.merged_pieces(pieces)])]
-            sizes = np.fromiter((len(self.bytes_of[i]) for i in ids), np.int64, len(ids))
-            yield ids, (np.cumsum(sizes) - sizes).tolist()
+            yield ids, self.offsets(np.array(ids, np.int64)).tolist()
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join([self.bytes_of[i] for i in ids])
+    def offsets(self, ids: np.ndarray) -> np.ndarray:
+        """The byte at which each id's bytes start."""
+        sizes = self.size_of[ids]
+        return np.cumsum(sizes) - sizes
+
+    def decode(self, ids: list[int], offsets: np.ndarray | None = None) -> bytes:
+        """The ids' bytes, each laid where its offset says."""
+        found = np.asarray(ids, np.int64)
+        if not len(found):
+            return b""
+        if found.min() < 0:
+            raise IndexError(f"no id {found.min()}")
+        offsets = self.offsets(found) if offsets is None else offsets
+        sizes = self.size_of[found]
+        return self.table[np.repeat(self.at_of[found] - offsets, sizes) + np.arange(offsets[-1] + sizes[-1])].tobytes()
 
 
 def _mapped(df: DataFrame, ranks: str, id_col: str, text_col: str, schema: str, rows_of) -> DataFrame:
@@ -258,12 +273,13 @@ def round_trip_digests(df: DataFrame, ranks: str, *, id_col: str = "doc_id", tex
         counts, ids_hex, decoded_hex, lists = [], [], [], []
         for pieces in codec.split(rows.column(1).to_pylist()):
             found = codec.merged_pieces(pieces)
-            ids = [*chain.from_iterable([x[0] for x in found])]
+            ids = np.fromiter(chain.from_iterable([x[0] for x in found]), np.int64)
+            offsets = codec.offsets(ids)
             counts.append(len(ids))
             ids_hex.append(hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest())
-            decoded_hex.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+            decoded_hex.append(hashlib.sha256(codec.decode(ids, offsets)).hexdigest())
             if with_ids:
-                lists.append(np.array(ids, np.int32))
+                lists.append(ids.astype(np.int32))
         columns = [rows.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(decoded_hex, pa.string())]
         names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
         return pa.record_batch([*columns, pa.array(lists, pa.list_(pa.int32()))] if with_ids else columns, [*names, "ids"] if with_ids else names)
