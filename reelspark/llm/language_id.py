@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 
 from reelspark.llm.common import once, slices, text_of
 
-GRAM = 3
 BUCKETS = 1 << 16
 BATCH_BYTES = 1 << 19
 SMOOTHING = 0.5
-ROUNDS = 8
-#: Of log(words), what a further language costs; 0.5 is the Bayesian criterion for words that fit the model exactly.
+#: A text's proportions are found when a round changes none of them by more.
+TOLERANCE = 1e-3
+#: Of log(words), what a further language costs. 0.5 is the Bayesian criterion for words that fit the model exactly;
+#: words of real texts (names, loans, misspellings) don't, and cost a language that fits them by chance six times that.
 PENALTY = 3.0
 UNKNOWN = "und"
 
@@ -78,11 +79,18 @@ class Model:
             own = np.isin(row, rows) if len(rows) < len(present) else np.ones(len(row), bool)
             place = np.searchsorted(rows, row[own])
             lik, cut = likely[own], np.searchsorted(place, np.arange(len(rows)))
-            share = start
-            for _ in range(ROUNDS):
-                part = lik * share[place]
+            share = start.copy()
+            open_, words, at, edges = np.arange(len(rows)), lik, place, cut  # texts whose proportions still change
+            while len(open_):
+                part = words * share[open_][at]
                 part /= part.sum(axis=1, keepdims=True)
-                share = np.add.reduceat(part, cut, axis=0) / size[rows][:, None]
+                better = np.add.reduceat(part, edges, axis=0) / size[rows[open_]][:, None]
+                moving = np.abs(better - share[open_]).max(axis=1) > TOLERANCE
+                share[open_] = better
+                if not moving.all():
+                    words, open_ = words[moving[at]], open_[moving]
+                    at = (np.cumsum(moving) - 1)[at[moving[at]]]
+                    edges = np.searchsorted(at, np.arange(len(open_)))
             return share, np.add.reduceat(np.log((lik * share[place]).sum(axis=1) + 1e-300), cut) + base[rows]
 
         penalty = PENALTY * np.log(size + 1.0)
