@@ -52,13 +52,20 @@ def _repeat_words(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*keep, F.aggregate(covered, F.lit(0).cast("long"), lambda n, x: n + x).alias("n_repeat_words"))
 
 
+def _host(source: Column) -> Column:
+    """The host of a source that is a URL, any other source as it stands."""
+    named = F.lower(F.regexp_extract(source, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]+)", 1))
+    return F.coalesce(F.when(named != "", named), source)
+
+
 def document_statistics(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """(id_col, _host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed) of every row of df.
 
-    Null and empty texts have no words and fail; rows, ids and hosts may repeat or be
+    _host: of a URL its host, lower-cased; what is no URL is a host as it stands. Null and
+    empty texts have no words and fail; rows, ids and hosts may repeat or be
     null; other columns are not read; an empty df gives an empty result.
     """
-    source = df.select(df[id_col].alias("_id"), df[host_col].cast("string").alias("_host"), text_of(text_col).alias("_t"))
+    source = df.select(df[id_col].alias("_id"), _host(df[host_col].cast("string")).alias("_host"), text_of(text_col).alias("_t"))
     split = settled(
         source, ["_id", "_host", "_t"],
         _words=F.filter(F.split("_t", _BLANK_CLASS), lambda w: w != ""),
@@ -82,11 +89,12 @@ def host_verdicts(statistics: DataFrame, max_rate: float = MAX_HOST_RATE) -> Dat
     """
     hosts = statistics.filter(F.col("_host").isNotNull()).groupBy("_host").agg(F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
     rate = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg((F.sum("n_failed") / F.sum("n_docs")).alias("_mean"), F.coalesce(F.var_pop(rate), F.lit(0.0)).alias("_var"))
-    joined = hosts.join(F.broadcast(prior))  # one row
-    strength = F.when(F.col("_var") > 0, F.greatest(F.col("_mean") * (1 - F.col("_mean")) / F.when(F.col("_var") > 0, F.col("_var")) - 1, F.lit(1.0))).otherwise(F.lit(1.0))
-    shrunk = (F.col("n_failed") + strength * F.col("_mean")) / (F.col("n_docs") + strength)
-    return joined.select("_host", "n_docs", "n_failed", shrunk.alias("shrunk_rate")).withColumn("host_failed", F.col("shrunk_rate") > max_rate)
+    # two numbers, whatever the hosts
+    mean, var = hosts.agg(F.sum("n_failed") / F.sum("n_docs"), F.coalesce(F.var_pop(rate), F.lit(0.0))).first()
+    mean = mean or 0.0
+    strength = max(mean * (1 - mean) / var - 1, 1.0) if var else 1.0
+    shrunk = (F.col("n_failed") + F.lit(strength) * F.lit(mean)) / (F.col("n_docs") + F.lit(strength))
+    return hosts.select("_host", "n_docs", "n_failed", shrunk.alias("shrunk_rate")).withColumn("host_failed", F.col("shrunk_rate") > max_rate)
 
 
 def apply_rules(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
