@@ -54,7 +54,7 @@ def _held_out() -> Column:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(~_held_out()))
-    return language_id.identify(docs, model).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+    return language_id.identify(docs, model).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score", F.transform("mixture", lambda x: x["lang"]).alias("languages"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
