@@ -23,7 +23,7 @@ def _counts(df: DataFrame) -> dict[str, int]:
 
 def run(
     spark: SparkSession, folder: str, out: str, *, scenario: str = "warehouse_pick_and_place", relaxed: bool = False, dataset_id: str | None = None, client=None,
-    download_folder: str | None = None, url_field: str = "source_url", threshold: float = 8.0, total_cost: float = 0.0, version: str | None = None, tool: media.Tool = media.run_tool,
+    download_folder: str | None = None, url_field: str = "source_url", threshold: float = 8.0, total_cost: float = 0.0, version: str | None = None, tool: media.Tool = media.run_tool, downloader: media.Downloader = media.DOWNLOADER,
 ) -> YieldReport:
     """Writes manifest.jsonl and report.json to out. Records, probes and signatures are each written once."""
     spec, report = REGISTRY.get(scenario), YieldReport()
@@ -44,8 +44,8 @@ def run(
     timed("schema")
 
     if client is not None and download_folder and report.schema_valid:
-        media.check_downloader(tool)
-        done = checkpoint(media.downloaded(clips.select("ord", "record.*").drop("provenance"), download_folder, url_field=url_field, tool=tool))
+        media.check_downloader(tool, downloader)
+        done = checkpoint(media.downloaded(clips.select("ord", "record.*").drop("provenance"), download_folder, url_field=url_field, tool=tool, downloader=downloader))
         report.add_reasons({r.download_error: r["count"] for r in done.filter("download_error is not null").groupBy("download_error").count().collect()})
         clips = clips.join(done.filter("download_error is null").select("ord", F.col("video_uri").alias("_uri")), "ord").select("ord", F.col("record").withField("video_uri", F.col("_uri")).alias("record"))
         timed("download")

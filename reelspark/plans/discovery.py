@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
 
@@ -37,11 +38,13 @@ def deduplicated(candidates: DataFrame, max_clips: int) -> DataFrame:
 
 def run(
     spark: SparkSession, folder: str, out: str, *, scenario: str = "warehouse_pick_and_place", platforms=("youtube", "tiktok"), client=None,
-    min_score: float = 4.0, per_query: int = 20, max_clips: int = 60, max_windows: int = 3, download_folder: str | None = None, tool: media.Tool = media.run_tool,
+    min_score: float = 4.0, per_query: int = 20, max_clips: int = 60, max_windows: int = 3, download_folder: str | None = None, tool: media.Tool = media.run_tool, downloader: media.Downloader = media.DOWNLOADER, show: Callable[[str], object] | None = None,
 ) -> dict:
-    """Writes vendor_response.json and discovery_report.json to out; returns the report."""
+    """Writes vendor_response.json and discovery_report.json to out; returns the report. show, say print, gets the catalogue."""
     began, spec = time.time(), REGISTRY.get(scenario)
     datasets = checkpoint(snapshot.listed(spark, client))
+    if show:
+        show(snapshot.catalogue(datasets))
     parts, rejects, found = [], {}, 0
     for i, platform in enumerate(platforms):
         raw = platform_records(spark, folder, platform, spec, datasets, client=client, per_query=per_query)
@@ -59,10 +62,10 @@ def run(
         duplicates = labelled - every.select("source_url").distinct().count()
         kept = checkpoint(deduplicated(every, max_clips))
         if client is not None and download_folder:
-            media.check_downloader(tool)
+            media.check_downloader(tool, downloader)
             # ids of curation, so that a second run finds what the first has fetched
             told = kept.withColumn("clip_id", clip_id(F.col("source_url"), F.col("video_uri"), F.col("start_ms").cast("string"), F.col("end_ms").cast("string")))
-            done = checkpoint(media.downloaded(told, download_folder, tool=tool))
+            done = checkpoint(media.downloaded(told, download_folder, tool=tool, downloader=downloader))
             failures = {r.download_error: r["count"] for r in done.filter("download_error is not null").groupBy("download_error").count().collect()}
             kept = done.filter("download_error is null").drop("download_error", "clip_id")
         # max_clips rows at most

@@ -13,6 +13,7 @@ from reelspark.functions import fixed_values as V
 from reelspark.functions import parsing, perceptual, relevance
 from reelspark.functions.taxonomy import KITCHEN, WAREHOUSE
 from reelspark.operators import labelling, manifest, near_duplicates, report, validation
+from reelspark.plans import discovery
 from reelspark.sources import records
 
 QUERIES: dict = {}
@@ -155,7 +156,7 @@ _SQL_BOTH = f"SELECT * FROM ({_sql_clips('youtube', 0)}) UNION ALL SELECT * FROM
 @query(f"SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY platform_order, ord, win) AS k FROM ({_SQL_BOTH})) WHERE k = 1 ORDER BY platform_order, ord, win LIMIT 60")
 def discovery_candidates(spark, sf_dir):
     both = _clips(spark, sf_dir, "youtube", 0).unionByName(_clips(spark, sf_dir, "tiktok", 1))
-    return labelling.first_per_url(both, "source_url", "platform_order", "ord", "win").orderBy("platform_order", "ord", "win").limit(60)
+    return discovery.deduplicated(both, 60)
 
 
 def _seconds(spark, sf_dir) -> DataFrame:
@@ -364,9 +365,10 @@ def url_dedup_first(spark, sf_dir):
     return labelling.first_per_url(pages, "host", "page_id").select("host", "page_id", "url")
 
 
-@query("SELECT event_id, user_id, value FROM events ORDER BY event_id LIMIT 60")
+@query("SELECT event_id, user_id, value FROM (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events) WHERE k = 1 ORDER BY event_id LIMIT 60")
 def limit_in_order(spark, sf_dir):
-    return _table(spark, sf_dir, "events").select("event_id", "user_id", "value").orderBy("event_id").limit(60)
+    events = _table(spark, sf_dir, "events").select(F.lit(0).alias("platform_order"), F.col("event_id").alias("ord"), F.lit(0).alias("win"), F.col("user_id").cast("string").alias("source_url"), "event_id", "user_id", "value")
+    return discovery.deduplicated(events, 60).select("event_id", "user_id", "value")
 
 
 # Signatures
@@ -413,10 +415,52 @@ def dup_rate(spark, sf_dir):
     return near_duplicates.rates(_winners(spark, sf_dir))
 
 
-@query()
+# At the default setting: five hashes a clip, 8 bits of 64 apart on average. A document's fifths stand for
+# frames, so texts of which one fifth was changed are near-duplicates.
+
+_HASH = 15  # hexadecimal digits of a hash
+
+
+def _frames(spark, sf_dir) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t")).withColumn("w", F.floor(F.length("t") / 5).cast("int"))
+    parts = [F.conv(F.substring(F.md5(F.expr(f"substring(t, 1 + {i} * w, w)").cast("binary")), 1, _HASH), 16, 10).cast("bigint") for i in range(perceptual.FRAMES)]
+    return docs.select(F.col("doc_id").alias("ord"), F.array(*parts).alias("sig"), F.length("t").alias("quality"))
+
+
+_SQL_FRAMES = "sig AS MATERIALIZED (SELECT doc_id AS ord, length(t) AS quality, " + ", ".join(f"('0x' || substr(md5(substring(t, 1 + {i} * w, w)), 1, {_HASH}))::BIGINT AS s{i}" for i in range(perceptual.FRAMES)) + " FROM (SELECT doc_id, coalesce(text, '') AS t, (length(coalesce(text, '')) // 5)::INT AS w FROM documents))"
+_SQL_APART = " + ".join(f"bit_count(xor(a.s{i}, b.s{i}))::INT" for i in range(perceptual.FRAMES))
+_SQL_NEAR = f"nodes AS MATERIALIZED (SELECT min(ord) AS ord, {', '.join(f's{i}' for i in range(perceptual.FRAMES))} FROM sig GROUP BY ALL), pairs AS MATERIALIZED (SELECT a.ord AS a, b.ord AS b FROM nodes a JOIN nodes b ON a.ord < b.ord WHERE {_SQL_APART} <= 8 * {perceptual.FRAMES})"
+_SQL_REACH = "ways AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs), reach AS (SELECT ord AS a, ord AS b FROM nodes UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a), near AS (SELECT a, min(b) AS cluster FROM reach GROUP BY a)"
+_SQL_FOUND = f"found AS (SELECT sig.ord, near.cluster FROM sig JOIN nodes ON {' AND '.join(f'sig.s{i} = nodes.s{i}' for i in range(perceptual.FRAMES))} JOIN near ON near.a = nodes.ord)"
+
+
+@query(f"WITH RECURSIVE {_SQL_FRAMES}, {_SQL_NEAR}, {_SQL_REACH}, {_SQL_FOUND}, {_SQL_WINNERS} SELECT * FROM won")
+def near_dup_default(spark, sf_dir):
+    frames = _frames(spark, sf_dir)
+    return near_duplicates.winners(near_duplicates.clusters(frames.select("ord", "sig"), 8.0, perceptual.FRAMES).join(frames.select("ord", "quality"), "ord"))
+
+
+_SQL_PHASH = """
+WITH grey AS (
+  SELECT vec_id, i, (trunc(x * 100 + i * i // 37)::INT % 256 + 256) % 256 AS g
+  FROM (SELECT vec_id, unnest(range(1024)) AS i, embedding[unnest(range(1024)) % 64 + 1]::DOUBLE AS x FROM embeddings)
+), basis AS (
+  SELECT u, k, CASE u WHEN 0 THEN sqrt(1.0::DOUBLE / 32) ELSE sqrt(2.0::DOUBLE / 32) * cos(pi() * u * (2 * k + 1) / 64) END AS c FROM range(8) a(u), range(32) b(k)
+), across AS (
+  SELECT vec_id, i // 32 AS y, u AS v, sum(g * c) AS s FROM grey JOIN basis ON i % 32 = k GROUP BY ALL
+), low AS (
+  SELECT vec_id, u, v, sum(s * c) AS s FROM across JOIN basis ON y = k GROUP BY ALL
+), middle AS (
+  SELECT vec_id, median(s) AS m FROM low WHERE u + v > 0 GROUP BY vec_id
+)
+SELECT vec_id, lower(lpad(to_hex(sum(CASE WHEN s > m THEN (1::HUGEINT << (63 - 8 * u - v)::INT) ELSE 0 END)::UBIGINT), 16, '0')) AS phash, true AS padded FROM low JOIN middle USING (vec_id) GROUP BY vec_id
+"""
+
+
+@query(_SQL_PHASH)
 def phash_frames(spark, sf_dir):
-    """Frames made of an embedding's values, sixteen copies of its 64 in an order of their own; SQL has no cosine transform of them."""
-    grey = F.transform(F.flatten(F.array_repeat("embedding", 16)), lambda x, i: F.pmod((x * 100 + i * i).cast("int"), F.lit(256)))
+    """Frames made of sixteen copies of an embedding's 64 values on a pattern without a period, so that no frequency is absent."""
+    grey = F.transform(F.flatten(F.array_repeat("embedding", 16)), lambda x, i: F.pmod((x * 100 + F.floor(i * i / 37)).cast("int"), F.lit(256)))
     frame = F.unhex(F.array_join(F.transform(grey, lambda v: F.lpad(F.hex(v), 2, "0")), ""))
     signed = _table(spark, sf_dir, "embeddings").select("vec_id", perceptual.signatures(F.array(frame)).alias("sig"))
     return signed.select("vec_id", perceptual.hex_of(F.col("sig")[0]).alias("phash"), (perceptual.distance(F.col("sig"), F.col("sig")) == 0).alias("padded"))
@@ -447,6 +491,60 @@ def dataset_view(spark, sf_dir):
     return manifest.samples(read, lambda df: df.withColumn("actions", F.array_join("actions", ",")))
 
 
+_SQL_FLOW = "SELECT count(*) AS fetched, count(*) FILTER (event_type <> 'error') AS schema_valid, count(*) FILTER (event_type <> 'error' AND value > 3) AS probe_valid, count(*) FILTER (event_type <> 'error' AND value > 30) AS training_ready FROM events"
+
+
+@query(f"SELECT stage, n, coalesce(n / nullif(fetched, 0)::DOUBLE, 0) AS share FROM ({_SQL_FLOW}), (VALUES ('fetched'), ('schema_valid'), ('file_present'), ('probe_valid'), ('unique'), ('training_ready')) AS v(stage), LATERAL (SELECT CASE stage WHEN 'fetched' THEN fetched WHEN 'schema_valid' THEN schema_valid WHEN 'probe_valid' THEN probe_valid WHEN 'training_ready' THEN training_ready ELSE 0 END::BIGINT AS n)")
+def stage_shares(spark, sf_dir):
+    found = report.YieldReport.of(yield_funnel(spark, sf_dir).first())
+    return spark.createDataFrame(found.stages(), "stage string, n long, share double")
+
+
+@query(f"SELECT (row_number() OVER (ORDER BY n DESC, reason))::INT AS rank, reason, n FROM ({ORACLES['merged_reasons']})")
+def ranked_reasons(spark, sf_dir):
+    found = report.YieldReport()
+    for part in (reject_histogram(spark, sf_dir), label_reject_histogram(spark, sf_dir)):
+        found.add_reasons({r.reason: r.n for r in part.collect()})  # one row for each kind of reason
+    found.reject_reasons = dict(sorted(found.reject_reasons.items()))
+    return spark.createDataFrame([(i + 1, *x) for i, x in enumerate(found.ranked_reasons())], "rank int, reason string, n long")
+
+
+def _measured(spark, sf_dir) -> DataFrame:
+    """Valid clips, each with what a probe of its file might have said."""
+    user = F.col("record.fps")
+    probe = F.struct((F.col("record.end_ms") - F.col("record.start_ms") + 40).alias("duration_ms"), F.lit(1280).alias("width"), F.lit(720).alias("height"), F.lit("h264").alias("codec"), F.when(user % 3 == 0, F.lit(0.0)).otherwise(user - 1).alias("fps"))
+    return _checked(spark, sf_dir, False).filter("ok").select("ord", validation.enriched(F.col("record"), probe).alias("record"))
+
+
+_SQL_MEASURED = f"SELECT ord, {_SQL_ID} AS clip_id, end_ms - start_ms + 40 AS duration_ms, 1280 AS width, 720 AS height, 'h264' AS codec, CASE WHEN fps % 3 = 0 THEN fps ELSE fps - 1 END AS fps, scenario_type, camera_pov FROM ({_sql_checked(False)}) WHERE len(reasons) = 0"
+
+
+@query(f"SELECT ord, clip_id, duration_ms, width, height, codec, fps FROM ({_SQL_MEASURED})")
+def enrich(spark, sf_dir):
+    return _measured(spark, sf_dir).select("ord", *[f"record.{c}" for c in ("clip_id", "duration_ms", "width", "height", "codec", "fps")])
+
+
+@query(f"""
+WITH m AS ({_SQL_MEASURED})
+SELECT 'n_samples' AS what, '' AS value, count(*)::DOUBLE AS n FROM m UNION ALL SELECT 'total_duration_s', '', coalesce(round(sum(duration_ms) / 1000.0::DOUBLE, 1), 0) FROM m
+UNION ALL SELECT 'scenario_distribution', scenario_type, count(*) FROM m GROUP BY 2 UNION ALL SELECT 'pov_distribution', camera_pov, count(*) FROM m GROUP BY 2
+UNION ALL SELECT 'geo_distribution', 'unknown', count(*) FROM m HAVING count(*) > 0 UNION ALL SELECT 'label_source_distribution', 'vendor_provided', count(*) FROM m HAVING count(*) > 0""")
+def manifest_header(spark, sf_dir):
+    head = manifest.header(_measured(spark, sf_dir), "d", "v1")
+    rows = [(k, *x) for k, v in head.items() if k.endswith("_distribution") for x in v.items()] + [(k, "", head[k]) for k in ("n_samples", "total_duration_s")]
+    return spark.createDataFrame([(a, b, float(n)) for a, b, n in rows], "what string, value string, n double")
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(
+    f"({_quoted(spec.scenario_type)}, {_quoted(k)}, {_quoted(v)})" for spec, told in (
+        (WAREHOUSE, {"scenario_type": "warehouse_pick_and_place", "env_context": "industrial_warehouse", "camera_pov": "third_person,wrist_mounted", "action_type": "reach,grasp,lift,place", "lighting": "normal,low_light", "min_duration_ms": "3000", "max_duration_ms": "45000", "min_resolution_height": "480", "limit": "500"}),
+        (KITCHEN, {"scenario_type": "kitchen_manipulation_wipe", "env_context": "residential_kitchen", "camera_pov": "third_person,overhead", "action_type": "reach,grasp,wipe,place", "lighting": "normal,low_light", "min_duration_ms": "3000", "max_duration_ms": "60000", "min_resolution_height": "480", "limit": "300"}),
+    ) for k, v in told.items()) + ") AS v(scenario, field, value)")
+def filter_payload(spark, sf_dir):
+    rows = [(spec.scenario_type, k, ",".join(v) if isinstance(v, list) else str(v)) for spec in (WAREHOUSE, KITCHEN) for k, v in spec.to_filter_params().items()]
+    return spark.createDataFrame(rows, "scenario string, field string, value string")
+
+
 @query("SELECT * FROM (VALUES " + ", ".join(f"({i}::INT, '{a}', '{b}', '{c}')" for i, (a, b, c) in enumerate(V.OFFLINE_DATASETS)) + ") AS v(ord, id, name, type)")
 def offline_catalogue(spark, sf_dir):
     return records.offline_datasets(spark)
