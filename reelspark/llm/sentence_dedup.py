@@ -42,12 +42,12 @@ UNSPACED = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x312
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each code point: whether it is white space, whether it is a word of its own, and its lower case."""
-    every = [*map(chr, range(0x110000))]
     alone = np.zeros(0x110000, bool)
     for low, high in UNSPACED:
         alone[low : high + 1] = True
-    lower = np.fromiter((ord(x) if len(x := c.lower()) == 1 else ord(c) for c in every), np.uint32, 0x110000)
-    return np.fromiter(map(str.isspace, every), bool, 0x110000), alone, lower
+    every = range(0x110000)
+    lower = np.fromiter((ord(x) if len(x := chr(i).lower()) == 1 else i for i in every), np.uint32, len(every))
+    return np.fromiter((chr(i).isspace() for i in every), bool, len(every)), alone, lower
 
 
 class Layout:
@@ -202,17 +202,21 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                 yield places(rows, row, high, low, first, n)
 
     def places(rows: pa.RecordBatch, row: np.ndarray, high: np.ndarray, low: np.ndarray, first: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        """(_id, _key, _high, _low, _at) of a part; _at: first and number of pieces, negative for what is known to be later."""
+        """(_id, _low, _more, _at) of a part; _more: half of a digest, and the key; _at: first and number of pieces, negative for what is known to be later."""
         names, key = rows.column(0).to_pylist(), rows.column(1).to_numpy()
         rank = {x: i for i, x in enumerate(sorted(set(names), key=lambda x: (x is not None, x)))}
         kept, later = _sent(row, np.array([rank[x] for x in names]), key, high, low, first)
+        kept = np.sort(kept)  # by document, so that neighbours are alike
         owner, a, b = _merged(row[later], first[later], first[later] + n[later])
         anywhere = mixed(mixed((owner << 32 | a).astype(np.uint64)) + key[owner].astype(np.uint64)).view(np.int64)
         own = np.concatenate([row[kept], owner])
-        columns = [rows.column(0).take(pa.array(own)), key[own], np.concatenate([high[kept], anywhere & 0x7FFFFFFF]), np.concatenate([low[kept], anywhere]), np.concatenate([first[kept] << 32 | n[kept], -(a << 32 | b - a)])]
-        return pa.record_batch([columns[0], pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), pa.array(columns[3]), pa.array(columns[4])], ["_id", "_key", "_high", "_low", "_at"])
+        more = np.concatenate([high[kept], anywhere >> 32]) << 32 | key[own]
+        at = np.concatenate([first[kept] << 32 | n[kept], -(a << 32 | b - a)])
+        return pa.record_batch([rows.column(0).take(pa.array(own)), pa.array(np.concatenate([low[kept], anywhere])), pa.array(more), pa.array(at)], ["_id", "_low", "_more", "_at"])
 
-    found = keyed.select("_id", "_key", text_of("_text").alias("_text")).mapInArrow(hashed, f"_id {kind}, _key int, _high int, _low long, _at long")
+    found = keyed.select("_id", "_key", text_of("_text").alias("_text")).mapInArrow(hashed, f"_id {kind}, _low long, _more long, _at long")
+    # hashed by half of a digest, so that the other half travels in one number with the key
+    found = found.repartition("_low").withColumns({"_high": F.shiftright("_more", 32), "_key": F.col("_more").bitwiseAND(0x7FFFFFFF).cast("int")})
     place = F.struct("_id", "_at", "_key")
     least = F.min(F.when(F.col("_at") >= 0, place)).over(Window.partitionBy("_low", "_high"))
     later = found.withColumn("_least", least).filter((F.col("_at") < 0) | (place != F.col("_least"))).withColumn("_at", F.abs("_at"))
