@@ -42,8 +42,6 @@ def banding(rows: float, n_bits: int, most_bits: int) -> tuple[int, int, int]:
         work = bands * sum(near) + rows * bands * near[0] * near[1] / 2.0**width
         if best is None or work < best[0]:
             best = work, bands, (reach + 1) // 2, reach // 2
-    if best is None:
-        raise ValueError(f"{most_bits} of {n_bits} bits is no near-duplicate")
     return best[1:]
 
 

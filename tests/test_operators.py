@@ -178,3 +178,33 @@ def test_report():
     assert report.ranked_reasons() == [("c", 3), ("a", 2)] and report.stages()[1] == ("schema_valid", 5, 0.5)
     assert YieldReport(discovered=9, labeled=4).stages()[1][2] == 1.0 and "usable yield" in report.render()
     assert report.as_dict({})["funnel"]["usable_yield"] == 0.4
+
+
+def test_bands_grow_with_the_rows():
+    """Work of a row grows far slower than the rows, and every choice covers the distance."""
+    work = {}
+    for rows in (10, 10**3, 10**5, 10**7, 10**9):
+        bands, far, near = near_duplicates.banding(rows, 320, 40)
+        assert bands * (far + near + 1) > 40
+        width = 320 // bands
+        copies = [len(near_duplicates._flips(width, r)) for r in (far, near)]
+        work[rows] = bands * sum(copies) + rows * bands * copies[0] * copies[1] / 2**width
+    assert work[10**5] < 20 * work[10**3] and work[10**9] < 10**9 / 100
+    assert near_duplicates.banding(10, 64, 64)[0] == 64
+
+
+def test_the_downloader_is_the_callers(tmp_path):
+    own = media.Downloader(program=("own", "get"), section=("{url}", "{start:.0f}", "{target}"), whole=("{url}", "{target}"))
+    calls = []
+
+    def tool(args, timeout):
+        calls.append(args)
+        if args[0] == "own" and len(args) == 5:
+            return 1, b""
+        open(args[-1], "wb").write(b"x")
+        return 0, b""
+
+    target = str(tmp_path / "c.mp4")
+    assert media.fetch_section("https://a", target, 2.0, 5.0, tool, own)
+    assert calls[0] == ["own", "get", "https://a", "2", target] and calls[1][:3] == ["own", "get", "https://a"] and calls[2][0] == "ffmpeg"
+    assert [p.name for p in tmp_path.iterdir()] == ["c.mp4"]

@@ -162,3 +162,37 @@ def test_stream_lets_an_id_through_once(spark, tmp_path):
     run = found.writeStream.format("memory").queryName("once").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     run.awaitTermination(120)
     assert spark.table("once").count() == 2
+
+
+class OwnClient(FakeClient):
+    """A client that says what it was asked for, in its records."""
+
+    def __init__(self, rows):
+        self.rows = rows
+
+    def download(self, snapshot_id):
+        return [r | {"asked": snapshot_id} for r in self.rows]
+
+    def list_datasets(self):
+        return [{"id": "d1", "name": "YouTube - Videos posts", "type": "video"}]
+
+
+def test_a_given_client_is_used(spark, tmp_path, monkeypatch):
+    monkeypatch.delenv("SNAPSHOT_API_KEY", raising=False)
+    ms = GOOD["end_ms"] - GOOD["start_ms"]
+    (tmp_path / "0.mp4").write_text(f"720 {ms} 30 a")
+    own = OwnClient([GOOD | {"video_uri": str(tmp_path / "0.mp4")}, GOOD | {"fps": 1}])
+    rows = [json.loads(r.raw) for r in snapshot.collect(spark, "d", [{}], client=own).orderBy("ord").collect()]
+    assert [r["asked"] for r in rows] == ["snap-d-1-None"] * 2
+    report = curation.run(spark, str(tmp_path), str(tmp_path / "out"), dataset_id="d", client=own, tool=tool)
+    assert [report.fetched, report.schema_valid, report.unique] == [2, 1, 1]
+    tube = {"url": "https://y/1", "video_length": 120, "title": "Warehouse robot arm grasp", "fps": 25}
+    shown = []
+    found = discovery.run(spark, str(tmp_path), str(tmp_path / "found"), client=OwnClient([tube, tube | {"url": ""}]), platforms=("youtube",), show=shown.append)
+    assert found["is_real_api"] and found["funnel"]["discovered"] == 2 and found["funnel"]["final"] == 1
+    assert shown[0].splitlines()[0].split() == ["dataset_id", "name", "type"] and "YouTube - Videos posts" in shown[0]
+
+
+def test_an_empty_catalogue(spark):
+    assert snapshot.catalogue(records.offline_datasets(spark).limit(0)) == "(no datasets)"
+    assert len(snapshot.catalogue(records.offline_datasets(spark)).splitlines()) > 2
