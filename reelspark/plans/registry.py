@@ -6,6 +6,8 @@ functions below builds the stand-in once in Spark and once in SQL.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,9 @@ from reelspark.functions import fixed_values as V
 from reelspark.functions import parsing, perceptual, relevance
 from reelspark.functions.taxonomy import KITCHEN, WAREHOUSE
 from reelspark.operators import labelling, manifest, near_duplicates, report, validation
+from reelspark.operators.lineage import checkpoint
 from reelspark.plans import discovery
-from reelspark.sources import records
+from reelspark.sources import fixtures, records
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -545,6 +548,19 @@ def filter_payload(spark, sf_dir):
     return spark.createDataFrame(rows, "scenario string, field string, value string")
 
 
+@query("SELECT * FROM (VALUES ('fetched', 118::BIGINT), ('schema_valid', 101), ('file_present', 99), ('probe_valid', 90), ('unique', 74), ('training_ready', 74)) AS v(stage, n)")
+def fixture_funnel(spark, sf_dir):
+    """The stages' counts over fixtures of known defects: records, files, measures and hashes, joined by video."""
+    made = checkpoint(fixtures.fixtures(spark, 120))
+    good = validation.checked(made.select("ord", "raw"), WAREHOUSE).filter("ok").select("ord", "record")
+    met = good.join(made.select("video_uri", "present", "probe", "sig"), good["record.video_uri"] == made["video_uri"]).filter("present")
+    problems = validation.probe_problems(F.col("record.end_ms") - F.col("record.start_ms"), F.col("record.fps"), F.col("probe"), WAREHOUSE)
+    valid = checkpoint(met.filter(F.size(problems) == 0))
+    won = near_duplicates.winners(near_duplicates.clusters(valid.select("ord", "sig"), 8.0, perceptual.FRAMES).join(valid.select("ord", F.col("probe.height").alias("quality")), "ord"))
+    counted = [("fetched", made), ("schema_valid", good), ("file_present", met), ("probe_valid", valid), ("unique", won.filter("keep")), ("training_ready", won.filter("keep"))]
+    return reduce(DataFrame.unionByName, [df.agg(F.lit(stage).alias("stage"), F.count("*").alias("n")) for stage, df in counted])
+
+
 @query("SELECT * FROM (VALUES " + ", ".join(f"({i}::INT, '{a}', '{b}', '{c}')" for i, (a, b, c) in enumerate(V.OFFLINE_DATASETS)) + ") AS v(ord, id, name, type)")
 def offline_catalogue(spark, sf_dir):
     return records.offline_datasets(spark)
