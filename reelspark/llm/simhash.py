@@ -256,9 +256,11 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     kind = df.schema[id_col].dataType.simpleString()
     prints = checkpoint(fingerprints(df, id_col=id_col, text_col=text_col).withColumn("_id", F.col("_id").cast("long")))
     nodes = checkpoint(prints.filter(F.col("_id").isNotNull()).groupBy("_print").agg(F.min("_id").alias("_node")).select("_node", "_print"))
-    # an id may stand for several fingerprints if ids repeat: they are one document, and so linked
-    own = prints.filter(F.col("_id").isNotNull()).join(nodes, "_print").groupBy("_id").agg(F.min("_node").alias("b"), F.collect_set("_node").alias("_nodes"))
-    shared = own.filter(F.size("_nodes") > 1).select(F.explode("_nodes").alias("a"), "b").filter("a <> b")
+    # an id may stand for several fingerprints if ids repeat: they are one document, and so linked, each with the least
+    several = prints.filter(F.col("_id").isNotNull()).groupBy("_id").agg(F.min("_print").alias("_least"), F.max("_print").alias("_most")).filter("_least <> _most").select("_id", "_least")
+    pairs = prints.join(several, "_id").filter("_print <> _least").select("_print", "_least").distinct()
+    least = nodes.select(F.col("_print").alias("_least"), F.col("_node").alias("b"))
+    shared = pairs.join(nodes, "_print").join(least, "_least").select(F.col("_node").alias("a"), "b").filter("a <> b")
     found = checkpoint(connected_components(links(nodes).unionByName(shared)))
     labels = nodes.join(found.withColumnRenamed("node", "_node"), "_node", "left").select("_print", F.coalesce("component", "_node").alias("_component"))
     shown = F.lpad(F.lower(F.hex("_print")), 16, "0")
