@@ -65,8 +65,8 @@ def hamming_pairs(signatures: DataFrame, most_bits: int, n: int) -> DataFrame:
 
     Some band has its share of the differing bits or less; so either side goes out under
     the values that near each of its bands, and an equi-join finds all pairs. Bands are
-    as wide as the number of rows asks for (see banding), so that chance meetings of a
-    row don't grow with it. Only bands and ords are shuffled there; pairs that met get
+    as wide as the number of rows asks for (see banding), so that the work of a row grows
+    far slower than the rows. Only bands and ords are shuffled there; pairs that met get
     their signatures afterwards, once each. Large keys are split by the engine's skew join.
     """
     bands, far, near = banding(signatures.count(), 64 * n, most_bits)
