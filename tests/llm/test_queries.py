@@ -18,7 +18,7 @@ DATA = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     found = queries.QUERIES[name](spark, DATA)
     columns = sorted(found.columns)
@@ -27,7 +27,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_each_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark, tmp_path):
