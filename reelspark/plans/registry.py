@@ -6,6 +6,7 @@ functions below builds the stand-in once in Spark and once in SQL.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +16,9 @@ from reelspark.functions import fixed_values as V
 from reelspark.functions import parsing, perceptual, relevance
 from reelspark.functions.taxonomy import KITCHEN, WAREHOUSE
 from reelspark.operators import labelling, manifest, near_duplicates, report, validation
-from reelspark.operators.lineage import checkpoint
+from reelspark.operators.lineage import checkpoint, discard, folder
 from reelspark.plans import discovery
-from reelspark.sources import fixtures, records
+from reelspark.sources import fixtures, records, shards
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -527,15 +528,59 @@ def enrich(spark, sf_dir):
     return _measured(spark, sf_dir).select("ord", *[f"record.{c}" for c in ("clip_id", "duration_ms", "width", "height", "codec", "fps")])
 
 
+def _kept_until_read(spark, path: str, found: DataFrame) -> DataFrame:
+    """found, written out, so that the folder that it reads can go."""
+    try:
+        return checkpoint(found)
+    finally:
+        discard(spark, path)
+
+
+_LINES = "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string"
+_LINE_COLUMNS = ", ".join(x.split()[0] for x in _LINES.split(", "))
+
+
+def _line_manifest(spark, sf_dir) -> tuple[str, dict]:
+    """Line items as a manifest in shards, in a new folder, and its header."""
+    rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_json(F.struct(*_LINE_COLUMNS.split(", "))).alias("raw"), "l_returnflag", "l_linestatus", F.col("l_linenumber").cast("long").alias("_n"))
+    path = f"{folder(spark)}/lines-{uuid.uuid4().hex}"
+    return path, shards.write_shards(rows, path, count_by=("l_returnflag", "l_linestatus"), sum_of="_n", order=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+
+
+_SQL_LINES = f"SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS ord, {_LINE_COLUMNS} FROM lineitem"
+
+
+@query(_SQL_LINES)
+def manifest_shards(spark, sf_dir):
+    """All line items, written in shards by the tasks and read back in order."""
+    path, _ = _line_manifest(spark, sf_dir)
+    return _kept_until_read(spark, path, shards.read_shards(spark, path).select("ord", F.from_json("raw", _LINES).alias("r")).select("ord", "r.*"))
+
+
+@query(_SQL_LINES)
+def manifest_random_access(spark, sf_dir):
+    """All line items by their number, each by a seek in the index."""
+    path, head = _line_manifest(spark, sf_dir)
+    found = shards.lines_at(spark.range(head["rows"]).withColumnRenamed("id", "ord").repartition("ord"), path)
+    return _kept_until_read(spark, path, found.select("ord", F.from_json("raw", _LINES).alias("r")).select("ord", "r.*"))
+
+
+@query("SELECT 'rows' AS what, '' AS value, count(*) AS n FROM lineitem UNION ALL SELECT 'sum', '', sum(l_linenumber)::BIGINT FROM lineitem UNION ALL SELECT 'l_returnflag', l_returnflag, count(*) FROM lineitem GROUP BY 2 UNION ALL SELECT 'l_linestatus', l_linestatus, count(*) FROM lineitem GROUP BY 2")
+def manifest_commit_header(spark, sf_dir):
+    """The header that comes out of the tasks' commit messages; it has an entry for each distinct value."""
+    path, head = _line_manifest(spark, sf_dir)
+    discard(spark, path)
+    rows = [("rows", "", head["rows"]), ("sum", "", head["sum"]), *[(k, value, n) for k, v in head["counts"].items() for value, n in v.items()]]
+    return spark.createDataFrame(rows, "what string, value string, n long")
+
+
 @query(f"""
 WITH m AS ({_SQL_MEASURED})
 SELECT 'n_samples' AS what, '' AS value, count(*)::DOUBLE AS n FROM m UNION ALL SELECT 'total_duration_s', '', coalesce(round(sum(duration_ms) / 1000.0::DOUBLE, 1), 0) FROM m
 UNION ALL SELECT 'scenario_distribution', scenario_type, count(*) FROM m GROUP BY 2 UNION ALL SELECT 'pov_distribution', camera_pov, count(*) FROM m GROUP BY 2
 UNION ALL SELECT 'geo_distribution', 'unknown', count(*) FROM m HAVING count(*) > 0 UNION ALL SELECT 'label_source_distribution', 'vendor_provided', count(*) FROM m HAVING count(*) > 0""")
 def manifest_header(spark, sf_dir):
-    head = manifest.header(_measured(spark, sf_dir), "d", "v1")
-    rows = [(k, *x) for k, v in head.items() if k.endswith("_distribution") for x in v.items()] + [(k, "", head[k]) for k in ("n_samples", "total_duration_s")]
-    return spark.createDataFrame([(a, b, float(n)) for a, b, n in rows], "what string, value string, n double")
+    return manifest.header_rows(_measured(spark, sf_dir))
 
 
 @query("SELECT * FROM (VALUES " + ", ".join(
