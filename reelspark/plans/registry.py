@@ -542,12 +542,12 @@ _LINE_COLUMNS = ", ".join(x.split()[0] for x in _LINES.split(", "))
 
 def _line_manifest(spark, sf_dir) -> tuple[str, dict]:
     """Line items as a manifest in shards, in a new folder, and its header."""
-    rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_json(F.struct(*_LINE_COLUMNS.split(", "))).alias("raw"), "l_returnflag", "l_linestatus", F.col("l_linenumber").cast("long").alias("_n"))
+    rows = _table(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS.split(", "), F.to_json(F.struct(*_LINE_COLUMNS.split(", "))).alias("raw"), F.col("l_linenumber").cast("long").alias("_n"))
     path = f"{folder(spark)}/lines-{uuid.uuid4().hex}"
-    return path, shards.write_shards(rows, path, count_by=("l_returnflag", "l_linestatus"), sum_of="_n", order=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    return path, shards.write_shards(rows, path, count_by=("l_returnflag", "l_linestatus"), sum_of="_n", order=tuple(_LINE_COLUMNS.split(", ")))
 
 
-_SQL_LINES = f"SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS ord, {_LINE_COLUMNS} FROM lineitem"
+_SQL_LINES = f"SELECT row_number() OVER (ORDER BY {_LINE_COLUMNS}) - 1 AS ord, {_LINE_COLUMNS} FROM lineitem"
 
 
 @query(_SQL_LINES)

@@ -1,9 +1,11 @@
 """Manifests in shards: tasks write lines and an index of their byte offsets, the commit writes the header.
 
-A manifest is a folder: shards of JSON lines, beside each an index (the offset of every
-line, 8 bytes each), and manifest.json, which is written last and names the shards that
-count. Tasks send counts with their commit messages, so the header needs no pass of its
-own. What a failed job or attempt has written is removed, and isn't named anyway.
+A manifest is a folder: in a folder of the job that wrote them, shards of JSON lines,
+beside each an index (the offset of every line, 8 bytes each); and manifest.json, which
+is written last and names the shards that count. Tasks send counts with their commit
+messages, so the header needs no pass of its own. A failed job's folder is removed, so
+that a task which is still running can't add to it; what a lost attempt has left isn't
+named, and goes with the commit.
 
 Columns of the table that is written: raw (the line), and those that options name:
 count_by, comma-separated, whose values are counted, and sum, which is added up. The
@@ -83,12 +85,12 @@ class _ShardWriter(DataSourceArrowWriter):
         store, root = opened(self.path)
         if not overwrite and store.get_file_info(f"{root}/{HEADER}").type == fs.FileType.File:
             raise ValueError(f"{self.path} holds a manifest already")
-        store.create_dir(root)
+        store.create_dir(f"{root}/{self.job}")
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         context = TaskContext.get()
         store, root = opened(self.path)
-        name = f"part-{context.partitionId():06d}-{self.job}-{context.taskAttemptId()}"
+        name = f"{self.job}/part-{context.partitionId():06d}-{context.taskAttemptId()}"
         done = _Written(context.partitionId(), name, counts={c: Counter() for c in self.count_by})
         with store.open_output_stream(f"{root}/{name}.jsonl") as lines, store.open_output_stream(f"{root}/{name}.idx") as index:
             for batch in batches:
@@ -124,17 +126,17 @@ class _ShardWriter(DataSourceArrowWriter):
         with store.open_output_stream(f"{root}/{HEADER}.{self.job}") as f:
             f.write(json.dumps(head, ensure_ascii=False).encode())
         store.move(f"{root}/{HEADER}.{self.job}", f"{root}/{HEADER}")  # from here on this manifest counts
-        self._remove({s["name"] for s in head["shards"]}, others=True)
+        named = {s["name"].split("/")[1] for s in head["shards"]}
+        for info in store.get_file_info(fs.FileSelector(root)):
+            if info.type == fs.FileType.Directory and info.base_name != self.job:
+                store.delete_dir(info.path)
+        for info in store.get_file_info(fs.FileSelector(f"{root}/{self.job}")):
+            if info.base_name.rsplit(".", 1)[0] not in named:
+                store.delete_file(info.path)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        self._remove(set(), others=False)
-
-    def _remove(self, kept: set[str], *, others: bool) -> None:
-        """Shards of this job (of all jobs, if others) but the kept ones."""
         store, root = opened(self.path)
-        for info in store.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-            if info.base_name.startswith("part-") and info.base_name.rsplit(".", 1)[0] not in kept and (others or self.job in info.base_name):
-                store.delete_file(info.path)
+        store.delete_dir(f"{root}/{self.job}")
 
 
 @dataclass
