@@ -536,6 +536,42 @@ def _kept_until_read(spark, path: str, found: DataFrame) -> DataFrame:
         discard(spark, path)
 
 
+def _array_files(rows: DataFrame, path: str, order: tuple[str, ...]) -> None:
+    """Writes rows (raw, and the columns of order) as JSON arrays, a file for each range of order."""
+
+    def arrays(batches):
+        import pyarrow as pa
+
+        head = "["
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.record_batch([pa.array([head + "\n, ".join(batch.column(0).to_pylist())])], ["value"])
+                head = ","
+        yield pa.record_batch([pa.array(["[]" if head == "[" else "]"])], ["value"])
+
+    rows.repartitionByRange(4, *order).sortWithinPartitions(*order).select("raw").mapInArrow(arrays, "value string").write.text(path)
+
+
+@query('SELECT row_number() OVER (ORDER BY conv_id, turn, role, "text") - 1 AS ord, conv_id, turn, role, "text" FROM conversations')
+def json_array_scan(spark, sf_dir):
+    """All turns as elements of JSON arrays in files, read in ranges of bytes; texts hold commas, quotes and brackets."""
+    columns = ("conv_id", "turn", "role", "text")
+    path = f"{folder(spark)}/arrays-{uuid.uuid4().hex}"
+    _array_files(_table(spark, sf_dir, "conversations").select(F.to_json(F.struct(*columns)).alias("raw"), *columns), path, columns)
+    read = records.read_records(spark, path).select("ord", F.from_json("raw", "conv_id long, turn long, role string, text string").alias("r"))
+    return _kept_until_read(spark, path, read.select("ord", "r.*"))
+
+
+@query("SELECT row_number() OVER (ORDER BY page_id) - 1 AS ord, page_id, url FROM pages")
+def numbered_line_scan(spark, sf_dir):
+    """All pages as lines of files, numbered over the ranges of bytes that are read apart."""
+    path = f"{folder(spark)}/lines-{uuid.uuid4().hex}"
+    rows = _table(spark, sf_dir, "pages").select("page_id", F.to_json(F.struct("page_id", "url")).alias("value"))
+    rows.repartitionByRange(4, "page_id").sortWithinPartitions("page_id").select("value").write.text(path)
+    read = records.numbered_lines(spark, path).select("ord", F.from_json("raw", "page_id long, url string").alias("r"))
+    return _kept_until_read(spark, path, read.select("ord", "r.*"))
+
+
 _LINES = "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string"
 _LINE_COLUMNS = ", ".join(x.split()[0] for x in _LINES.split(", "))
 

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from reelspark.functions import fixed_values as V
 from reelspark.functions.fields import opened
+from reelspark.sources import json_arrays
 
 RESPONSE, DISCOVERY = "vendor_response.json", "discovery_response.json"
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """(ord, raw) of a JSON array of records: their place and their own text."""
-    return spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", "array<string>")).alias("ord", "raw"))
+    """(ord, raw) of JSON arrays of records: their place and their own text, read in byte ranges (see json_arrays)."""
+    return json_arrays.read_elements(spark, path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -21,6 +22,24 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter(F.trim("value") != "").select(F.monotonically_increasing_id().alias("ord"), F.col("value").alias("raw"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(ord, raw) of all physical lines, empty ones too, numbered from 0 over the files of path in the order of their names.
+
+    Ranges of bytes are read apart; a first pass counts the lines of each, and the counts
+    (one for each range) say where a range's numbers start.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    counted = lines.groupBy("file", "block").agg(F.min("id").alias("least"), F.count("*").alias("n")).collect()
+    firsts, total = [], 0
+    for r in sorted(counted, key=lambda r: (r.file, r.block)):
+        firsts.append((r.file, r.block, total - r.least))
+        total += r.n
+    if not firsts:
+        return spark.createDataFrame([], "ord long, raw string")
+    known = spark.createDataFrame(firsts, "file string, block long, shift long")  # a row for each range of bytes
+    return lines.join(F.broadcast(known), ["file", "block"]).select((F.col("id") + F.col("shift")).alias("ord"), F.col("value").alias("raw"))
+
+
 def stamped(records: DataFrame, snapshot_id: str, vendor: str, dataset_id: str | None = None) -> DataFrame:
     """records with where they come from and when, in place of what they say themselves."""
     now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -59,7 +78,6 @@ def offline_datasets(spark: SparkSession) -> DataFrame:
 
 def read_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(header, rows) as (raw) and (ord, raw): the header is the first physical line, if it says that it is one."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("ord", "raw"))
-    lines = opened(lines.filter(F.trim("raw") != ""))
+    lines = opened(numbered_lines(spark, path).filter(F.trim("raw") != ""))
     is_header = (F.col("ord") == 0) & F.coalesce(F.try_element_at("_m", F.lit("_type")) == "manifest_header", F.lit(False))
     return lines.filter(is_header).select("raw"), lines.filter(~is_header).select("ord", "raw")
