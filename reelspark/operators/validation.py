@@ -11,6 +11,11 @@ from reelspark.functions.parsing import float_of, int_of
 from reelspark.functions.taxonomy import ScenarioSpec
 
 
+#: Kinds of reasons: of a record, and of a clip against its file.
+RECORD_REASONS = ("missing_field", "type_error", "invalid_window", "fps_too_low", "too_short", "too_long", "scenario_mismatch", "unknown_pov", "pov_out_of_scope", "unknown_env", "unknown_actions", "incomplete_actions")
+FILE_REASONS = ("probe_failed", "resolution_too_low", "real_fps_too_low", "real_duration_too_short", "not_a_video", "duration_mismatch", "fps_mismatch", "file_missing")
+
+
 def _reasons(*pairs: tuple[Column, Column | str]) -> Column:
     """Reasons of the conditions that hold, in this order."""
     return F.array_compact(F.array(*[F.when(condition, F.lit(reason) if isinstance(reason, str) else reason) for condition, reason in pairs]))

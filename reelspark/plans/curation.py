@@ -11,70 +11,69 @@ from pyspark.sql import functions as F
 
 from reelspark.functions.perceptual import FRAMES, hex_of
 from reelspark.functions.taxonomy import REGISTRY
-from reelspark.operators import manifest, media, near_duplicates, validation
+from reelspark.operators import files, manifest, media, near_duplicates, validation
 from reelspark.operators.lineage import checkpoint
-from reelspark.operators.report import YieldReport
+from reelspark.operators.report import Observed, YieldReport
 from reelspark.sources import snapshot
 
 
-def _counts(df: DataFrame) -> dict[str, int]:
-    return {r.reason: r.n for r in validation.histogram(df).collect()}
-
-
 def run(
     spark: SparkSession, folder: str, out: str, *, scenario: str = "warehouse_pick_and_place", relaxed: bool = False, dataset_id: str | None = None, client=None,
     download_folder: str | None = None, url_field: str = "source_url", threshold: float = 8.0, total_cost: float = 0.0, version: str | None = None, tool: media.Tool = media.run_tool, downloader: media.Downloader = media.DOWNLOADER,
+    video_folder: str | None = None, sharded: bool = False,
 ) -> YieldReport:
-    """Writes manifest.jsonl and report.json to out. Records, probes and signatures are each written once."""
-    spec, report = REGISTRY.get(scenario), YieldReport()
+    """Writes manifest.jsonl (sharded: the folder manifest, by the tasks) and report.json to out.
+
+    Records, validation, download and probe are one pass, which leaves its counts behind
+    as it is written; signatures are a second one. With video_folder, files are looked
+    for in a listing of that folder, which may be on any file system, and not one by one.
+    """
+    spec, report, seen = REGISTRY.get(scenario), YieldReport(), Observed()
     clock = time.time()
 
     def timed(stage: str) -> None:
         nonlocal clock
         report.timings[f"{stage}_s"], clock = round(time.time() - clock, 2), time.time()
 
-    raw = checkpoint(snapshot.fetch(spark, folder, payload=[spec.to_filter_params()], dataset_id=dataset_id, client=client))
-    report.fetched = raw.count()
+    raw = snapshot.fetch(spark, folder, payload=[spec.to_filter_params()], dataset_id=dataset_id, client=client)
     timed("fetch")
-
-    judged = checkpoint(validation.checked(raw, spec, relaxed=relaxed))
-    report.add_reasons(_counts(judged))
+    judged = seen.watch(validation.checked(raw, spec, relaxed=relaxed), {"fetched": F.lit(True), "schema_valid": F.col("ok")}, reasons="reasons", kinds=validation.RECORD_REASONS)
     clips = judged.filter("ok").select("ord", "record")
-    report.schema_valid = clips.count()
-    timed("schema")
-
-    if client is not None and download_folder and report.schema_valid:
+    named = ("clip_id", "video_uri", "source_url", "start_ms", "end_ms")
+    flat = lambda df: df.select("*", *[F.col(f"record.{c}").alias(c) for c in dict.fromkeys((*named, url_field))])
+    if client is not None and download_folder:
         media.check_downloader(tool, downloader)
-        done = checkpoint(media.downloaded(clips.select("ord", "record.*").drop("provenance"), download_folder, url_field=url_field, tool=tool, downloader=downloader))
-        report.add_reasons({r.download_error: r["count"] for r in done.filter("download_error is not null").groupBy("download_error").count().collect()})
-        clips = clips.join(done.filter("download_error is null").select("ord", F.col("video_uri").alias("_uri")), "ord").select("ord", F.col("record").withField("video_uri", F.col("_uri")).alias("record"))
-        timed("download")
-
-    probes = checkpoint(media.probed(clips.select("ord", "record.video_uri"), tool))
-    probe = F.struct(*[c for c in probes.columns if c not in ("ord", "present")])
-    met = clips.join(probes, "ord").withColumn("_p", probe)
+        done = media.downloaded(flat(clips), download_folder, url_field=url_field, tool=tool, downloader=downloader)
+        done = seen.watch(done, reasons="download_error", kinds=("no_download_url", "download_failed"))
+        clips = done.filter("download_error is null").select("ord", F.col("record").withField("video_uri", F.col("video_uri")).alias("record"))
+    rows = clips.select("ord", "record", F.col("record.video_uri").alias("video_uri"))
+    if video_folder:
+        rows = files.with_presence(checkpoint(rows), files.listing(spark, video_folder), folder=video_folder).drop("file_size")
+    probe = F.struct(*[f.split()[0] for f in media.PROBE_SCHEMA.split(", ")])
+    met = media.probed(rows, tool).withColumn("_p", probe)
     start, end = F.col("record.start_ms"), F.col("record.end_ms")
     problems = F.when(F.col("present"), validation.probe_problems(end - start, F.col("record.fps"), F.col("_p"), spec)).otherwise(F.array(F.lit("file_missing")))
-    met = checkpoint(met.select("ord", validation.enriched(F.col("record"), F.col("_p")).alias("record"), "present", problems.alias("reasons")))
-    report.add_reasons(_counts(met))
-    report.file_present = met.filter("present").count()
-    good = met.filter(F.size("reasons") == 0).select("ord", "record")
-    report.probe_valid = good.count()
+    met = met.select("ord", validation.enriched(F.col("record"), F.col("_p")).alias("record"), "present", problems.alias("reasons"))
+    met = seen.watch(met, {"file_present": F.col("present"), "probe_valid": F.size("reasons") == 0}, reasons="reasons", kinds=validation.FILE_REASONS)
+    good = checkpoint(met.filter(F.size("reasons") == 0).select("ord", "record"))
+    counts = seen.counts()
+    report.fetched, report.schema_valid, report.file_present, report.probe_valid = (counts[k] for k in ("fetched", "schema_valid", "file_present", "probe_valid"))
+    report.add_reasons(seen.reasons())
     timed("probe")
 
-    kept = good
+    size = (F.coalesce(F.col("record.width"), F.lit(0)) * F.coalesce(F.col("record.height"), F.lit(0))).alias("quality")
+    sigs = checkpoint(media.signed(good.select("ord", "record", size, F.col("record.video_uri").alias("video_uri"), F.col("record.duration_ms").alias("duration_ms")), FRAMES, tool).select("ord", "record", "quality", "sig"))
+    groups = near_duplicates.clusters(sigs.select("ord", "sig"), threshold, FRAMES).join(sigs.select("ord", "quality"), "ord")
+    won = near_duplicates.winners(groups).filter("keep").select("ord")
+    kept = sigs.join(won, "ord").select("ord", F.col("record").withField("phash", hex_of(F.col("sig")[0])).alias("record"))
+
+    Path(out).mkdir(parents=True, exist_ok=True)
+    write, target = (manifest.write_shards, f"{out}/manifest") if sharded else (manifest.write_manifest, f"{out}/manifest.jsonl")
+    head = write(kept, target, dataset_name=f"{scenario}_web", version=version or time.strftime("v%Y%m%d"))
+    report.unique = report.training_ready = head["n_samples"]  # the tasks that write have counted
     if report.probe_valid:
-        sigs = checkpoint(media.signed(good.select("ord", "record.video_uri", "record.duration_ms"), FRAMES, tool))
-        size = (F.coalesce(F.col("record.width"), F.lit(0)) * F.coalesce(F.col("record.height"), F.lit(0))).alias("quality")
-        groups = near_duplicates.clusters(sigs, threshold, FRAMES).join(good.select("ord", size), "ord")
-        won = near_duplicates.winners(groups).filter("keep").select("ord")
-        kept = checkpoint(good.join(won, "ord").join(sigs, "ord").select("ord", F.col("record").withField("phash", hex_of(F.col("sig")[0])).alias("record")))
-        report.unique = report.training_ready = kept.count()
         report.reject_reasons["near_duplicate"] = report.probe_valid - report.unique
     timed("dedup")
-
-    Path(out).mkdir(parents=True, exist_ok=True)
-    head = manifest.write_manifest(kept, f"{out}/manifest.jsonl", dataset_name=f"{scenario}_web", version=version or time.strftime("v%Y%m%d"))
     told = report.as_dict(head) | ({"cost_per_usable_clip": report.cost_per_usable_clip(total_cost)} if total_cost else {})
     Path(f"{out}/report.json").write_text(json.dumps(told, ensure_ascii=False, indent=2), encoding="utf-8")
     return report

@@ -27,7 +27,7 @@ def platform_records(spark: SparkSession, folder: str | None, platform: str, spe
     queries = spec.to_search_queries()
     if client is None:
         return records.discover_offline(spark, folder, queries, dataset_id, per_query)
-    return snapshot.discover(spark, dataset_id, queries, limit_per_input=per_query, client=client)
+    return snapshot.discover(spark, dataset_id, queries, limit_per_input=per_query, client=client).select("ord", "raw")
 
 
 def deduplicated(candidates: DataFrame, max_clips: int) -> DataFrame:

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from reelspark.functions import fixed_values as V
 from reelspark.functions import parsing, perceptual, relevance
 from reelspark.functions.taxonomy import KITCHEN, WAREHOUSE
-from reelspark.operators import labelling, manifest, near_duplicates, report, validation
+from reelspark.operators import files, labelling, manifest, near_duplicates, report, validation
 from reelspark.operators.lineage import checkpoint, discard, folder
 from reelspark.plans import discovery
-from reelspark.sources import fixtures, records, shards
+from reelspark.sources import fixtures, records, shards, snapshot
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -457,7 +457,7 @@ WITH grey AS (
 ), middle AS (
   SELECT vec_id, median(s) AS m FROM low WHERE u + v > 0 GROUP BY vec_id
 )
-SELECT vec_id, lower(lpad(to_hex(sum(CASE WHEN s > m THEN (1::HUGEINT << (63 - 8 * u - v)::INT) ELSE 0 END)::UBIGINT), 16, '0')) AS phash, true AS padded FROM low JOIN middle USING (vec_id) GROUP BY vec_id
+SELECT vec_id, lower(lpad(to_hex(sum(CASE WHEN s > m THEN (1::HUGEINT << (63 - 8 * u - v)::INT) ELSE 0 END)::UBIGINT), 16, '0')) AS phash, lower(lpad(to_hex(sum(CASE WHEN s > m THEN (1::HUGEINT << (63 - 8 * u - v)::INT) ELSE 0 END)::UBIGINT), 16, '0')) AS last_of_five, 5::INT AS n_hashes, 5::INT AS n_of_none FROM low JOIN middle USING (vec_id) GROUP BY vec_id
 """
 
 
@@ -466,8 +466,10 @@ def phash_frames(spark, sf_dir):
     """Frames made of sixteen copies of an embedding's 64 values on a pattern without a period, so that no frequency is absent."""
     grey = F.transform(F.flatten(F.array_repeat("embedding", 16)), lambda x, i: F.pmod((x * 100 + F.floor(i * i / 37)).cast("int"), F.lit(256)))
     frame = F.unhex(F.array_join(F.transform(grey, lambda v: F.lpad(F.hex(v), 2, "0")), ""))
-    signed = _table(spark, sf_dir, "embeddings").select("vec_id", perceptual.signatures(F.array(frame)).alias("sig"))
-    return signed.select("vec_id", perceptual.hex_of(F.col("sig")[0]).alias("phash"), (perceptual.distance(F.col("sig"), F.col("sig")) == 0).alias("padded"))
+    no_frame = F.expr("cast(array() as array<binary>)")
+    signed = _table(spark, sf_dir, "embeddings").select("vec_id", perceptual.signatures(F.array(frame)).alias("sig"), perceptual.signatures(no_frame).alias("none"))
+    zeros = F.size(F.filter("none", lambda x: x == 0))
+    return signed.select("vec_id", perceptual.hex_of(F.col("sig")[0]).alias("phash"), perceptual.hex_of(F.element_at("sig", -1)).alias("last_of_five"), F.size("sig").alias("n_hashes"), zeros.alias("n_of_none"))
 
 
 # Reports and manifests
@@ -495,6 +497,56 @@ def dataset_view(spark, sf_dir):
     return manifest.samples(read, lambda df: df.withColumn("actions", F.array_join("actions", ",")))
 
 
+_SQL_REASON = "CASE WHEN event_type = 'error' THEN 'type_error' WHEN value <= 3 THEN 'too_short' WHEN value > 300 THEN 'too_long' END"
+
+
+@query(f"SELECT 'fetched' AS what, count(*) AS n FROM events UNION ALL SELECT 'valid', count(*) FROM events WHERE ({_SQL_REASON}) IS NULL UNION ALL SELECT 'ready', count(*) FROM events WHERE ({_SQL_REASON}) IS NULL AND value > 30 UNION ALL SELECT {_SQL_REASON}, count(*) FROM events WHERE ({_SQL_REASON}) IS NOT NULL GROUP BY 1 UNION ALL SELECT 'written', count(*) FROM events WHERE ({_SQL_REASON}) IS NULL AND value > 30")
+def observed_funnel(spark, sf_dir):
+    """A funnel's counts and reasons out of the one write of the rows that pass it."""
+    seen = report.Observed()
+    value = F.col("value")
+    reason = F.when(F.col("event_type") == "error", "type_error:event").when(value <= 3, F.concat(F.lit("too_short:"), value.cast("string"))).when(value > 300, "too_long")
+    judged = seen.watch(_table(spark, sf_dir, "events").withColumn("reason", reason), {"fetched": F.lit(True), "valid": F.col("reason").isNull()}, reasons="reason", kinds=validation.RECORD_REASONS)
+    ready = seen.watch(judged.filter("reason is null"), {"ready": value > 30}).filter("value > 30")
+    written = checkpoint(ready).count()
+    return spark.createDataFrame([*(seen.counts() | seen.reasons()).items(), ("written", written)], "what string, n long")  # a row for each counter
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 7 <> 0 AND page_id % 5 <> 0 AND strlen(html) > 0 THEN strlen(html) END::BIGINT AS file_size,
+       page_id % 7 <> 0 AND page_id % 5 <> 0 AND strlen(html) > 0 AS present FROM pages""")
+def files_present(spark, sf_dir):
+    """Files of pages, some absent and some empty, found in a listing."""
+    where = f"{folder(spark)}/pages-{uuid.uuid4().hex}"
+    pages = _table(spark, sf_dir, "pages")
+
+    def put(batches):
+        import pyarrow as pa
+
+        store, root = shards.opened(where)
+        store.create_dir(root)
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with store.open_output_stream(f"{root}/{name}.html") as f:
+                    f.write(text.encode())
+            yield pa.record_batch([batch.column(0)], ["page_id"])
+
+    kept = pages.filter("page_id % 7 <> 0").select("page_id", F.when(F.col("page_id") % 5 == 0, "").otherwise(F.coalesce("html", F.lit(""))).alias("html"))
+    kept.mapInArrow(put, "page_id long").count()
+    named = pages.select("page_id", F.when(F.col("page_id") % 2 == 0, F.concat(F.lit(where + "//./"), "page_id", F.lit(".html"))).otherwise(F.concat("page_id", F.lit(".html"))).alias("uri"))
+    return _kept_until_read(spark, where, files.with_presence(named, files.listing(spark, where), uri="uri", folder=where).select("page_id", "file_size", "present"))
+
+
+@query("SELECT event_id, event_type AS scenario_type, trunc(value * 1000)::BIGINT AS duration_ms, 'u' || (user_id % 8) AS env_context FROM events WHERE event_type = 'click' AND trunc(value * 1000) >= 30000 AND trunc(value * 1000) < 300000 AND user_id % 8 IN (1, 2, 5)")
+def pushed_snapshot(spark, sf_dir):
+    """Events as a snapshot's records in pages, of which a query's filters reach the service's request."""
+    where = f"{folder(spark)}/snapshot-{uuid.uuid4().hex}"
+    record = F.struct("event_id", F.col("event_type").alias("scenario_type"), F.concat(F.lit("u"), F.col("user_id") % 8).alias("env_context"), F.lit(0).alias("start_ms"), (F.col("value") * 1000).cast("long").alias("end_ms"))
+    _table(spark, sf_dir, "events").repartition(4, "event_id").select(F.to_json(record).alias("value")).write.text(where)
+    found = snapshot.collect(spark, "events", [{}], client=snapshot.FolderClient(where), page_size=1000)
+    wanted = found.filter((F.col("scenario_type") == "click") & (F.col("duration_ms") >= 30_000) & (F.col("duration_ms") < 300_000) & F.col("env_context").isin("u1", "u2", "u5"))
+    return _kept_until_read(spark, where, wanted.select(F.get_json_object("raw", "$.event_id").cast("long").alias("event_id"), "scenario_type", "duration_ms", "env_context"))
+
+
 _SQL_FLOW = "SELECT count(*) AS fetched, count(*) FILTER (event_type <> 'error') AS schema_valid, count(*) FILTER (event_type <> 'error' AND value > 3) AS probe_valid, count(*) FILTER (event_type <> 'error' AND value > 30) AS training_ready FROM events"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reelspark.functions import fixed_values as V
 from reelspark.functions import parsing, perceptual, relevance
-from reelspark.functions.taxonomy import KITCHEN, REGISTRY, WAREHOUSE, ScenarioSpec, TaxonomyRegistry
+from reelspark.functions.taxonomy import KITCHEN, REGISTRY, WAREHOUSE, Scenarios, ScenarioSpec
 
 
 def each(spark, values, f):
@@ -21,7 +21,7 @@ def test_taxonomy():
     with pytest.raises(KeyError):
         REGISTRY.get("none")
     with pytest.raises(ValueError):
-        TaxonomyRegistry("1", {"kitchen_manipulation_wipe": WAREHOUSE}).register(KITCHEN)
+        Scenarios(KITCHEN, WAREHOUSE).register(KITCHEN)  # the same spec again, too
     for bad in ({"task_family": "x"}, {"actions": ("fly",)}, {"camera_povs": ("x",)}, {"environments": ("moon",)}, {"min_duration_ms": 60_000}):
         with pytest.raises(ValueError):
             ScenarioSpec(**(dict(scenario_type="s", task_family="driving", environments=("highway",), actions=("turn",), camera_povs=("overhead",)) | bad))
