@@ -1,13 +1,16 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of several consecutive sentences is hashed: each run of RUN sentences, however
-few words they have, and so each longer one by the runs in it; and of sentences with
-more words, the shortest runs of two or more that begin and that end with each. Long
-sentences are cut into pieces where the words themselves say (minima of their hashes in
-windows), which cuts a passage alike wherever it stands, so that spans also cover
-passages without whole sentences; an ordinary sentence alone is no span. Spans of the
-same words meet in one join over the corpus; the first of them, by document id and
-place, stays, and sentences that any other span covers are removed.
+Every run of RUN consecutive sentences is hashed, whatever its sentences and however few
+words they have, and so each longer run by the runs in it. Spans of the same words meet
+in one shuffle over the corpus; the first of them, by document id and place, stays, and
+sentences that any other span covers are removed.
+
+So that no passage of PASSAGE words stays twice, however few sentences it is made of,
+there are two further kinds of spans, both only where the runs don't reach: a sentence of
+PASSAGE words or more is a span by itself; and of PASSAGE words in a row with less than
+RUN whole sentences within, one run of GRAM words is (that of the least hash, so that
+equal passages choose alike), of which just the words go. A sentence of less than GRAM
+words that stands alone in two texts stays in both.
 """
 
 from __future__ import annotations
@@ -17,20 +20,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelspark.llm.common import once, slices, text_of
 from reelspark.llm.hashing import Spans, mixed
 
-#: Sentences that are several, whatever their words, unless all are the same: one said over and over is a span by its words.
+#: Sentences that are several.
 RUN = 3
-#: Runs of fewer sentences are spans from this many words on, and pieces of one sentence from this many.
-MIN_WORDS, LONE_WORDS = 12, 20
-#: Sentences of more words are cut. Each WINDOW words have a cut, and copies share all cuts but those
-#: in their first and last WINDOW - 1 words. So of each end of a passage, 14 words at most lie in a piece
-#: that reaches beyond it: max(2 * (WINDOW - 1), WHOLE_WORDS - 1). Of over 50 words, LONE_WORDS stay and more.
-WHOLE_WORDS, WINDOW = 15, 8
+#: Words that don't stay twice in a row, and those of them that are compared where sentences are long: the fewer, the fewer rows.
+PASSAGE, GRAM = 51, 48
 #: Text in which repeats are found before anything is shuffled; of a span, each such part sends one place.
 PART_BYTES = 8 << 20
 #: Text that is hashed at a time.
@@ -51,12 +50,12 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Layout:
-    """Sentences, words and pieces of several texts, as places in their code points.
+    """Sentences and words of several texts, as places in their code points.
 
     A sentence ends behind marks with white space, behind a line's end and behind a
     fullwidth mark, and takes the white space behind it. Each code point of a script
-    without spaces is a word. starts, owner, sentence: of each piece, where it starts,
-    its text and its sentence; sentences and pieces of a text, joined, are the text.
+    without spaces is a word. words, owner, sentence: of each word, where it starts, its
+    text and its sentence; bounds: where sentences start; first_word: of each text.
     """
 
     def __init__(self, texts: list[str]):
@@ -76,8 +75,8 @@ class Layout:
         lines = np.concatenate([[0], np.cumsum(points == 10)])
         ended = (lines[after_run] > lines[np.maximum(last + 1, first)]) | (last >= first) & mark[last]
         joined = np.flatnonzero(~blank[1:] & ~mark[1:] & full[:-1]) + 1
-        bounds = np.unique(np.concatenate([self.firsts[lengths > 0], after_run[ended], joined]))
-        self.n_sentences = np.bincount(text_of_[bounds], minlength=len(texts)) if n else np.zeros(len(texts), np.int64)
+        self.bounds = np.unique(np.concatenate([self.firsts[lengths > 0], after_run[ended], joined]))
+        self.n_sentences = np.bincount(text_of_[self.bounds], minlength=len(texts)) if n else np.zeros(len(texts), np.int64)
 
         own = alone[points]
         self.words = np.flatnonzero(~blank & (before | own | np.concatenate([[True], own[:-1]])[:n]))
@@ -85,67 +84,62 @@ class Layout:
         stops = said[ends - 1] + 1  # without the blanks behind
         spelt = Spans(lower[points] + np.uint64(1), "bytes")
         self.hashes = mixed(spelt.of(self.words, stops) + (stops - self.words).astype(np.uint64))
-        sentence = np.searchsorted(bounds, self.words, "right") - 1  # of each word
-        size = np.bincount(sentence, minlength=len(bounds))
-        cuts = self._cuts(sentence, size[sentence] > WHOLE_WORDS)
-        self.starts = np.unique(np.concatenate([bounds, self.words[cuts]]))
-        self.owner = text_of_[self.starts]
-        self.sentence = np.searchsorted(bounds, self.starts, "right") - 1
-        self.is_cut = size > WHOLE_WORDS  # of each sentence
-        self.first_piece = np.searchsorted(self.owner, np.arange(len(texts) + 1))
-
-    def _cuts(self, sentence: np.ndarray, long: np.ndarray) -> np.ndarray:
-        """Words at which a long sentence is cut: the first least hash of each window."""
-        low, at, done = self.hashes, np.arange(len(self.hashes)), 1
-        if len(low) < WINDOW:
-            return at[:0]
-        while done < WINDOW:
-            step = min(done, WINDOW - done)
-            left = low[:-step] <= low[step:]
-            low, at = np.where(left, low[:-step], low[step:]), np.where(left, at[:-step], at[step:])
-            done += step
-        within = (sentence[: len(at)] == sentence[WINDOW - 1 :]) & long[: len(at)]
-        return np.unique(at[within])
+        self.owner = text_of_[self.words]
+        self.sentence = np.searchsorted(self.bounds, self.words, "right") - 1
+        self.first_word = np.searchsorted(self.owner, np.arange(len(texts) + 1))
+
+    def _runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First word and word behind, of each run of RUN sentences and of each sentence of PASSAGE words."""
+        n = len(self.words)
+        begin = np.flatnonzero(np.diff(self.sentence, prepend=-1))  # sentences without words are passed over
+        end = np.append(begin[1:], n)[: len(begin)]
+        first = np.arange(max(0, len(begin) - RUN + 1))
+        first = first[self.owner[begin[first]] == self.owner[begin[first + RUN - 1]]]
+        long = np.flatnonzero(end - begin >= PASSAGE)
+        return begin[first], end[first + RUN - 1], begin[long], end[long]
+
+    def _grams(self, hashes: np.ndarray) -> np.ndarray:
+        """First words of the runs of GRAM words that passages with few sentences choose; hashes: of all such runs."""
+        at = np.arange(max(0, len(self.words) - PASSAGE + 1))
+        starts = np.concatenate([[0], np.cumsum(np.diff(self.sentence, prepend=-1) != 0)])
+        inner = starts[at + PASSAGE] - starts[at + 1]  # sentences that begin within, but for the first word
+        at = at[(self.owner[at] == self.owner[at + PASSAGE - 1]) & (inner <= RUN)]
+        if not len(at):
+            return at
+        tried = np.stack([hashes[at + i] for i in range(PASSAGE - GRAM + 1)])
+        return np.unique(at + tried.argmin(axis=0))
 
     def spans(self) -> tuple[np.ndarray, ...]:
-        """(text, hash, hash, first piece, pieces) of the spans; case and white space don't count."""
-        firsts = np.searchsorted(self.words, self.starts)  # of each piece, its first word
-        counts = np.diff(np.append(firsts, len(self.words)))
-        full = np.flatnonzero(counts)  # pieces with words; from here on, these are counted
-        begin, end = firsts[full], firsts[full] + counts[full]
-        owner, sentence = self.owner[full], self.sentence[full]
-        n, k = len(full), np.arange(len(full))
-        edge = np.searchsorted(owner, owner, "right")  # behind the text's last piece
-        # the shortest from each piece on: MIN_WORDS beyond its sentence, or LONE_WORDS
-        beyond = np.maximum(np.searchsorted(end, begin + MIN_WORDS), np.searchsorted(sentence, sentence, "right")) + 1
-        stop = np.minimum(beyond, np.searchsorted(end, begin + LONE_WORDS) + 1)
-        ahead = stop <= edge
-        # and up to each
-        beyond = np.minimum(np.searchsorted(begin, end - MIN_WORDS, "right"), np.searchsorted(sentence, sentence)) - 1
-        start = np.maximum(beyond, np.searchsorted(begin, end - LONE_WORDS, "right") - 1)
-        behind = start >= np.searchsorted(owner, owner)
-        # runs of whole sentences with fewer words, not all of them the same
+        """(text, hash, hash, first word, words) of the spans; case and white space don't count."""
         spelt = [Spans(self.hashes, "words"), Spans(mixed(self.hashes + np.uint64(1)), "bytes")]
-        last = k[: max(0, n - RUN + 1)]
-        few = (owner[last] == owner[last + RUN - 1]) & (end[last + RUN - 1] - begin[last] < MIN_WORDS)
-        same = np.ones(len(last), bool)
-        told = spelt[0].of(begin, end)
-        for i in range(RUN):
-            few &= ~self.is_cut[sentence[last + i]]
-            same &= told[last + i] == told[last]
-        last = last[few & ~same]
-        pairs = np.unique(np.concatenate([np.stack([k[ahead], stop[ahead]]), np.stack([start[behind], k[behind] + 1]), np.stack([last, last + RUN])], axis=1), axis=1)
-        start, stop = pairs
-        a, b = begin[start], end[stop - 1]
-        first = full[start]
-        high = (mixed(spelt[1].of(a, b)) >> np.uint64(32)).astype(np.uint32)
-        return owner[start], high.view(np.int32).astype(np.int64), mixed(spelt[0].of(a, b)).view(np.int64), first - self.first_piece[owner[start]], full[stop - 1] - first + 1
+        run, run_end, long, long_end = self._runs()
+        gram = self._grams(mixed(spelt[0].every(GRAM)))
+        a, b = np.concatenate([run, long, gram]), np.concatenate([run_end, long_end, gram + GRAM])
+        a, b = np.unique(np.stack([a, b]), axis=1)
+        one, two = (mixed(x.of(a, b) + (b - a).astype(np.uint64)).view(np.int64) for x in spelt)
+        owner = self.owner[a]
+        return owner, two, one, a - self.first_word[owner], b - a
+
+    def without(self, i: int, text: str, dropped: list[tuple[int, int]]) -> tuple[str, int]:
+        """Text i without runs (first word, words) of its words, each with the white space behind, and how many sentences lose any."""
+        a, b = self.first_word[i], self.first_word[i + 1]
+        drop = np.zeros(b - a, bool)
+        for first, n in dropped:
+            drop[first : first + n] = True
+        at = (self.words[a:b] - self.firsts[i]).tolist()
+        at[:1] = [0] * len(at[:1])
+        turns = np.flatnonzero(np.diff(drop.view(np.int8), prepend=np.int8(0), append=np.int8(0))).reshape(-1, 2).tolist()
+        at.append(len(text))
+        kept, done = [], 0
+        for x, y in turns:
+            kept.append(text[done : at[x]])
+            done = at[y]
+        return "".join([*kept, text[done:]]), len(np.unique(self.sentence[a:b][drop]))
 
 
 def sentences(text: str) -> list[str]:
     """Sentences with the white space behind them; joined, they are the text."""
-    found = Layout([text])
-    at = found.starts[np.flatnonzero(np.diff(found.sentence, prepend=-1))].tolist()
+    at = Layout([text]).bounds.tolist()
     return [text[a:b] for a, b in zip(at, [*at[1:], len(text)])]
 
 
@@ -171,10 +165,39 @@ def _merged(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nd
     return row[new], start[new], reach[last] - shift[last]
 
 
+def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_id, _key, _at) of all places but the first of each span, out of (_id, _key, _low, _high, _at, _known) sorted by span, then by place.
+
+    A span's rows stream by, however many they are; its first place is the row that comes
+    first, if it isn't known to be a later one.
+    """
+    lead = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        low, high, at, key = (batch.column(i).to_numpy() for i in (2, 3, 4, 1))
+        ids, known = batch.column(0), batch.column(5).to_numpy(zero_copy_only=False)
+        name = np.array([(x is not None, x if x is not None else 0) for x in ids.to_pylist()], object)
+        new = (np.diff(low, prepend=low[0]) != 0) | (np.diff(high, prepend=high[0]) != 0)
+        new[0] = lead is None or (low[0], high[0]) != lead[:2]
+        group = np.cumsum(new) - 1  # -1: the span that the last batch ended with
+        first = np.flatnonzero(new)
+        told = [lead[2:]] if group[0] < 0 else []
+        told += [(tuple(name[i]), at[i], key[i], known[i]) for i in first.tolist()]
+        group = group + (group[0] < 0)
+        lead_at, lead_key = np.array([x[1] for x in told])[group], np.array([x[2] for x in told])[group]
+        lead_known = np.array([x[3] for x in told])[group]
+        same_id = np.fromiter((tuple(x) == told[g][0] for x, g in zip(name, group.tolist())), bool, len(group))
+        out = np.flatnonzero(known | lead_known | (at != lead_at) | (key != lead_key) | ~same_id)
+        lead = (low[-1], high[-1], *told[group[-1]])
+        if len(out):
+            yield pa.record_batch([ids.take(pa.array(out)), pa.array(key[out]), pa.array(at[out])], ["_id", "_key", "_at"])
+
+
 def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, text, n_sentences, n_removed) of every row of df, without the sentences of non-first repeated spans.
 
-    Of long sentences, only the pieces in such spans go; n_removed counts the sentences that lose anything.
+    Of spans that are runs of words, only the words go; n_removed counts the sentences that lose anything.
     First is the span in the smallest id, then at the smallest place; a null id comes
     before all. Repeats within a document count. Rows of the same id and text are one
     document: each of them gives what one of them would. A null text has no sentences
@@ -188,7 +211,7 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     kind = df.schema[id_col].dataType.simpleString()
     source = df.select(df[id_col].alias("_id"), df[text_col].cast("string").alias("_text"))
     # of a text, enough to tell rows of one id apart
-    keyed = source.withColumn("_key", F.xxhash64(text_of("_text")).bitwiseAND(0x7FFFFFFF).cast("int"))
+    keyed = source.withColumn("_key", F.xxhash64(text_of("_text")))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, 2, PART_BYTES):
@@ -202,24 +225,20 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                 yield places(rows, row, high, low, first, n)
 
     def places(rows: pa.RecordBatch, row: np.ndarray, high: np.ndarray, low: np.ndarray, first: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        """(_id, _low, _more, _at) of a part; _more: half of a digest, and the key; _at: first and number of pieces, negative for what is known to be later."""
+        """(_id, _key, _low, _high, _at) of a part; _at: first word and number of words, negative for what is known to be later."""
         names, key = rows.column(0).to_pylist(), rows.column(1).to_numpy()
         rank = {x: i for i, x in enumerate(sorted(set(names), key=lambda x: (x is not None, x)))}
         kept, later = _sent(row, np.array([rank[x] for x in names]), key, high, low, first)
         kept = np.sort(kept)  # by document, so that neighbours are alike
         owner, a, b = _merged(row[later], first[later], first[later] + n[later])
-        anywhere = mixed(mixed((owner << 32 | a).astype(np.uint64)) + key[owner].astype(np.uint64)).view(np.int64)
+        anywhere = mixed(mixed((owner << 32 | a).astype(np.uint64)) + key[owner].view(np.uint64)).view(np.int64)
         own = np.concatenate([row[kept], owner])
-        more = np.concatenate([high[kept], anywhere >> 32]) << 32 | key[own]
         at = np.concatenate([first[kept] << 32 | n[kept], -(a << 32 | b - a)])
-        return pa.record_batch([rows.column(0).take(pa.array(own)), pa.array(np.concatenate([low[kept], anywhere])), pa.array(more), pa.array(at)], ["_id", "_low", "_more", "_at"])
-
-    found = keyed.select("_id", "_key", text_of("_text").alias("_text")).mapInArrow(hashed, f"_id {kind}, _low long, _more long, _at long")
-    # hashed by half of a digest, so that the other half travels in one number with the key
-    found = found.repartition("_low").withColumns({"_high": F.shiftright("_more", 32), "_key": F.col("_more").bitwiseAND(0x7FFFFFFF).cast("int")})
-    place = F.struct("_id", "_at", "_key")
-    least = F.min(F.when(F.col("_at") >= 0, place)).over(Window.partitionBy("_low", "_high"))
-    later = found.withColumn("_least", least).filter((F.col("_at") < 0) | (place != F.col("_least"))).withColumn("_at", F.abs("_at"))
+        return pa.record_batch([rows.column(0).take(pa.array(own)), pa.array(key[own]), pa.array(np.concatenate([low[kept], anywhere])), pa.array(np.concatenate([high[kept], anywhere])), pa.array(at)], ["_id", "_key", "_low", "_high", "_at"])
+
+    found = keyed.select("_id", "_key", text_of("_text").alias("_text")).mapInArrow(hashed, f"_id {kind}, _key long, _low long, _high long, _at long")
+    dealt = found.repartition("_low").select("_id", "_key", "_low", "_high", F.abs("_at").alias("_at"), (F.col("_at") < 0).alias("_known"))
+    later = dealt.sortWithinPartitions("_low", "_high", "_known", "_id", "_at", "_key").mapInArrow(_later, f"_id {kind}, _key long, _at long")
     span = F.struct(F.shiftright("_at", 32).cast("int").alias("first"), F.col("_at").bitwiseAND(0x7FFFFFFF).cast("int").alias("n"))
     by_doc = later.groupBy("_id", "_key").agg(F.collect_set(span).alias("_spans"))
     joined = keyed.alias("d").join(by_doc.alias("s"), F.col("d._id").eqNullSafe(F.col("s._id")) & (F.col("d._key") == F.col("s._key")), "left")
@@ -231,13 +250,7 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             gone = [0] * len(texts)
             for i, held in enumerate(rows.column(2).to_pylist()):
                 if held:
-                    a, b = layout.first_piece[i], layout.first_piece[i + 1]
-                    drop = np.zeros(b - a, bool)
-                    for x in held:
-                        drop[x["first"] : x["first"] + x["n"]] = True
-                    at = (layout.starts[a:b] - layout.firsts[i]).tolist()
-                    gone[i] = len(np.unique(layout.sentence[a:b][drop]))
-                    texts[i] = "".join(texts[i][x:y] for x, y, out in zip(at, [*at[1:], len(texts[i])], drop.tolist()) if not out)
+                    texts[i], gone[i] = layout.without(i, texts[i], [(x["first"], x["n"]) for x in held])
             yield pa.record_batch([rows.column(0), pa.array(texts, pa.string()), pa.array(layout.n_sentences), pa.array(gone, pa.int64())], [id_col, "text", "n_sentences", "n_removed"])
 
     return joined.select("d._id", "d._text", "s._spans").mapInArrow(cut, f"`{id_col}` {kind}, text string, n_sentences long, n_removed long")

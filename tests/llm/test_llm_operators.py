@@ -341,7 +341,7 @@ def test_sentence_dedup(spark):
     for i, text, n in out:
         found.setdefault(i, []).append((text, n))
     assert found[2] == [("Before. " + passage, 0)] * 2 and found[5] == [("Start here. End of five.", 3)] and found[10] == [("x", 3)]
-    assert found[11] == [("Short. Short. Short. Short.", 0)] and found[14] == [(None, 0)] and found[15] == [("", 0)]
+    assert found[11] == [("Short. ", 3)] and found[14] == [(None, 0)] and found[15] == [("", 0)]
     assert found[12][0][1] == 0 or "And" in found[12][0][0]
     assert sentence_dedup.remove_repeats(docs(spark, rows).limit(0)).count() == 0
 
@@ -670,36 +670,62 @@ def brute_runs(rows, run):
         said = [tuple(x.lower().split()) for x in sentence_dedup.sentences(text)]
         drop = set()
         for a in range(len(said) - run + 1):
-            key = tuple(said[a : a + run])
-            if len(set(key)) > 1:
-                if key in seen:
-                    drop |= set(range(a, a + run))
-                seen.add(key)
+            key = sum(said[a : a + run], ())
+            if key in seen:
+                drop |= set(range(a, a + run))
+            seen.add(key)
         gone[i] = "".join(x for k, x in enumerate(sentence_dedup.sentences(text)) if k not in drop)
     return gone
 
 
-def test_every_run_of_sentences(spark):
-    """However few words they have; against all runs, one by one."""
+@pytest.mark.parametrize("most", (2, 9))
+def test_every_run_of_sentences(spark, most):
+    """However many words they have and though they are the same; against all runs, one by one."""
     rng = random.Random(12)
-    said = [f"{a} {b}. " for a in "abcd" for b in "efg"] + ["Yes! ", "No.\n"]
-    rows = [(i, "".join(rng.choices(said, k=rng.randint(0, 7)))) for i in range(150)]
+    said = [" ".join(rng.choices("abcd", k=rng.randint(1, most))) + rng.choice((". ", "! ", ".\n")) for _ in range(12)] + ["Yes! ", "No.\n"]
+    rows = [(i, "".join(rng.choices(said, k=rng.randint(0, 7)))) for i in range(150)] + [(200, "Buy now. " * 4), (201, "Buy now. " * 4), (202, "Buy now. " * 3)]
     out = {r.doc_id: r.text for r in sentence_dedup.remove_repeats(docs(spark, rows)).collect()}
     assert out == brute_runs(rows, sentence_dedup.RUN) and out != dict(rows)
+    assert [out[i] for i in (200, 201, 202)] == ["Buy now. ", "", ""]
 
 
-def test_one_sentence_alone_is_no_span(spark):
-    lone = "This one sentence here has exactly sixteen words and it stands in two texts as said."
-    out = sentence_dedup.remove_repeats(docs(spark, [(1, f"First before. {lone} Other."), (2, f"Second one. {lone} Last words here.")])).collect()
-    assert len(lone.split()) == 16 and not any(r.n_removed for r in out)
+def test_sentences_without_company_stay(spark):
+    """One sentence or two, of up to 47 words in all, that two texts share."""
+    rows, n = [], 0
+    for words in (5, 16, 22, 30, 47):
+        for parts in (1, 2):
+            shared = "".join(" ".join(f"s{words}x{i}p{p}" for i in range(words // parts)) + ". " for p in range(parts))
+            rows += [(n, f"First before {n}. {shared}Other {n} here."), (n + 1, f"Second one {n}. {shared}Last words {n}.")]
+            n += 2
+    assert not any(r.n_removed for r in sentence_dedup.remove_repeats(docs(spark, rows)).collect())
+    whole = " ".join(f"long{i}" for i in range(51)) + ". "
+    out = {r.doc_id: r.text for r in sentence_dedup.remove_repeats(docs(spark, [(1, f"One. {whole}Two."), (2, f"Three. {whole}Four.")])).collect()}
+    assert out == {1: f"One. {whole}Two.", 2: "Three. Four."}
+
+
+def test_repeats_of_rows_without_ids(spark):
+    """Many rows without an id are told apart by their texts, and copies of one row are one document."""
+    rows = [(None, f"Text {i} a. Text {i} b. Text {i} c. Common one. Common two. Common three.") for i in range(300)] + [(None, "Twice here. And there. And so on.")] * 3
+    out = [r.text for r in sentence_dedup.remove_repeats(docs(spark, rows)).collect()]
+    assert sum("Common" in x for x in out) == 1 and sum(x == "Twice here. And there. And so on." for x in out) == 3
+    assert sorted(x.split(" Common")[0].strip() for x in out if x.startswith("Text")) == sorted(f"Text {i} a. Text {i} b. Text {i} c." for i in range(300))
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(8)
+    body = "".join(f"word{rng.randrange(10**6)} is {i}. " for i in range(9000))
+    assert len(body) > 150_000
+    out = {r.doc_id: r.text for r in sentence_dedup.remove_repeats(docs(spark, [(1, body), (2, "Begin. " + body + "End.")])).collect()}
+    assert out == {1: body, 2: "Begin. End."}
 
 
 def test_layout_places():
     for text in ("", "a", "\n\nx. y  z!\n  b", "  lead. 五！六 seven.eight 九。", " ".join(f"w{i}" for i in range(60))):
         layout = sentence_dedup.Layout([text, "", text])
-        cut = [text[a:b] for a, b in zip(layout.starts[layout.owner == 0], [*layout.starts[layout.owner == 0][1:], len(text)])]
-        assert "".join(cut) == text and layout.n_sentences.tolist() == [len(sentence_dedup.sentences(text)), 0, len(sentence_dedup.sentences(text))]
-        assert np.array_equal(np.diff(layout.starts[layout.owner == 0]), np.diff(layout.starts[layout.owner == 2]))
+        assert layout.n_sentences.tolist() == [len(sentence_dedup.sentences(text)), 0, len(sentence_dedup.sentences(text))]
+        n = int(layout.first_word[1])
+        assert layout.without(0, text, []) == (text, 0) and (not n or layout.without(2, text, [(0, n)])[0] == "")
+        assert [layout.without(0, text, [(i, 1)])[0] for i in range(n)] == [layout.without(2, text, [(i, 1)])[0] for i in range(n)]
 
 
 def test_chunks_are_dropped(spark):
