@@ -175,10 +175,13 @@ def _levels(turns: DataFrame, convs: DataFrame) -> list[DataFrame]:
     while True:
         depth = len(levels) + 1
         here = turns.filter(F.col("depth") == depth).drop("depth").join(live, "conv")
-        groups = here.groupBy("parent", "key").agg(F.min("conv").alias("node"), F.count("*").alias("n"), (F.min("whole") == F.max("whole")).alias("closed"))
-        found = checkpoint(here.join(groups, ["parent", "key"]).select("conv", "parent", "node", "n", "closed", "bytes", "after", "length", "whole"))
+        same = (F.min("one") == F.max("one")) & (F.min("two") == F.max("two"))
+        groups = here.groupBy("parent", "key").agg(F.min("conv").alias("node"), F.count("*").alias("n"), same.alias("closed"))
+        # with a key that the sums aren't dealt by, either side has an exchange of its own, whose large partitions the engine can split
+        apart = F.xxhash64("parent", "key")
+        found = checkpoint(here.withColumn("apart", apart).join(groups.withColumn("apart", apart), ["parent", "key", "apart"]).select("conv", "parent", "node", "n", "closed", "bytes", "after", "length", "one", "two"))
         levels.append(found)
-        live = found.filter(~F.col("closed") & (F.col("length") > depth)).select("conv", F.col("node").alias("parent"), "length", "whole")
+        live = found.filter(~F.col("closed") & (F.col("length") > depth)).select("conv", F.col("node").alias("parent"), "length", "one", "two")
         if live.isEmpty():
             return levels
 
@@ -199,10 +202,10 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> Iterator[DataFrame]:
     try:
         turns.sortWithinPartitions("depth").write.parquet(path)  # a level reads the pages of its depth
         turns = spark.read.schema(turns.schema).parquet(path)
-        whole = turns.groupBy("conv").agg(F.count("*").alias("length"), F.struct(F.bit_xor(F.xxhash64("depth", "key")), F.bit_xor(F.xxhash64(F.lit(42), "key", "depth"))).alias("whole"))
+        whole = turns.groupBy("conv").agg(F.count("*").alias("length"), F.bit_xor(F.xxhash64("depth", "key")).alias("one"), F.bit_xor(F.xxhash64(F.lit(42), "key", "depth")).alias("two"))
         top = convs.agg(F.min("conv").alias("root"), F.count("*").alias("n"))
         root, n = top.first()
-        known = checkpoint(convs.join(whole, "conv", "left").select("conv", F.lit(root).cast("long").alias("root"), F.coalesce("length", F.lit(0)).alias("length"), "whole"))
+        known = checkpoint(convs.join(whole, "conv", "left").select("conv", F.lit(root).cast("long").alias("root"), F.coalesce("length", F.lit(0)).alias("length"), "one", "two"))
         levels = _levels(turns, known.filter("length > 0"))
         ends = [known.filter("length = 0").select("conv", F.col("root").alias("node"), F.lit(0).cast("long").alias("depth"))]
         shared, alone = [], []
