@@ -43,18 +43,26 @@ _HALVES = 2
 _REACH = MAX_BITS // _HALVES
 
 
-def fingerprint(text: bytes) -> int:
-    """SimHash over the XXH64 of all shingles of SHINGLE words, A-Z lower-cased; no words give 0."""
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 of all shingles of so many words (of fewer words: of all of them), A-Z lower-cased; repeats included."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     stops = np.cumsum(lengths + 1) - 1
     starts = stops - lengths
-    span = min(SHINGLE, len(words)) - 1
+    span = min(shingle, len(words)) - 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - span].tolist(), stops[span:].tolist())], np.uint64)
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - span].tolist(), stops[span:].tolist())], np.uint64)
+
+
+def fingerprint(text: bytes) -> int:
+    """SimHash over the shingles of a text: the bits that over half of their hashes have; no words give 0."""
+    return print_of(shingle_hashes(text))
+
+
+def print_of(hashes: np.ndarray) -> int:
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 14):
         ones += np.unpackbits(hashes[i : i + (1 << 14)].byteswap().view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
