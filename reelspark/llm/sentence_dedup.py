@@ -23,7 +23,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.llm.common import once, slices, text_of
+from reelspark.llm.common import once, released, slices, text_of
 from reelspark.llm.hashing import Spans, mixed
 
 #: Sentences that are several.
@@ -177,18 +177,19 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         low, high, at, key = (batch.column(i).to_numpy() for i in (2, 3, 4, 1))
         ids, known = batch.column(0), batch.column(5).to_numpy(zero_copy_only=False)
-        name = np.array([(x is not None, x if x is not None else 0) for x in ids.to_pylist()], object)
         new = (np.diff(low, prepend=low[0]) != 0) | (np.diff(high, prepend=high[0]) != 0)
         new[0] = lead is None or (low[0], high[0]) != lead[:2]
-        group = np.cumsum(new) - 1  # -1: the span that the last batch ended with
         first = np.flatnonzero(new)
-        told = [lead[2:]] if group[0] < 0 else []
-        told += [(tuple(name[i]), at[i], key[i], known[i]) for i in first.tolist()]
-        group = group + (group[0] < 0)
-        lead_at, lead_key = np.array([x[1] for x in told])[group], np.array([x[2] for x in told])[group]
-        lead_known = np.array([x[3] for x in told])[group]
-        same_id = np.fromiter((tuple(x) == told[g][0] for x, g in zip(name, group.tolist())), bool, len(group))
-        out = np.flatnonzero(known | lead_known | (at != lead_at) | (key != lead_key) | ~same_id)
+        goes_on = first[:1].tolist() != [0]  # the batch begins with the span that the last one ended with
+        told = [lead[2:]] if goes_on else []
+        told += [*zip(ids.take(pa.array(first)).to_pylist(), at[first].tolist(), key[first].tolist(), known[first].tolist())]
+        group = np.cumsum(new) - (0 if goes_on else 1)
+        name = ids.dictionary_encode()  # equal ids have equal numbers
+        numbers = {x: i for i, x in enumerate(name.dictionary.to_pylist())}
+        number = name.indices.fill_null(-1).to_numpy()
+        lead_number = np.array([-1 if x[0] is None else numbers.get(x[0], -2) for x in told])[group]
+        lead_at, lead_key, lead_known = (np.array([x[i] for x in told])[group] for i in (1, 2, 3))
+        out = np.flatnonzero(known | lead_known | (at != lead_at) | (key != lead_key) | (number != lead_number))
         lead = (low[-1], high[-1], *told[group[-1]])
         if len(out):
             yield pa.record_batch([ids.take(pa.array(out)), pa.array(key[out]), pa.array(at[out])], ["_id", "_key", "_at"])
@@ -236,9 +237,9 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         at = np.concatenate([first[kept] << 32 | n[kept], -(a << 32 | b - a)])
         return pa.record_batch([rows.column(0).take(pa.array(own)), pa.array(key[own]), pa.array(np.concatenate([low[kept], anywhere])), pa.array(np.concatenate([high[kept], anywhere])), pa.array(at)], ["_id", "_key", "_low", "_high", "_at"])
 
-    found = keyed.select("_id", "_key", text_of("_text").alias("_text")).mapInArrow(hashed, f"_id {kind}, _key long, _low long, _high long, _at long")
+    found = keyed.select("_id", "_key", text_of("_text").alias("_text")).mapInArrow(released(hashed), f"_id {kind}, _key long, _low long, _high long, _at long")
     dealt = found.repartition("_low").select("_id", "_key", "_low", "_high", F.abs("_at").alias("_at"), (F.col("_at") < 0).alias("_known"))
-    later = dealt.sortWithinPartitions("_low", "_high", "_known", "_id", "_at", "_key").mapInArrow(_later, f"_id {kind}, _key long, _at long")
+    later = dealt.sortWithinPartitions("_low", "_high", "_known", "_id", "_at", "_key").mapInArrow(released(_later), f"_id {kind}, _key long, _at long")
     span = F.struct(F.shiftright("_at", 32).cast("int").alias("first"), F.col("_at").bitwiseAND(0x7FFFFFFF).cast("int").alias("n"))
     by_doc = later.groupBy("_id", "_key").agg(F.collect_set(span).alias("_spans"))
     joined = keyed.alias("d").join(by_doc.alias("s"), F.col("d._id").eqNullSafe(F.col("s._id")) & (F.col("d._key") == F.col("s._key")), "left")
@@ -253,4 +254,4 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                     texts[i], gone[i] = layout.without(i, texts[i], [(x["first"], x["n"]) for x in held])
             yield pa.record_batch([rows.column(0), pa.array(texts, pa.string()), pa.array(layout.n_sentences), pa.array(gone, pa.int64())], [id_col, "text", "n_sentences", "n_removed"])
 
-    return joined.select("d._id", "d._text", "s._spans").mapInArrow(cut, f"`{id_col}` {kind}, text string, n_sentences long, n_removed long")
+    return joined.select("d._id", "d._text", "s._spans").mapInArrow(released(cut), f"`{id_col}` {kind}, text string, n_sentences long, n_removed long")

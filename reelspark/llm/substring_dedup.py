@@ -3,7 +3,9 @@
 1. Documents are packed into chunks of a few MB, written once. Texts are cut into
    blocks where their own bytes say, so copies have equal blocks. The blocks' digests go
    to hash ranges, which answer for each whether an earlier document has it. So of each
-   group of copies one is left, and what follows grows with the distinct text.
+   group of copies one is left, and what follows grows with the distinct text. The bytes
+   of blocks that several chunks have go along with step 2 and are compared; blocks of
+   one digest that differ would end the run with an error.
 2. In what is left, every string of the wanted length has an anchor: the gram with the
    smallest hash in it. Strings in a row mostly share their anchor; such a row is a
    region. Equal strings have equal anchors at equal places, wherever they stand. The
@@ -17,8 +19,8 @@
 4. The answers go back to the chunks, which mark the bytes and cut them out.
 
 An anchor found in very many chunks isn't kept together: its strings go out one by one,
-under their own hashes, once for each chunk. The chunks are a bucketed table, so answers
-come to the texts and no text is shuffled. There is a hash range for every few chunks,
+under their own hashes, once for each chunk. The chunks are a bucketed table, so that
+from then on answers come to the texts and no text is shuffled. There is a hash range for every few chunks,
 so a task holds the same whatever the corpus, and a chunk only sends to ranges that it
 has something for.
 """
@@ -45,6 +47,8 @@ from reelspark.operators.lineage import checkpoint, discard, folder
 
 LENGTH = 50
 CHUNK_BYTES = 8 << 20
+#: Buckets of the chunk table at most (the engine takes no more than 100,000); beyond, buckets have more chunks, which pass one by one.
+MOST_BUCKETS = 20_000
 #: Text of a chunk that is hashed at a time, and text of regions that is compared at a time.
 STEP_BYTES = SLICE_BYTES = 1 << 20
 #: A text is cut where the hash of a gram has this many zero bits: into blocks of 1 << BLOCK_BITS bytes on average.
@@ -54,6 +58,8 @@ RANGE_CHUNKS = 4
 #: An anchor found in more chunks is dealt out string by string.
 COMMON_CHUNKS = 1024
 _NO_ID = np.iinfo(np.int64).min
+#: Answers to a block: no other chunk has it, others do, and an earlier document does.
+ALONE, SHARED, LATER = range(3)
 
 
 # Packed arrays
@@ -196,8 +202,8 @@ class Texts:
         """Blocks: strings in a row from one cut to the next, told by a digest of their bytes, and the distinct ones.
 
         starts, stops, doc, entry: of each block, its strings, document and place among
-        the distinct ones; keys, digests, first_doc: of each distinct one, the halves of
-        its digest, in their order, and its first document here.
+        the distinct ones; keys, digests, first_doc, first: of each distinct one, the halves
+        of its digest, in their order, its first document here, and its first block.
         """
         gram = min(BLOCK_GRAM, self.length)
         ends = self.firsts + self.sizes - self.length + 1  # behind the last string
@@ -219,13 +225,13 @@ class Texts:
         entry = np.zeros(len(order), np.int64)
         entry[order] = np.cumsum(new) - 1
         lead = order[new]
-        return {"starts": starts, "stops": stops, "doc": doc, "entry": entry, "keys": key[lead], "digests": digest[lead], "first_doc": doc[lead]}
+        return {"starts": starts, "stops": stops, "doc": doc, "entry": entry, "keys": key[lead], "digests": digest[lead], "first_doc": doc[lead], "first": lead}
 
     def covered(self, answers: np.ndarray) -> np.ndarray:
-        """Which strings stand in a block that an earlier document has; answers: of each distinct block, whether one of another chunk has."""
-        blocks = self.blocks()
+        """Which strings stand in a block that an earlier document has; answers: of each distinct block, LATER if one of another chunk has."""
+        blocks = self.found = self.blocks()
         entry = blocks["entry"]
-        gone = (answers[entry] != 0) | (self.rank[blocks["doc"]] > self.rank[blocks["first_doc"][entry]])
+        gone = (answers[entry] == LATER) | (self.rank[blocks["doc"]] > self.rank[blocks["first_doc"][entry]])
         edges = np.zeros(len(self.data) + 1, np.int8)
         edges[blocks["starts"][gone]] += 1
         edges[blocks["stops"][gone]] -= 1
@@ -351,10 +357,11 @@ def _chunks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
 
     spark = df.sparkSession
     source = df.select(df[id_col].cast("long").alias("_id"), text_of(text_col).alias("_text"))
-    buckets = max(4, 2 * source.rdd.getNumPartitions())
+    buckets = min(MOST_BUCKETS, max(4, 2 * source.rdd.getNumPartitions()))
     name = f"chunks_{uuid.uuid4().hex}"
     packed = source.mapInArrow(released(pack), "chunk long, ids array<long>, sizes array<long>, blob binary")
-    packed.write.format("parquet").option("compression", "none").option("path", f"{folder(spark)}/{name}").bucketBy(buckets, "chunk").saveAsTable(name)
+    # dealt out as buckets are, so that each is one file, however many tasks have packed
+    packed.repartition(buckets, "chunk").write.format("parquet").option("compression", "none").option("path", f"{folder(spark)}/{name}").bucketBy(buckets, "chunk").saveAsTable(name)
     return spark.table(name), name
 
 
@@ -447,22 +454,47 @@ def _without_repeats(chunks: DataFrame, kind: str, id_col: str, length: int) ->
         new = (np.diff(keys[order], prepend=np.uint64(0)) != 0) | (np.diff(digests_[order], prepend=np.uint64(0)) != 0)
         new[:1] = True
         least = owners[order][new][np.cumsum(new) - 1]
-        earlier = np.zeros(len(keys), np.uint8)
-        earlier[order] = owners[order] > least
-        return _answers(rows, earlier, [*map(len, held)])
+        several = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > 1
+        told = np.zeros(len(keys), np.uint8)
+        told[order] = np.where(owners[order] > least, LATER, np.where(several, SHARED, ALONE))
+        return _answers(rows, told, [*map(len, held)])
 
     def opened(batch: pa.RecordBatch, i: int) -> Chunk:
         return _opened(batch, i, length, blocks=_answered(batch.column(4), i, np.uint8))
 
     def send_anchors(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
-        codes, _ = opened(batch, i).anchor_codes()
-        return _to_ranges(batch.column(0)[i].as_py(), codes, n, lambda own: {"codes": _pack_sorted(codes[own])})
+        answers = _answered(batch.column(4), i, np.uint8)
+        chunk = _opened(batch, i, length, blocks=answers)
+        codes, _ = chunk.anchor_codes()
+        blocks, shared = chunk.found, np.flatnonzero(answers != ALONE)
+        keys, start = blocks["keys"][shared], blocks["starts"][blocks["first"][shared]]
+        size = blocks["stops"][blocks["first"][shared]] + length - 1 - start
+        of_codes, of_keys, out = _ranges(codes, n), _ranges(keys, n), []
+        for k, (a, b, c, d) in enumerate(zip(of_codes, of_codes[1:], of_keys, of_keys[1:])):
+            if a < b or c < d:
+                text = chunk.data[_cells(start[c:d], size[c:d])].tobytes()
+                out.append((batch.column(0)[i].as_py(), k, _pack_sorted(codes[a:b]), _pack_sorted(keys[c:d]), _pack(blocks["digests"][shared[c:d]]), _pack(size[c:d]), zstandard.compress(text, 1)))
+        kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 5)
+        return pa.record_batch([pa.array([r[j] for r in out], kind) for j, kind in enumerate(kinds)], ["chunk", "range", "codes", "keys", "digests", "sizes", "texts"])
 
     def answer_anchors(rows: pa.Table) -> pa.RecordBatch:
         held = [_unpack_sorted(x) for x in rows.column("codes").to_pylist()]
         _, place, times = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+        check_blocks(rows)
         return _answers(rows, ((times > 1).astype(np.uint8) + (times > COMMON_CHUNKS))[place], [*map(len, held)])
 
+    def check_blocks(rows: pa.Table) -> None:
+        """Blocks of one digest have the same bytes."""
+        keys = np.concatenate([_unpack_sorted(x) for x in rows.column("keys").to_pylist()])
+        digests_, sizes = (np.concatenate([_unpack(x, k) for x in rows.column(c).to_pylist()]) for c, k in (("digests", np.uint64), ("sizes", np.int64)))
+        data = np.frombuffer(b"".join([zstandard.decompress(x) for x in rows.column("texts").to_pylist()]) or b"\0", np.uint8)
+        start = np.cumsum(sizes) - sizes
+        order = np.lexsort((digests_, keys))
+        same = np.flatnonzero((np.diff(keys[order]) == 0) & (np.diff(digests_[order]) == 0))
+        a, b = order[same], order[same + 1]
+        if (sizes[a] != sizes[b]).any() or not _same_bytes(data, start[a], start[b], sizes[a]).all():
+            raise ValueError("two blocks of different bytes have one digest")
+
     def send_regions(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
         chunk = opened(batch, i)
         found = chunk.entries(_answered(batch.column(5), i, np.uint8))
@@ -495,7 +527,7 @@ def _without_repeats(chunks: DataFrame, kind: str, id_col: str, length: int) ->
                 yield pa.record_batch([ids, pa.array(chunk.sizes), pa.array(spans, spans_type), pa.array(kept, pa.binary())], ["_id", "n_bytes", "spans", "kept"])
 
     asked = exchanged(chunks, send_blocks, "keys binary, digests binary, owners binary", answer_blocks, "blocks")
-    asked = exchanged(asked, send_anchors, "codes binary", answer_anchors, "anchors")
+    asked = exchanged(asked, send_anchors, "codes binary, keys binary, digests binary, sizes binary, texts binary", answer_anchors, "anchors")
     asked = exchanged(asked, send_regions, "keys binary, offsets binary, strings binary, owners binary, texts binary", answer_regions, "regions")
     done = asked.mapInArrow(released(cut), "_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
     return done.select(F.col("_id").cast(kind).alias(id_col), "n_bytes", "spans", "kept")

@@ -269,7 +269,7 @@ def copied_rows(seed, n=60):
 def test_substring_dedup(spark, monkeypatch, small):
     rows = copied_rows(7)
     if small:  # many chunks, steps that cut regions, and every shared anchor common
-        for name, value in (("CHUNK_BYTES", 600), ("STEP_BYTES", 130), ("SLICE_BYTES", 400), ("COMMON_CHUNKS", 2)):
+        for name, value in (("CHUNK_BYTES", 600), ("STEP_BYTES", 130), ("SLICE_BYTES", 400), ("COMMON_CHUNKS", 2), ("MOST_BUCKETS", 3)):
             monkeypatch.setattr(substring_dedup, name, value)
         ids, texts = zip(*sorted(((-1 if i is None else i, (t or "").encode()) for i, t in rows)))
         chunk = substring_dedup.Chunk(__import__("zstandard").compress(b"".join(texts)), np.array(ids), np.array([*map(len, texts)]), 50)
@@ -735,6 +735,43 @@ def test_chunks_are_dropped(spark):
     assert len(held - {t.name for t in spark.catalog.listTables()}) == 1
 
 
+def test_more_partitions_than_buckets(spark, monkeypatch):
+    """Each bucket is one file, however many tasks have packed chunks."""
+    monkeypatch.setattr(substring_dedup, "MOST_BUCKETS", 5)
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 2000)
+    rows = copied_rows(9)
+    df = docs(spark, rows).repartition(13)
+    chunks, name = substring_dedup._chunks(df, "doc_id", "text")
+    assert chunks.count() > 13 and 1 < len(chunks.inputFiles()) <= 5 and chunks.rdd.getNumPartitions() <= 5
+    spark.sql(f"DROP TABLE {name}")
+    found = substring_dedup.digests(substring_dedup.remove_repeats(df))
+    assert got(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_substrings(rows)
+
+
+def test_blocks_are_compared(spark, monkeypatch):
+    """A digest that different blocks share is an error and no wrong result."""
+    class Poor:
+        def __init__(self, data, digest_size):
+            pass
+
+        def digest(self):
+            return b"\1" * 16
+
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(substring_dedup, "blake2b", Poor)
+    rows = [(i, f"{i} some text of document {i} and more of it " * 5) for i in range(8)]
+    from pyspark import cloudpickle
+
+    import reelspark.llm.substring_dedup as module
+
+    cloudpickle.register_pickle_by_value(module)  # so that tasks have the poor digest too
+    try:
+        with pytest.raises(Exception, match="one digest"):
+            substring_dedup.remove_repeats(docs(spark, rows)).count()
+    finally:
+        cloudpickle.unregister_pickle_by_value(module)
+
+
 def test_blocks_of_copies_are_equal():
     rng = random.Random(4)
     passage = bytes(rng.choices(b"abcdefgh ", k=4000))
