@@ -10,7 +10,11 @@ shard all 64 bits are compared, so the links are exact. A shard gives out a span
 forest of its links, not its pairs, and components are found on the forests.
 
 The trees are fitted on a bounded sample of the fingerprints (TREE_SAMPLE, taken by
-hash order); that decides the shards' sizes, not which links are found.
+hash order); that decides the shards' sizes, not which links are found. A shard that
+is large nevertheless gets a tree of its own, fitted on a sample of it, and its
+fingerprints go through that to smaller shards in a second shuffle: each once, and
+again for each boundary that it is next to, about a seventh of them at each level. So
+of ten times the random fingerprints, some 15 times the rows are shuffled, and not 100.
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ TREE_SAMPLE = 1 << 17
 SHARD = 1024
 #: Fingerprints that a task compares all with all; a larger shard is divided once more there.
 LOCAL_SHARD = 1 << 12
-#: Larger shards are dealt out again: their queries by salt, what they look up to every salt.
+#: Larger shards get a tree of their own, and go through it by so many rows a task.
 SPLIT_SHARD = 1 << 14
 _HALVES = 2
 _REACH = MAX_BITS // _HALVES
@@ -107,6 +111,13 @@ class Tree:
                 inside = np.zeros(0, bool)
             members[2 * node + 1], members[2 * node + 2] = own[inside], own[~inside]
 
+    @classmethod
+    def of(cls, points: np.ndarray, radii: np.ndarray) -> Tree:
+        """The tree of given nodes."""
+        tree = cls.__new__(cls)
+        tree.depth, tree.points, tree.radii = len(points).bit_length(), points, radii
+        return tree
+
     def visits(self, values: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position in values, leaf, at home) of every visit: one at home for those that have a home, and those as a query.
 
@@ -197,38 +208,83 @@ def links(prints: DataFrame) -> DataFrame:
 
     # at most 2 * TREE_SAMPLE / 8 shards, so their sizes are bounded; only the large ones come to the driver
     large = prints.mapInArrow(sizes, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).filter(F.col("n") > SPLIT_SHARD).toPandas()
-    salts = np.ones(_HALVES << depth, np.int64)
-    salts[large["leaf"].to_numpy(np.int64)] = -(-large["n"].to_numpy(np.int64) // SPLIT_SHARD)
-    dealt_by = spark.sparkContext.broadcast(salts)
+    is_large = np.zeros(_HALVES << depth, bool)
+    is_large[large["leaf"].to_numpy(np.int64)] = True
+    chosen = spark.sparkContext.broadcast(is_large)
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            values = rows.column(1).to_numpy()
-            for place, leaf, home in visits(rows):
-                own = (values[place].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % dealt_by.value[leaf]
-                asks = np.ones(len(place), bool)
-                for salt in range(int(dealt_by.value[leaf].max(initial=1)) - 1):  # what is at home also goes to the other salts, to be looked up
-                    more = np.flatnonzero(home[: len(own)] & (dealt_by.value[leaf[: len(own)]] > salt + 1))
-                    if len(more):
-                        other = (own[more] + salt + 1) % dealt_by.value[leaf[more]]
-                        yield batch(rows, values, place[more], leaf[more], other, np.zeros(len(more), bool), np.ones(len(more), bool))
-                yield batch(rows, values, place, leaf, own, asks, home)
-
-    def batch(rows, values, place, leaf, salt, asks, held) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(leaf), pa.array(salt), rows.column(0).take(pa.array(place)), pa.array(values[place]), pa.array(asks), pa.array(held)], ["leaf", "salt", "node", "print", "asks", "held"])
+    def deal(wanted: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in batches:
+                for place, leaf, home in visits(rows):
+                    own = np.flatnonzero(chosen.value[leaf] == wanted)
+                    at = pa.array(place[own])
+                    yield pa.record_batch([pa.array(leaf[own]), pa.array(np.zeros(len(own), np.int64)), rows.column(0).take(at), rows.column(1).take(at), pa.array(home[own])], ["leaf", "part", "node", "print", "held"])
+
+        return prints.mapInArrow(run, "leaf long, part long, node long, print long, held boolean")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in groups(batches):
             node = shard.column(2).to_numpy()
             order = np.argsort(node, kind="stable")
-            asks, held = (shard.column(i).to_numpy(zero_copy_only=False)[order] for i in (4, 5))
+            held = shard.column(4).to_numpy(zero_copy_only=False)[order]
             node = node[order]
-            for a, b in shard_edges(shard.column(3).to_numpy().view(np.uint64)[order], asks, held, shard.column(0)[0].as_py() >> depth):
+            for a, b in shard_edges(shard.column(3).to_numpy().view(np.uint64)[order], np.ones(len(node), bool), held, shard.column(0)[0].as_py() >> depth):
                 if len(a):
                     yield pa.record_batch([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
 
-    dealt = prints.mapInArrow(deal, "leaf long, salt long, node long, print long, asks boolean, held boolean")
-    return dealt.repartition("leaf", "salt").sortWithinPartitions("leaf", "salt").mapInArrow(joined, "a long, b long")
+    dealt = deal(False)
+    if len(large):
+        dealt = dealt.unionByName(divided(deal(True), spark.createDataFrame(large).select("leaf", "n"), depth))
+    return dealt.repartition("leaf", "part").sortWithinPartitions("leaf", "part").mapInArrow(joined, "a long, b long")
+
+
+def divided(rows: DataFrame, sizes: DataFrame, depth: int) -> DataFrame:
+    """rows (leaf, part, node, print, held) of large shards with part, the shard of the leaf's own tree; sizes: (leaf, n), a row for each.
+
+    A tree is fitted on about 8 fingerprints for each of its shards and goes, a few KB, to
+    every salt of its leaf's rows, which are as many as it takes for SPLIT_SHARD rows each.
+    """
+    known = F.broadcast(sizes)  # as many as the first trees have leaves at most
+    most = TREE_SAMPLE // 8
+    shards = F.least(F.ceil(F.col("n") / SHARD), F.lit(most)).cast("long")
+    kept = F.pmod(F.xxhash64("print"), F.greatest(F.floor(F.col("n") / (8 * shards)), F.lit(1)).cast("long")) == 0
+    salts = F.ceil(F.col("n") / SPLIT_SHARD).cast("long")
+    rows = checkpoint(rows).join(known, "leaf")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sample in groups(batches):
+            leaf, count = sample.column(0)[0].as_py(), sample.column(1)[0].as_py()
+            values = np.sort(sample.column(2).to_numpy()).view(np.uint64)
+            tree = Tree(_half(values, leaf >> depth), max(1, min((count // SHARD).bit_length(), (len(values) // 8).bit_length())))
+            yield pa.record_batch([pa.array([leaf]), pa.array([count]), pa.array([tree.points.tobytes()], pa.binary()), pa.array([tree.radii.tobytes()], pa.binary())], ["leaf", "n", "points", "radii"])
+
+    sample = rows.filter(F.col("held") & kept).select("leaf", "n", "print").repartition("leaf").sortWithinPartitions("leaf", "n")
+    trees = sample.mapInArrow(fit, "leaf long, n long, points binary, radii binary")
+    to_all = trees.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("node"), F.lit(0).cast("long").alias("print"), F.lit(False).alias("held"), "points", "radii")
+    none = F.lit(None).cast("binary")
+    salted = rows.select("leaf", F.pmod(F.xxhash64("node"), salts).alias("salt"), F.lit(1).alias("kind"), "node", "print", "held", none.alias("points"), none.alias("radii"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, tree = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            leaf, salt, kind = (batch.column(i).to_numpy() for i in range(3))
+            cuts = [0, *(np.flatnonzero((np.diff(leaf) != 0) | (np.diff(salt) != 0) | (np.diff(kind) != 0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if (leaf[a], salt[a]) != key:
+                    key, tree = (leaf[a], salt[a]), None
+                if not kind[a]:
+                    tree = Tree.of(np.frombuffer(batch.column(6)[a].as_py(), np.uint32), np.frombuffer(batch.column(7)[a].as_py(), np.int16))
+                    continue
+                own = batch.slice(a, b - a)
+                held = own.column(5).to_numpy(zero_copy_only=False)
+                place, part, home = tree.visits(_half(own.column(4).to_numpy().view(np.uint64), int(leaf[a]) >> depth), held)
+                at = pa.array(place)
+                yield pa.record_batch([own.column(0).take(at), pa.array(part), own.column(3).take(at), own.column(4).take(at), pa.array(home)], ["leaf", "part", "node", "print", "held"])
+
+    both = to_all.unionByName(salted).repartition("leaf", "salt").sortWithinPartitions("leaf", "salt", "kind")
+    return both.mapInArrow(run, "leaf long, part long, node long, print long, held boolean")
 
 
 def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:

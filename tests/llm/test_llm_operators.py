@@ -460,6 +460,32 @@ def test_vantage_point_trees_find_all_links(spark, monkeypatch, shard, split):
     assert [found.get(i, i) for i in range(len(prints))] == brute_components(prints)
 
 
+def test_shuffled_rows_grow_with_the_prints(spark, monkeypatch):
+    """Of ten times the prints, about 15 times the rows go through the second shuffle (a few more levels), where all shards are large."""
+    monkeypatch.setattr(simhash, "TREE_SAMPLE", 1 << 6)  # the first trees are small, whatever the number of prints
+    monkeypatch.setattr(simhash, "SPLIT_SHARD", 1 << 8)
+    sent, divided = {}, simhash.divided
+    for n in (10_000, 100_000):
+        rng = np.random.default_rng(n)
+        prints = np.unique(np.concatenate([rng.integers(0, 1 << 63, n, np.uint64), np.uint64(5) << rng.integers(0, 60, 50, np.uint64)])).view(np.int64)
+        df = spark.createDataFrame(__import__("pandas").DataFrame({"_node": np.arange(len(prints)), "_print": prints}))
+
+        def counted(rows, *more):
+            out = divided(rows, *more)
+            sent[n] = out.count()
+            return out
+
+        monkeypatch.setattr(simhash, "divided", counted)
+        links = simhash.links(df)
+        if n == 10_000:
+            found = {r.node: r.component for r in components.connected_components(links).collect()}
+            left = prints.view(np.uint64)
+            want = {(i, j) for i in range(len(left)) for j in np.flatnonzero(np.bitwise_count(left ^ left[i]) <= 3).tolist() if i < j}
+            assert want and all(found.get(i, i) == found.get(j, j) for i, j in want)
+            assert len({found[i] for i in found}) == len(set(found.values()))
+    assert sent[10_000] > 20_000 and sent[100_000] < 20 * sent[10_000]
+
+
 def test_large_shards_are_divided(monkeypatch):
     monkeypatch.setattr(simhash, "LOCAL_SHARD", 20)
     monkeypatch.setattr(simhash, "SHARD", 8)
