@@ -390,10 +390,14 @@ def replace_entities(df: DataFrame, key: str, *, id_col: str = "doc_id", text_co
         attempt = lambda kind, canon: F.lit(0)
 
     def made_of(x: Column) -> Column:
-        one = lambda kind, canon, form: surrogate(key, kind, canon, attempt(kind, canon), form)
+        def part(kind: str, canon: Column, form: Column, make) -> Column:
+            n = attempt(F.lit(kind), canon)
+            return _bound(_draw(key, F.lit(kind), canon, n, "entity"), lambda drawn: make(canon, form, drawn, n))
+
         title = F.regexp_extract(x["form"], rf"^({_TITLE})", 1)
-        given = F.when(x["given"] == "", F.lit("")).otherwise(F.concat(one(F.lit("given"), x["given_canon"], x["given"]), F.lit(" ")))
-        return F.when(x["kind"] == "name", F.concat(title, given, one(F.lit("surname"), x["canon"], x["surname"]))).otherwise(one(x["kind"], x["canon"], x["form"]))
+        given = F.when(x["given"] == "", F.lit("")).otherwise(F.concat(part("given", x["given_canon"], x["given"], _given), F.lit(" ")))
+        other = surrogate(key, x["kind"], x["canon"], attempt(x["kind"], x["canon"]), x["form"])
+        return F.when(x["kind"] == "name", F.concat(title, given, part("surname", x["canon"], x["surname"], _surname))).otherwise(other)
 
     keep = [c for c in cut.columns if c not in ("_again", "_row")]
     made = settled(cut, keep, _made=F.transform("_found", made_of))
