@@ -70,23 +70,65 @@ def hamming_pairs(signatures: DataFrame, most_bits: int, n: int) -> DataFrame:
     their signatures afterwards, once each. Large keys are split by the engine's skew join.
     """
     bands, far, near = banding(signatures.count(), 64 * n, most_bits)
-    widths = [b - a for a, b in zip(_cuts(64 * n, bands), _cuts(64 * n, bands)[1:])]
-    own = signatures.select("ord", F.posexplode(_bands(F.col("sig"), n, bands)).alias("band", "value"))
+    own = in_bands(signatures, n, bands)
+    a, b = around(own, n, bands, far).withColumnRenamed("ord", "a"), around(own, n, bands, near).withColumnRenamed("ord", "b")
+    return verified(a.join(b, ["band", "value"]).filter("a < b").select("a", "b").distinct(), signatures, most_bits, n)
 
-    def around(name: str, reach: int) -> DataFrame:
-        if not reach:
-            return own.select(F.col("ord").alias(name), "band", "value")
-        masks = {w: F.lit(_flips(w, reach)).cast("array<bigint>") for w in set(widths)}
-        wide = F.array(*map(F.lit, widths))[F.col("band")]
-        chosen = F.lit(None).cast("array<bigint>")
-        for w, listed in masks.items():
-            chosen = F.when(wide == w, listed).otherwise(chosen)
-        return own.select(F.col("ord").alias(name), "band", "value", F.explode(chosen).alias("mask")).select(name, "band", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
 
-    met = around("a", far).join(around("b", near), ["band", "value"]).filter("a < b").select("a", "b").distinct()
-    held = met.join(signatures.select(F.col("ord").alias("a"), F.col("sig").alias("sig_a")), "a").join(signatures.select(F.col("ord").alias("b"), F.col("sig").alias("sig_b")), "b")
-    bits = distance(F.col("sig_a"), F.col("sig_b"), n)
-    return held.select("a", "b", bits.alias("bits")).filter(F.col("bits") <= most_bits)
+def in_bands(signatures: DataFrame, n: int, bands: int, *more: str) -> DataFrame:
+    """(ord, more, band, value) of (ord, sig, more) rows, one for each band."""
+    return signatures.select("ord", *more, F.posexplode(_bands(F.col("sig"), n, bands)).alias("band", "value"))
+
+
+def around(own: DataFrame, n: int, bands: int, reach: int) -> DataFrame:
+    """Rows of in_bands(), each under all values that differ from its own in up to reach bits."""
+    if not reach:
+        return own
+    cuts = _cuts(64 * n, bands)
+    widths = [b - a for a, b in zip(cuts, cuts[1:])]
+    wide = F.array(*map(F.lit, widths))[F.col("band")]
+    chosen = F.lit(None).cast("array<bigint>")
+    for w in set(widths):
+        chosen = F.when(wide == w, F.lit(_flips(w, reach)).cast("array<bigint>")).otherwise(chosen)
+    rest = [c for c in own.columns if c != "value"]
+    return own.select("*", F.explode(chosen).alias("mask")).select(*rest, F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
+
+
+def verified(pairs: DataFrame, signatures: DataFrame, most_bits: int, n: int) -> DataFrame:
+    """pairs (a, b, ...) with bits, those that differ in most_bits at most."""
+    held = pairs.join(signatures.select(F.col("ord").alias("a"), F.col("sig").alias("_a")), "a").join(signatures.select(F.col("ord").alias("b"), F.col("sig").alias("_b")), "b")
+    return held.withColumn("bits", distance(F.col("_a"), F.col("_b"), n)).filter(F.col("bits") <= most_bits).drop("_a", "_b")
+
+
+def links(signatures: DataFrame, most_bits: int, n: int) -> DataFrame:
+    """(a, b) edges that connect whatever hamming_pairs() connects, far fewer where signatures are crowded.
+
+    First, rows that share a band's very value are compared with the first of them: a
+    star for each value, so a crowd of m near signatures has about m edges. What that
+    connects is one group, and from there on only rows of different groups meet: a value
+    that one group has alone is dropped, at another the rows of its largest group aren't
+    met with each other. Of the links between two groups one is put out.
+    """
+    bands, far, near = banding(signatures.count(), 64 * n, most_bits)
+    own = in_bands(signatures, n, bands)
+    first = own.groupBy("band", "value").agg(F.min("ord").alias("b"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    stars = own.join(first, ["band", "value"]).filter("ord <> b").select(F.col("ord").alias("a"), "b").distinct()
+    edges = checkpoint(verified(stars, signatures, most_bits, n).select("a", "b"))
+    known = connected_components(edges).withColumnRenamed("node", "ord")
+    grouped = checkpoint(signatures.join(known, "ord", "left").select("ord", "sig", F.coalesce("component", "ord").alias("group")))
+    own = in_bands(grouped, n, bands, "group")
+    one, two = around(own, n, bands, far), around(own, n, bands, near)
+    # the rows of the second side are among those of the first, which has the wider reach
+    counts = one.groupBy("band", "value", "group").agg(F.count("*").alias("n"))
+    crowd = counts.groupBy("band", "value").agg(F.count("*").alias("groups"), F.max_by("group", F.struct("n", "group")).alias("crowd")).filter("groups > 1")
+    mixed = checkpoint(one.join(crowd.drop("groups"), ["band", "value"]))
+    other = checkpoint(two.join(crowd.drop("groups"), ["band", "value"]))
+    named = lambda df, x: df.select("band", "value", F.col("ord").alias(x), F.col("group").alias(f"group_{x}"))
+    apart = F.col("group") != F.col("crowd")
+    met = named(mixed.filter(apart), "a").join(named(other, "b"), ["band", "value"]).unionByName(named(mixed.filter(~apart), "a").join(named(other.filter(apart), "b"), ["band", "value"]))
+    between = met.filter("group_a <> group_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("group_a", "group_b").alias("_low"), F.greatest("group_a", "group_b").alias("_high")).distinct()
+    bridges = verified(between, signatures, most_bits, n).groupBy("_low", "_high").agg(F.min(F.struct("a", "b")).alias("e")).select("e.a", "e.b")
+    return edges.unionByName(bridges)
 
 
 def clusters(signatures: DataFrame, threshold: float, n: int) -> DataFrame:
@@ -97,7 +139,7 @@ def clusters(signatures: DataFrame, threshold: float, n: int) -> DataFrame:
     never meet in pairs.
     """
     nodes = checkpoint(signatures.groupBy("sig").agg(F.min("ord").alias("ord")))
-    found = connected_components(hamming_pairs(nodes, int(threshold * n), n).select("a", "b")).withColumnRenamed("node", "ord")
+    found = connected_components(links(nodes, int(threshold * n), n)).withColumnRenamed("node", "ord")
     labels = nodes.join(found, "ord", "left").select("sig", F.coalesce("component", "ord").alias("cluster"))
     return signatures.join(labels, "sig").select("ord", "cluster")
 

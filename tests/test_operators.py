@@ -108,6 +108,36 @@ def test_near_duplicates_against_brute_force(spark, seed):
     assert near_duplicates.rates(won.limit(0)).first().duplicate_rate == 0.0
 
 
+def test_crowded_signatures_have_few_links(spark):
+    """5,000 signatures next to one, and others at random, against all pairs."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 5, np.uint64)
+    rows = []
+    for i in range(5000):
+        near = base.copy()
+        for b in rng.choice(320, rng.integers(0, 9), replace=False):
+            near[b // 64] ^= np.uint64(1 << int(b % 64))
+        rows.append(near)
+    edge = base.copy()  # only some of the crowd are near enough to it
+    for b in range(38):
+        edge[b % 5] ^= np.uint64(1 << b)
+    rows += [edge, *rng.integers(0, 1 << 63, (300, 5), np.uint64)]
+    sigs = np.unique(np.array(rows), axis=0)
+    df = spark.createDataFrame([(i, [int(x) for x in s.view(np.int64)]) for i, s in enumerate(sigs)], "ord long, sig array<long>")
+    edges = near_duplicates.links(df, 40, 5).collect()
+    assert len(edges) < 50_000
+    group = np.arange(len(sigs))
+    for i in range(len(sigs)):
+        near = np.flatnonzero(np.bitwise_count(sigs ^ sigs[i]).sum(axis=1) <= 40)
+        group[np.isin(group, np.unique(group[near]))] = group[near].min()
+    from reelspark.operators.components import connected_components
+
+    found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges)).collect()}
+    assert [found.get(i, i) for i in range(len(sigs))] == group.tolist() and len(set(group.tolist())) == 301
+
+
 def test_probe_parsing():
     told = {"streams": [{"width": 1280, "height": 720, "r_frame_rate": "30000/1001", "codec_name": "h264", "nb_read_packets": "90"}], "format": {"duration": "12.345"}}
     probe = lambda x, code=0: media.probe("a", lambda args, t: (code, x if isinstance(x, bytes) else json.dumps(x).encode()))
