@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from reelspark.functions import fixed_values as V
 from reelspark.functions import parsing, perceptual, relevance
 from reelspark.functions.taxonomy import KITCHEN, WAREHOUSE
-from reelspark.operators import files, labelling, manifest, near_duplicates, report, validation
+from reelspark.operators import files, labelling, manifest, near_duplicates, report, seen, validation
 from reelspark.operators.lineage import checkpoint, discard, folder
 from reelspark.plans import discovery
 from reelspark.sources import fixtures, records, shards, snapshot
@@ -444,6 +444,20 @@ def near_dup_default(spark, sf_dir):
     return near_duplicates.winners(near_duplicates.clusters(frames.select("ord", "sig"), 8.0, perceptual.FRAMES).join(frames.select("ord", "quality"), "ord"))
 
 
+@query(f"WITH RECURSIVE {_SQL_FRAMES}, {_SQL_NEAR}, {_SQL_REACH}, {_SQL_FOUND}, {_SQL_WINNERS} SELECT * FROM won")
+def winners_over_batches(spark, sf_dir):
+    """The winners of near_dup_default, of documents that come in three batches to an index of what has been seen."""
+    where = f"{folder(spark)}/seen-{uuid.uuid4().hex}"
+    rows = checkpoint(_frames(spark, sf_dir).withColumn("clip_id", F.col("ord").cast("string")))
+    index = seen.SeenClips(spark, where, expected_rows=1e5)
+    try:
+        for i in range(3):
+            index.add(rows.filter(F.pmod(F.xxhash64("ord"), F.lit(3)) == i), f"batch-{i}")
+        return _kept_until_read(spark, where, index.winners())
+    finally:
+        index.close()
+
+
 _SQL_PHASH = """
 WITH grey AS (
   SELECT vec_id, i, (trunc(x * 100 + i * i // 37)::INT % 256 + 256) % 256 AS g
