@@ -13,7 +13,7 @@ from reelspark.functions.perceptual import FRAMES, hex_of
 from reelspark.functions.taxonomy import REGISTRY
 from reelspark.operators import files, manifest, media, near_duplicates, validation
 from reelspark.operators.lineage import checkpoint
-from reelspark.operators.report import Observed, YieldReport
+from reelspark.operators.report import Observed, per, summary
 from reelspark.sources import snapshot
 
 
@@ -21,19 +21,19 @@ def run(
     spark: SparkSession, folder: str, out: str, *, scenario: str = "warehouse_pick_and_place", relaxed: bool = False, dataset_id: str | None = None, client=None,
     download_folder: str | None = None, url_field: str = "source_url", threshold: float = 8.0, total_cost: float = 0.0, version: str | None = None, tool: media.Tool = media.run_tool, downloader: media.Downloader = media.DOWNLOADER,
     video_folder: str | None = None, sharded: bool = False,
-) -> YieldReport:
-    """Writes manifest.jsonl (sharded: the folder manifest, by the tasks) and report.json to out.
+) -> dict:
+    """Writes manifest.jsonl (sharded: the folder manifest, by the tasks) and report.json to out, and returns the report.
 
     Records, validation, download and probe are one pass, which leaves its counts behind
     as it is written; signatures are a second one. With video_folder, files are looked
     for in a listing of that folder, which may be on any file system, and not one by one.
     """
-    spec, report, seen = REGISTRY.get(scenario), YieldReport(), Observed()
+    spec, seen, seconds = REGISTRY.get(scenario), Observed(), {}
     clock = time.time()
 
     def timed(stage: str) -> None:
         nonlocal clock
-        report.timings[f"{stage}_s"], clock = round(time.time() - clock, 2), time.time()
+        seconds[f"{stage}_s"], clock = round(time.time() - clock, 2), time.time()
 
     raw = snapshot.fetch(spark, folder, payload=[spec.to_filter_params()], dataset_id=dataset_id, client=client)
     timed("fetch")
@@ -56,9 +56,7 @@ def run(
     met = met.select("ord", validation.enriched(F.col("record"), F.col("_p")).alias("record"), "present", problems.alias("reasons"))
     met = seen.watch(met, {"file_present": F.col("present"), "probe_valid": F.size("reasons") == 0}, reasons="reasons", kinds=validation.FILE_REASONS)
     good = checkpoint(met.filter(F.size("reasons") == 0).select("ord", "record"))
-    counts = seen.counts()
-    report.fetched, report.schema_valid, report.file_present, report.probe_valid = (counts[k] for k in ("fetched", "schema_valid", "file_present", "probe_valid"))
-    report.add_reasons(seen.reasons())
+    counts, reasons = seen.counts(), seen.reasons()
     timed("probe")
 
     size = (F.coalesce(F.col("record.width"), F.lit(0)) * F.coalesce(F.col("record.height"), F.lit(0))).alias("quality")
@@ -70,10 +68,10 @@ def run(
     Path(out).mkdir(parents=True, exist_ok=True)
     write, target = (manifest.write_shards, f"{out}/manifest") if sharded else (manifest.write_manifest, f"{out}/manifest.jsonl")
     head = write(kept, target, dataset_name=f"{scenario}_web", version=version or time.strftime("v%Y%m%d"))
-    report.unique = report.training_ready = head["n_samples"]  # the tasks that write have counted
-    if report.probe_valid:
-        report.reject_reasons["near_duplicate"] = report.probe_valid - report.unique
+    counts |= {"unique": head["n_samples"], "training_ready": head["n_samples"]}  # the tasks that write have counted
+    if counts["probe_valid"]:
+        reasons["near_duplicate"] = counts["probe_valid"] - counts["unique"]
     timed("dedup")
-    told = report.as_dict(head) | ({"cost_per_usable_clip": report.cost_per_usable_clip(total_cost)} if total_cost else {})
-    Path(f"{out}/report.json").write_text(json.dumps(told, ensure_ascii=False, indent=2), encoding="utf-8")
+    report = summary(counts, reasons, seconds, head) | ({"cost_per_usable_clip": per(total_cost, counts["training_ready"], float("inf"))} if total_cost else {})
+    Path(f"{out}/report.json").write_text(json.dumps(report, ensure_ascii=False, indent=2), encoding="utf-8")
     return report

@@ -566,17 +566,12 @@ _SQL_FLOW = "SELECT count(*) AS fetched, count(*) FILTER (event_type <> 'error')
 
 @query(f"SELECT stage, n, coalesce(n / nullif(fetched, 0)::DOUBLE, 0) AS share FROM ({_SQL_FLOW}), (VALUES ('fetched'), ('schema_valid'), ('file_present'), ('probe_valid'), ('unique'), ('training_ready')) AS v(stage), LATERAL (SELECT CASE stage WHEN 'fetched' THEN fetched WHEN 'schema_valid' THEN schema_valid WHEN 'probe_valid' THEN probe_valid WHEN 'training_ready' THEN training_ready ELSE 0 END::BIGINT AS n)")
 def stage_shares(spark, sf_dir):
-    found = report.YieldReport.of(yield_funnel(spark, sf_dir).first())
-    return spark.createDataFrame(found.stages(), "stage string, n long, share double")
+    return report.shares(yield_funnel(spark, sf_dir)).drop("place")
 
 
 @query(f"SELECT (row_number() OVER (ORDER BY n DESC, reason))::INT AS rank, reason, n FROM ({ORACLES['merged_reasons']})")
 def ranked_reasons(spark, sf_dir):
-    found = report.YieldReport()
-    for part in (reject_histogram(spark, sf_dir), label_reject_histogram(spark, sf_dir)):
-        found.add_reasons({r.reason: r.n for r in part.collect()})  # one row for each kind of reason
-    found.reject_reasons = dict(sorted(found.reject_reasons.items()))
-    return spark.createDataFrame([(i + 1, *x) for i, x in enumerate(found.ranked_reasons())], "rank int, reason string, n long")
+    return report.ranked(report.merged(reject_histogram(spark, sf_dir), label_reject_histogram(spark, sf_dir)))
 
 
 def _measured(spark, sf_dir) -> DataFrame:

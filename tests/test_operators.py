@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelspark.functions.taxonomy import WAREHOUSE
-from reelspark.operators import labelling, manifest, media, near_duplicates, validation
-from reelspark.operators.report import YieldReport
+from reelspark.operators import labelling, manifest, media, near_duplicates, report, validation
 
 GOOD = {"scenario_type": "warehouse_pick_and_place", "env_context": "industrial_warehouse", "camera_pov": "third_person", "actions": ["reach", "grasp", "lift", "place"], "start_ms": 5200, "end_ms": 19800, "fps": 30, "source_url": "https://example.com/v/abc"}
 
@@ -201,13 +200,18 @@ def test_manifest(spark, tmp_path):
     assert manifest.write_manifest(clips.limit(0), path, dataset_name="d", version="v")["n_samples"] == 0
 
 
-def test_report():
-    report = YieldReport(fetched=10, schema_valid=5, training_ready=4, reject_reasons={"a": 1, "b": 0, "c": 3})
-    report.add_reasons({"a": 1})
-    assert report.usable_yield == 0.4 and report.cost_per_usable_clip(2) == 0.5 and YieldReport().cost_per_usable_clip(1) == float("inf")
-    assert report.ranked_reasons() == [("c", 3), ("a", 2)] and report.stages()[1] == ("schema_valid", 5, 0.5)
-    assert YieldReport(discovered=9, labeled=4).stages()[1][2] == 1.0 and "usable yield" in report.render()
-    assert report.as_dict({})["funnel"]["usable_yield"] == 0.4
+def test_report(spark):
+    told = report.summary({"fetched": 10, "schema_valid": 5, "training_ready": 4}, {"a": 2, "b": 0, "c": 3}, {"fetch_s": 1.0}, {"n_samples": 4})
+    assert told["funnel"] == {"fetched": 10, "schema_valid": 5, "file_present": 0, "probe_valid": 0, "unique": 0, "training_ready": 4, "usable_yield": 0.4}
+    assert report.per(2, 4, float("inf")) == 0.5 and report.per(1, 0, float("inf")) == float("inf") and report.summary({}, {}, {}, {})["funnel"]["usable_yield"] == 0
+    lines = report.rendered(told).splitlines()
+    assert lines[0].split() == ["fetched", "10", "100.0%"] and lines[6].split() == ["usable", "yield", "40.0%"] and [x.split() for x in lines[7:]] == [["c", "3"], ["a", "2"]]
+    one = spark.createDataFrame([(10, 5, 4)], "fetched long, schema_valid long, training_ready long")
+    assert [tuple(r)[1:] for r in report.shares(one).orderBy("place").collect()][:2] == [("fetched", 10, 1.0), ("schema_valid", 5, 0.5)]
+    searched = spark.createDataFrame([(9, 4)], "discovered long, labeled long")
+    assert [tuple(r)[1:] for r in report.shares(searched).orderBy("place").collect()][:3] == [("discovered", 9, 2.25), ("labeled", 4, 1.0), ("schema_valid", 0, 0.0)]
+    part = spark.createDataFrame([("a", 1), ("b", 0), ("c", 3)], "reason string, n long")
+    assert sorted(map(tuple, report.ranked(report.merged(part, part.filter("reason = 'a'"))).collect())) == [(1, "c", 3), (2, "a", 2)]
 
 
 def test_bands_grow_with_the_rows():

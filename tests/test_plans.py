@@ -4,6 +4,7 @@ import time
 import pytest
 
 from reelspark.functions.taxonomy import WAREHOUSE
+from reelspark.operators import manifest
 from reelspark.plans import curation, discovery
 from reelspark.sources import records, snapshot
 from reelspark.streaming import clips as stream
@@ -135,11 +136,12 @@ def test_curation(spark, tmp_path):
         rows.append(GOOD | {"video_uri": str(path), "source_url": f"https://e/{i}"} | ({"fps": 5} if i == 7 else {}))
     (tmp_path / records.RESPONSE).write_text(json.dumps(rows))
     report = curation.run(spark, str(tmp_path), str(tmp_path / "out"), tool=tool, total_cost=1.0, version="v1")
-    assert [report.fetched, report.schema_valid, report.file_present, report.probe_valid, report.unique] == [8, 7, 6, 3, 2]
-    assert report.reject_reasons == {"fps_too_low": 1, "resolution_too_low": 1, "duration_mismatch": 1, "probe_failed": 1, "file_missing": 1, "near_duplicate": 1}
+    assert [report["funnel"][k] for k in ("fetched", "schema_valid", "file_present", "probe_valid", "unique")] == [8, 7, 6, 3, 2]
+    assert report["reject_reasons"] == {"fps_too_low": 1, "resolution_too_low": 1, "duration_mismatch": 1, "probe_failed": 1, "file_missing": 1, "near_duplicate": 1}
     lines = [json.loads(x) for x in (tmp_path / "out/manifest.jsonl").read_text().splitlines()]
     assert [x["source_url"] for x in lines[1:]] == ["https://e/1", "https://e/2"] and len(lines[1]["phash"]) == 16 and lines[1]["height"] == 720
     told = json.loads((tmp_path / "out/report.json").read_text())
+    assert told == report
     assert told["funnel"]["usable_yield"] == 0.25 and told["cost_per_usable_clip"] == 0.5
 
 
@@ -152,7 +154,7 @@ def test_discovery_then_curation(spark, tmp_path):
     assert [r["source_url"] for r in rows] == ["https://y/1", "https://y/2"] and rows[0]["start_ms"] == 0 and rows[0]["_label_source"] == "inferred_from_text"
     done = curation.run(spark, str(tmp_path / "found"), str(tmp_path / "out"), relaxed=True, tool=tool)
     # without a download the path is empty, which stands for the working folder: there, but no video
-    assert (done.fetched, done.schema_valid, done.file_present, done.probe_valid) == (2, 2, 2, 0)
+    assert [done["funnel"][k] for k in ("fetched", "schema_valid", "file_present", "probe_valid")] == [2, 2, 2, 0]
 
 
 def test_stream_lets_an_id_through_once(spark, tmp_path):
@@ -185,7 +187,7 @@ def test_a_given_client_is_used(spark, tmp_path, monkeypatch):
     rows = [json.loads(r.raw) for r in snapshot.collect(spark, "d", [{}], client=own).orderBy("ord").collect()]
     assert [r["asked"] for r in rows] == ["snap-d-1-None"] * 2
     report = curation.run(spark, str(tmp_path), str(tmp_path / "out"), dataset_id="d", client=own, tool=tool)
-    assert [report.fetched, report.schema_valid, report.unique] == [2, 1, 1]
+    assert [report["funnel"][k] for k in ("fetched", "schema_valid", "unique")] == [2, 1, 1]
     tube = {"url": "https://y/1", "video_length": 120, "title": "Warehouse robot arm grasp", "fps": 25}
     shown = []
     found = discovery.run(spark, str(tmp_path), str(tmp_path / "found"), client=OwnClient([tube, tube | {"url": ""}]), platforms=("youtube",), show=shown.append)
@@ -196,3 +198,15 @@ def test_a_given_client_is_used(spark, tmp_path, monkeypatch):
 def test_an_empty_catalogue(spark):
     assert snapshot.catalogue(records.offline_datasets(spark).limit(0)) == "(no datasets)"
     assert len(snapshot.catalogue(records.offline_datasets(spark)).splitlines()) > 2
+
+
+def test_curation_by_a_listing_into_shards(spark, tmp_path):
+    ms = GOOD["end_ms"] - GOOD["start_ms"]
+    (tmp_path / "files").mkdir()
+    (tmp_path / "files/a.mp4").write_text(f"720 {ms} 30 a")
+    rows = [GOOD | {"video_uri": name, "source_url": f"https://e/{name}"} for name in (f"{tmp_path}/files/a.mp4", "none.mp4")]
+    (tmp_path / records.RESPONSE).write_text(json.dumps(rows))
+    report = curation.run(spark, str(tmp_path), str(tmp_path / "out"), tool=tool, version="v1", video_folder=str(tmp_path / "files"), sharded=True)
+    assert [report["funnel"][k] for k in ("schema_valid", "file_present", "training_ready")] == [2, 1, 1] and report["reject_reasons"] == {"file_missing": 1, "near_duplicate": 0}
+    data = manifest.ClipDataset(str(tmp_path / "out/manifest"))
+    assert len(data) == 1 and data[0]["video_uri"] == f"{tmp_path}/files/a.mp4" and report["manifest_header"]["n_samples"] == 1
