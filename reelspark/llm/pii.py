@@ -250,7 +250,9 @@ def _elsewhere(canon: Column, form: Column, drawn: Column, attempt: Column) -> C
     keep = rf"^(?:{STREETS}|{STREET_WORDS}|{PARTICLES}|[ldLD]['’])$"
 
     def token(x: Column, i: Column) -> Column:
-        own = F.sha2(F.concat(drawn, i.cast("string")), 256)
+        return _bound(F.sha2(F.concat(drawn, i.cast("string")), 256), lambda own: of(x, own))
+
+    def of(x: Column, own: Column) -> Column:
         name = _syllables(own, 2 + attempt, "latin")
         digits = F.concat((F.conv(F.substring(own, 1, 3), 16, 10).cast("int") % 9 + 1).cast("string"), F.array_join(F.transform(F.sequence(F.lit(2), F.lit(5)), lambda k: (F.conv(F.substring(own, k * 3, F.lit(3)), 16, 10).cast("int") % 10).cast("string")), ""))
         end = F.regexp_extract(x, rf"({STREET_ENDS})$", 1)
@@ -346,8 +348,9 @@ def attempts(entities: DataFrame, key: str) -> DataFrame:
     drawn = distinct.withColumn("attempt", F.lit(0))
     while True:
         made = surrogate(key, F.col("kind"), F.col("canon"), F.col("attempt"), F.col("form"))
-        image = F.when(F.col("kind") == "given", F.concat(F.split_part("canon", F.lit(" "), F.lit(1)), F.lit(" "), F.lower(made))).otherwise(_canon(F.col("kind"), made))
-        seen = drawn.withColumn("image", image)
+        gender = F.split_part("canon", F.lit(" "), F.lit(1))
+        image = lambda x: F.when(F.col("kind") == "given", F.concat(gender, F.lit(" "), F.lower(x))).otherwise(_canon(F.col("kind"), x))
+        seen = drawn.withColumn("image", _bound(made, image))
         first = seen.groupBy("kind", "image").agg(F.min_by("canon", F.struct("attempt", "canon")).alias("first"), F.count("*").alias("n"))
         clash = first.join(taken, ["kind", "image"], "left").filter((F.col("n") > 1) | F.col("is_entity"))
         losers = seen.join(clash, ["kind", "image"]).filter(F.col("is_entity").isNotNull() | (F.col("canon") != F.col("first"))).select("kind", "canon", F.lit(1).alias("again"))
@@ -390,17 +393,19 @@ def replace_entities(df: DataFrame, key: str, *, id_col: str = "doc_id", text_co
         attempt = lambda kind, canon: F.lit(0)
 
     def made_of(x: Column) -> Column:
-        def part(kind: str, canon: Column, form: Column, make) -> Column:
-            n = attempt(F.lit(kind), canon)
+        def part(kind: str, canon: Column, form: Column, n: Column, make) -> Column:
             return _bound(_draw(key, F.lit(kind), canon, n, "entity"), lambda drawn: make(canon, form, drawn, n))
 
         title = F.regexp_extract(x["form"], rf"^({_TITLE})", 1)
-        given = F.when(x["given"] == "", F.lit("")).otherwise(F.concat(part("given", x["given_canon"], x["given"], _given), F.lit(" ")))
-        other = surrogate(key, x["kind"], x["canon"], attempt(x["kind"], x["canon"]), x["form"])
-        return F.when(x["kind"] == "name", F.concat(title, given, part("surname", x["canon"], x["surname"], _surname))).otherwise(other)
-
-    keep = [c for c in cut.columns if c not in ("_again", "_row")]
-    made = settled(cut, keep, _made=F.transform("_found", made_of))
+        given = F.when(x["given"] == "", F.lit("")).otherwise(F.concat(part("given", x["given_canon"], x["given"], x["given_draws"], _given), F.lit(" ")))
+        other = surrogate(key, x["kind"], x["canon"], x["draws"], x["form"])
+        return F.when(x["kind"] == "name", F.concat(title, given, part("surname", x["canon"], x["surname"], x["draws"], _surname))).otherwise(other)
+
+    keep = [c for c in cut.columns if c not in ("_again", "_row", "_found")]
+    # draws are looked up once, and not wherever an entity's expressions have them
+    kind = lambda x: F.when(x["kind"] == "name", F.lit("surname")).otherwise(x["kind"])
+    counted = settled(cut, keep, _found=F.transform("_found", lambda x: F.struct(*[x[c].alias(c) for c in ("form", "kind", "canon", "surname", "given", "given_canon")], attempt(kind(x), x["canon"]).alias("draws"), attempt(F.lit("given"), x["given_canon"]).alias("given_draws"))))
+    made = settled(counted, [*keep, "_found"], _made=F.transform("_found", made_of))
     joined = F.array_join(F.flatten(F.transform("_pieces", lambda piece, i: F.array(piece, F.coalesce(F.get("_made", i), F.lit(""))))), "")
     text = F.when(F.col(text_is).isNull() | (F.size("_found") == 0), F.col(text_is)).otherwise(joined)
     return made.select(
