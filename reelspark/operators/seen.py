@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from reelspark.functions.perceptual import FRAMES, distance
 from reelspark.operators.components import connected_components
 from reelspark.operators.lineage import checkpoint
-from reelspark.operators.near_duplicates import around, banding, in_bands, links, winners
+from reelspark.operators.near_duplicates import PLAIN, around, banding, in_bands, in_pieces, links, pieces, winners
 
 #: Tables: their columns, and those that they are bucketed by.
 TABLES = {
@@ -38,8 +38,10 @@ class SeenClips:
 
     def __init__(self, spark: SparkSession, path: str, *, expected_rows: float = 1e6, threshold: float = 8.0, n: int = FRAMES, buckets: int = 16):
         self.spark, self.path, self.n, self.most_bits = spark, path.rstrip("/"), n, int(threshold * n)
-        self.bands, far, near = banding(expected_rows, 64 * n, self.most_bits)
-        self.reach = far + near  # the index holds values as they are, a batch looks up all that are near its own
+        self.pieces = pieces([(1 << 64) - 1] * n, self.most_bits) if expected_rows <= PLAIN else []
+        if not self.pieces:
+            self.bands, far, near = banding(expected_rows, 64 * n, self.most_bits)
+            self.reach = far + near  # the index holds values as they are, a batch looks up all that are near its own
         self.names = {t: f"seen_{t}_{uuid.uuid4().hex}" for t in TABLES}
         for table, (columns, by) in TABLES.items():
             spark.sql(f"CREATE TABLE {self.names[table]} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{self.path}/{table}'")
@@ -80,9 +82,7 @@ class SeenClips:
         met = sigs.join(held, (sigs["key"] == held["key"]) & (sigs["sig"] == held["_sig"]), "left").select(sigs["key"], "sig", "own", "node")
         met = checkpoint(met)
         new = met.filter("node is null").select("key", "sig", F.col("own").alias("ord"))
-        own = in_bands(new, self.n, self.bands, "sig")
-        probes = around(own, self.n, self.bands, self.reach).select("band", "value", F.col("ord").alias("a"), F.col("sig").alias("_a"))
-        near = probes.join(self.table("bands"), ["band", "value"]).filter(distance(F.col("_a"), F.col("sig"), self.n) <= self.most_bits).select("a", F.col("node").alias("b"))
+        own, near = self._met(new)
         # of a crowd that is linked already, each new signature needs one
         groups = connected_components(self.table("links")).withColumnRenamed("node", "b")
         near = near.join(groups, "b", "left").groupBy("a", F.coalesce("component", "b").alias("group")).agg(F.min("b").alias("b")).select("a", "b")
@@ -97,6 +97,20 @@ class SeenClips:
         store.create(where, False).close()
         return True
 
+    def _met(self, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows of the bands of new (ord, sig) rows, and the links (a, b) from new to held nodes that those find."""
+        is_near = distance(F.col("_a"), F.col("sig"), self.n) <= self.most_bits
+        if not self.pieces:
+            own = in_bands(new, self.n, self.bands, "sig")
+            probes = around(own, self.n, self.bands, self.reach).select("band", "value", F.col("ord").alias("a"), F.col("sig").alias("_a"))
+            return own, probes.join(self.table("bands"), ["band", "value"]).filter(is_near).select("a", F.col("node").alias("b"))
+        own = in_pieces(new, self.pieces, "ord", "sig")
+        probes = own.select("band", "value", F.col("ord").alias("a"), F.col("sig").alias("_a"), F.get("sig", F.col("word")).alias("_hash"), "share")
+        word = F.get(F.array(*[F.lit(i) for i, *_ in self.pieces]), F.col("band"))
+        held = self.table("bands").withColumn("hash", F.get("sig", word))
+        share = F.bit_count(F.col("_hash").bitwiseXOR(F.col("hash"))) <= F.col("share")  # of the one hash first, which nearly all that meet by chance fail
+        return own, probes.join(held, ["band", "value"]).filter(share).filter(is_near).select("a", F.col("node").alias("b"))
+
     def winners(self) -> DataFrame:
         """(ord, cluster, keep) of all clips that count, as of one batch with all of them."""
         clips, groups = self.table("clips"), connected_components(self.table("links"))

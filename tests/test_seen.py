@@ -38,3 +38,17 @@ def test_batches_give_the_winners_of_one(spark, tmp_path):
     plan = df.limit(3).join(index.table("ids").hint("merge"), "clip_id", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan  # the index comes to the join as it lies
     index.close()
+
+
+def test_a_batch_shuffles_few_keys_a_row(spark, tmp_path):
+    """A new signature meets the index under one key more than the bits that may differ, not under all values near its bands."""
+    rng = random.Random(6)
+    rows = [(i, f"clip_{i}", [rng.getrandbits(63) for _ in range(5)], 1.0) for i in range(600)]
+    df = spark.createDataFrame(rows, "ord long, clip_id string, sig array<long>, quality double").coalesce(1)
+    written = lambda: sum(s.shuffleWriteRecords() for s in (lambda all_: [all_.apply(i) for i in range(all_.size())])(spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)))
+    index = SeenClips(spark, str(tmp_path / "seen"), expected_rows=1e5, buckets=4)
+    assert index.add(df.filter("ord < 300"), "b0")
+    before = written()
+    assert index.add(df.filter("ord >= 300"), "b1")
+    assert written() - before < 300 * 150
+    index.close()
