@@ -9,6 +9,10 @@ of one text is nearest to that text), and for each text its nearest one. The van
 trees add what differs in 3 bits at most. Candidates are as many as the texts, not as
 the pairs; each is verified on the whole sets, and verified ones are linked.
 
+What those leave out is found by prefixes: of two sets with so much in common, one
+shingle at least is among the first of both, in an order for all sets that has common
+shingles last. Under such shingles only nodes of groups that aren't linked yet meet.
+
 Texts of one set are one node from the start. Buckets of more than SPLIT nodes are dealt
 out by salt, and have one centre nevertheless, out of sums over all of their bits.
 """
@@ -33,9 +37,19 @@ BANDS, ROWS = 10, 4
 SPLIT = 1 << 14
 #: Nearest fingerprints that differ in more bits aren't candidates: at a similarity of 0.8, 1 of 10,000 pairs of long texts does.
 MOST_BITS = 22
+#: Of one text in so many, shingles are counted for the order of prefixes; from how many on they are common; how many common ones are told apart at most.
+COUNTED, COMMON, MOST_COMMON = 16, 4, 1 << 17
+#: Nodes to compare that are sent to all tasks at most.
+FEW = 200_000
+#: Candidates by prefixes are compared by so many bits before their sets are.
+PARITY_BITS = 2048
 _FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
+def set_hash(distinct: np.ndarray) -> int:
+    return int(np.bitwise_xor.reduce(mixed(mixed(distinct) + np.uint64(len(distinct)))))
+
+
 def sketch(hashes: np.ndarray) -> tuple[int, int, np.ndarray]:
     """(fingerprint, hash of the set, band hashes) of a text's shingle hashes; no shingles have no bands."""
     distinct = np.unique(hashes)
@@ -48,7 +62,7 @@ def sketch(hashes: np.ndarray) -> tuple[int, int, np.ndarray]:
     bands = np.zeros(BANDS, np.uint64)
     for row in range(ROWS):
         bands = mixed(bands + least.reshape(BANDS, ROWS)[:, row])
-    return print_of(hashes), int(np.bitwise_xor.reduce(mixed(told + np.uint64(len(told))))), mixed(bands + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+    return print_of(hashes), set_hash(distinct), mixed(bands + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 def similar(one: np.ndarray, two: np.ndarray, similarity: float) -> bool:
@@ -122,27 +136,103 @@ def _met(nodes: DataFrame) -> DataFrame:
     return own.unionByName(spokes).distinct()
 
 
-def near_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """(_id, _hash, component_id, _component) of every row of df; _hash: of its text.
+def prefix(shingles: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set (sorted): any set that has so much in common with it has one of them among its own first.
 
-    Texts link if of all the shingles that either has, both have so large a part; rows
-    of one id link as well. component_id: the smallest id reachable, null where no row
-    has one; _component tells components without an id apart. Texts that are null or
-    have no words are one set; texts of fewer words than a shingle are one shingle.
-    Repeated rows stay; an empty df gives no rows; other columns are not read.
+    The order is the same for all sets; common ones (sorted, with their counts) are last.
     """
-    rows = checkpoint(_sketches(df, id_col, text_col, shingle))
-    nodes = checkpoint(rows.groupBy("_node").agg(F.first("_print").alias("_print"), F.first("_bands").alias("_bands")))
-    # trees link numbers; a number here is a fingerprint, and stands for the least of its nodes
-    same = nodes.groupBy("_print").agg(F.min("_node").alias("_least"))
-    apart = nodes.join(same, "_print").filter("_node <> _least").select(F.col("_least").alias("a"), F.col("_node").alias("b"))
-    near = links(checkpoint(same.select(F.col("_print").alias("_node"), "_print")))
-    named = lambda c: same.select(F.col("_print").alias(c), F.col("_least").alias(f"_{c}"))
-    close = near.join(named("a"), "a").join(named("b"), "b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
-    pairs = checkpoint(_met(nodes).unionByName(apart).unionByName(close).distinct())
+    least = int(np.ceil(similarity * len(shingles) - 1e-6))
+    weight = np.zeros(len(shingles), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        weight = np.where(common[at] == shingles, counts[at], 0)
+    return shingles[np.lexsort((mixed(shingles), weight))[: len(shingles) - least + 1]]
+
+
+def parity(shingles: np.ndarray) -> bytes:
+    """PARITY_BITS bits, each the parity of how many shingles fall to it: those of two sets differ in no more bits than the sets in shingles."""
+    at = (mixed(shingles ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(PARITY_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=PARITY_BITS) & 1).astype(np.uint8)).tobytes()
+
+
+def meetings(shingles: np.ndarray, groups_: np.ndarray, sizes: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of rows, sorted by shingle and group, that have a shingle but no group in common and sizes near enough."""
+    cuts = np.flatnonzero(np.diff(shingles, prepend=~shingles[:1], append=~shingles[-1:]))
+    several = np.flatnonzero((np.diff(cuts) > 1) & (groups_[cuts[:-1]] != groups_[cuts[1:] - 1]))
+    for k in several:
+        start, stop = cuts[k], cuts[k + 1]
+        step = max(1, (1 << 20) // int(stop - start))
+        for i in range(start, stop, step):
+            own, rest = slice(i, min(i + step, stop)), slice(i, stop)
+            one, two = sizes[own, None], sizes[None, rest]
+            met = (groups_[own, None] != groups_[None, rest]) & (np.minimum(one, two) >= similarity * np.maximum(one, two) - 1e-6)
+            a, b = np.nonzero(met)
+            yield a[a < b] + i, b[a < b] + i
+
+
+def _left_out(texts: DataFrame, grouped: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Candidates (a, b), nodes of different groups of grouped (_node, _group), out of the prefixes of texts (_text)."""
+    schema = "_key long, _size int, _parity binary, _prefix array<long>"
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in slices(batches, 0, BATCH_BYTES):
+            for x in some.column(0).to_pylist():
+                yield pa.record_batch([pa.array(np.unique(shingle_hashes(x.encode(), shingle)).view(np.int64))], ["_shingle"])
+
+    part = texts.filter(F.pmod(F.xxhash64("_text"), F.lit(COUNTED)) == 0).distinct()
+    often = part.mapInArrow(released(counted), "_shingle long").groupBy("_shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "_shingle").limit(MOST_COMMON).collect()
+    common, counts = np.array([r[0] for r in often], np.int64).view(np.uint64), np.array([r[1] for r in often], np.int64)
+    order = np.argsort(common)
+    common, counts = common[order], counts[order]
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in slices(batches, 0, BATCH_BYTES):
+            sets = [np.unique(shingle_hashes(x.encode(), shingle)) for x in some.column(0).to_pylist()]
+            sets = [x for x in sets if len(x)]
+            told = [prefix(x, common, counts, similarity).view(np.int64) for x in sets]
+            keys = pa.array(np.array([set_hash(x) for x in sets], np.uint64).view(np.int64))
+            yield pa.record_batch([keys, pa.array([len(x) for x in sets], pa.int32()), pa.array([parity(x) for x in sets], pa.binary()), pa.array(told, pa.list_(pa.int64()))], ["_key", "_size", "_parity", "_prefix"])
+
+    named = grouped.select("_node", F.xxhash64("_group").alias("_group"), F.conv(F.substring("_node", 17, 16), 16, -10).cast("long").alias("_key"))
+    own = checkpoint(texts.mapInArrow(released(firsts), schema).groupBy("_key").agg(*[F.first(c).alias(c) for c in ("_size", "_parity", "_prefix")]))
+    rows = own.join(named.groupBy("_key").agg(F.min("_group").alias("_group")), "_key").select(F.explode("_prefix").alias("_shingle"), "_group", "_size", "_key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            if len(columns[0]):
+                for a, b in meetings(columns[0], columns[1], columns[2], similarity):
+                    yield pa.record_batch([pa.array(columns[3][a]), pa.array(columns[3][b])], ["a", "b"])
+
+        held = [np.zeros(0, np.int64)] * 4
+        for batch in batches:
+            if batch.num_rows:
+                columns = [np.concatenate(x) for x in zip(held, [c.to_numpy() for c in batch.columns])]
+                cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last shingle may go on in the next batch
+                held = [c[cut:] for c in columns]
+                yield from told([c[:cut] for c in columns])
+        yield from told(held)
+
+    met = rows.repartition("_shingle").sortWithinPartitions("_shingle", "_group").mapInArrow(released(run), "a long, b long")
+    keys = checkpoint(met.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).distinct())
+    of = lambda c: named.join(own, "_key").select(F.col("_key").alias(f"_{c}"), F.col("_node").alias(c), F.col("_size").alias(f"_size_{c}"), F.col("_parity").alias(f"_parity_{c}"))
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in batches:
+            if some.num_rows:
+                one, two = (np.frombuffer(b"".join(some.column(i).to_pylist()), np.uint64).reshape(some.num_rows, -1) for i in (3, 5))
+                both = some.column(2).to_numpy() + some.column(4).to_numpy()
+                fine = np.bitwise_count(one ^ two).sum(axis=1) <= (1 - similarity) / (1 + similarity) * both + 1e-6
+                yield pa.record_batch(some.columns[:2], ["a", "b"]).filter(pa.array(fine))
+
+    return keys.join(of("a"), "_a").join(of("b"), "_b").select("a", "b", "_size_a", "_parity_a", "_size_b", "_parity_b").mapInArrow(close, "a string, b string")
+
+
+def _fine(df: DataFrame, rows: DataFrame, pairs: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """Those of the candidates (a, b) whose whole sets have so much in common; rows: of _sketches(df)."""
     asked = checkpoint(pairs.select(F.col("a").alias("_node")).unionByName(pairs.select(F.col("b").alias("_node"))).distinct())
     # the sets of those that are compared, each once: of a node, the text of its least row
-    told = rows.join(asked, "_node").groupBy("_node").agg(F.min("_hash").alias("_hash"))
+    told = checkpoint(rows.join(asked, "_node").groupBy("_node").agg(F.min("_hash").alias("_hash")))
+    told = F.broadcast(told) if told.count() <= FEW else told  # all texts are shuffled only for many
     texts = df.select(F.xxhash64(text_of(text_col)).alias("_hash"), text_of(text_col).alias("_text"))
     wanted = texts.join(told, "_hash").select("_node", "_text")
 
@@ -158,10 +248,34 @@ def near_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
             fine = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similarity) for x, y in zip(some.column(2).to_pylist(), some.column(3).to_pylist())]
             yield pa.record_batch(some.columns[:2], ["a", "b"]).filter(pa.array(fine, pa.bool_()))
 
-    fine = both.select("a", "b", "_one", "_two").mapInArrow(released(verified), "a string, b string")
+    return both.select("a", "b", "_one", "_two").mapInArrow(released(verified), "a string, b string")
+
+
+def near_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """(_id, _hash, component_id, _component) of every row of df; _hash: of its text.
+
+    Texts link if of all the shingles that either has, both have so large a part; rows
+    of one id link as well. component_id: the smallest id reachable, null where no row
+    has one; _component tells components without an id apart. Texts that are null or
+    have no words are one set; texts of fewer words than a shingle are one shingle.
+    Repeated rows stay; an empty df gives no rows; other columns are not read.
+    """
+    rows = checkpoint(_sketches(df, id_col, text_col, shingle))
+    nodes = checkpoint(rows.groupBy("_node").agg(F.first("_print").alias("_print"), F.first("_bands").alias("_bands")))
+    # trees link numbers; a number here is a fingerprint, and stands for the least of its nodes
+    same = nodes.groupBy("_print").agg(F.min("_node").alias("_least"))
+    apart = nodes.join(same, "_print").filter("_node <> _least").select(F.col("_least").alias("a"), F.col("_node").alias("b"))
+    near = links(checkpoint(same.select(F.col("_print").alias("_node"), "_print")))
+    named = lambda c: same.select(F.col("_print").alias(c), F.col("_least").alias(f"_{c}"))
+    close = near.join(named("a"), "a").join(named("b"), "b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+    pairs = checkpoint(_met(nodes).unionByName(apart).unionByName(close).distinct())
     several = rows.filter("_id is not null").groupBy("_id").agg(F.min("_node").alias("_least"), F.max("_node").alias("_most")).filter("_least <> _most").select("_id", "_least")
     shared = rows.join(several, "_id").filter("_node <> _least").select(F.col("_least").alias("a"), F.col("_node").alias("b")).distinct()
-    found = checkpoint(connected_components(fine.unionByName(shared))).withColumnRenamed("node", "_node")
+    linked = checkpoint(_fine(df, rows, pairs, text_col, shingle, similarity).unionByName(shared))
+    known = nodes.select("_node").join(connected_components(linked).withColumnRenamed("node", "_node"), "_node", "left")
+    grouped = checkpoint(known.select("_node", F.coalesce("component", "_node").alias("_group")))
+    more = checkpoint(_left_out(df.select(text_of(text_col).alias("_text")), grouped, shingle, similarity))
+    found = checkpoint(connected_components(linked.unionByName(_fine(df, rows, more, text_col, shingle, similarity)))).withColumnRenamed("node", "_node")
     labelled = rows.select("_id", "_hash", "_node").join(found, "_node", "left").select("_id", "_hash", F.coalesce("component", "_node").alias("_component"))
     least = labelled.groupBy("_component").agg(F.min("_id").alias("component_id"))
     return labelled.join(least, "_component").select("_id", "_hash", "component_id", "_component")

@@ -81,3 +81,30 @@ def test_little(spark):
     assert near_copies.near_copies(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     rows = near_copies.near_copies(spark.createDataFrame([(2, "word " * 60_000), (1, "word " * 60_001), (None, None)], "doc_id long, text string")).collect()
     assert sorted((r._id or 0, r.component_id) for r in rows) == [(0, None), (1, 1), (2, 1)]
+
+def test_pairs_that_buckets_and_trees_leave_out(spark, monkeypatch):
+    """All links at the threshold, whatever minimum hashes and fingerprints bring together, against all pairs."""
+    from reelspark.llm.simhash import shingle_hashes
+
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    texts = []
+    for i in range(60):
+        base = rng.choices(words, k=rng.randint(8, 120)) + "a line that many of them have in the end".split() * (i % 3 == 0)
+        texts.append(" ".join(base))
+        for edits in range(1, 5):
+            near = list(base)
+            for at in rng.sample(range(len(near)), min(edits, len(near))):
+                near[at] = rng.choice(words)
+            texts.append(" ".join(near))
+    sets = [set(shingle_hashes(t.encode(), 5).tolist()) for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9 and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(near_copies, "_met", lambda nodes: nodes.select(nodes["_node"].alias("a"), nodes["_node"].alias("b")).limit(0))
+    found = {r._id: r.component_id for r in near_copies.near_copies(df).collect()}
+    assert [found[i] for i in range(len(texts))] == group and len(set(group)) < len(texts) - 50
