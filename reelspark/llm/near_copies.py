@@ -170,9 +170,9 @@ def meetings(shingles: np.ndarray, groups_: np.ndarray, sizes: np.ndarray, simil
             yield a[a < b] + i, b[a < b] + i
 
 
-def _left_out(texts: DataFrame, grouped: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Candidates (a, b), nodes of different groups of grouped (_node, _group), out of the prefixes of texts (_text)."""
-    schema = "_key long, _size int, _parity binary, _prefix array<long>"
+def _left_out(texts: DataFrame, rows_: DataFrame, grouped: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Candidates (a, b), nodes of different groups of grouped (_node, _group), out of the prefixes of texts (_text); rows_: of _sketches()."""
+    schema = "_key long, _size int, _prefix array<long>"
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in slices(batches, 0, BATCH_BYTES):
@@ -191,10 +191,10 @@ def _left_out(texts: DataFrame, grouped: DataFrame, shingle: int, similarity: fl
             sets = [x for x in sets if len(x)]
             told = [prefix(x, common, counts, similarity).view(np.int64) for x in sets]
             keys = pa.array(np.array([set_hash(x) for x in sets], np.uint64).view(np.int64))
-            yield pa.record_batch([keys, pa.array([len(x) for x in sets], pa.int32()), pa.array([parity(x) for x in sets], pa.binary()), pa.array(told, pa.list_(pa.int64()))], ["_key", "_size", "_parity", "_prefix"])
+            yield pa.record_batch([keys, pa.array([len(x) for x in sets], pa.int32()), pa.array(told, pa.list_(pa.int64()))], ["_key", "_size", "_prefix"])
 
     named = grouped.select("_node", F.xxhash64("_group").alias("_group"), F.conv(F.substring("_node", 17, 16), 16, -10).cast("long").alias("_key"))
-    own = checkpoint(texts.mapInArrow(released(firsts), schema).groupBy("_key").agg(*[F.first(c).alias(c) for c in ("_size", "_parity", "_prefix")]))
+    own = texts.mapInArrow(released(firsts), schema).groupBy("_key").agg(F.first("_size").alias("_size"), F.first("_prefix").alias("_prefix"))
     rows = own.join(named.groupBy("_key").agg(F.min("_group").alias("_group")), "_key").select(F.explode("_prefix").alias("_shingle"), "_group", "_size", "_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +214,18 @@ def _left_out(texts: DataFrame, grouped: DataFrame, shingle: int, similarity: fl
 
     met = rows.repartition("_shingle").sortWithinPartitions("_shingle", "_group").mapInArrow(released(run), "a long, b long")
     keys = checkpoint(met.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).distinct())
-    of = lambda c: named.join(own, "_key").select(F.col("_key").alias(f"_{c}"), F.col("_node").alias(c), F.col("_size").alias(f"_size_{c}"), F.col("_parity").alias(f"_parity_{c}"))
+    asked = checkpoint(keys.select(F.col("_a").alias("_key")).unionByName(keys.select(F.col("_b").alias("_key"))).distinct().join(named.select("_key", "_node"), "_key"))
+    told = checkpoint(rows_.select("_node", "_hash").join(asked, "_node").groupBy("_key", "_node").agg(F.min("_hash").alias("_hash")))
+    told = F.broadcast(told) if told.count() <= FEW else told
+
+    def parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in slices(batches, 2, BATCH_BYTES):
+            sets = [np.unique(shingle_hashes(x.encode(), shingle)) for x in some.column(2).to_pylist()]
+            yield pa.record_batch([*some.columns[:2], pa.array([len(x) for x in sets], pa.int32()), pa.array([parity(x) for x in sets], pa.binary())], ["_key", "_node", "_size", "_parity"])
+
+    hashed = texts.select(F.xxhash64("_text").alias("_hash"), "_text").join(told, "_hash").select("_key", "_node", "_text")
+    bits = checkpoint(hashed.mapInArrow(released(parities), "_key long, _node string, _size int, _parity binary").groupBy("_key", "_node").agg(F.first("_size").alias("_size"), F.first("_parity").alias("_parity")))
+    of = lambda c: bits.select(F.col("_key").alias(f"_{c}"), F.col("_node").alias(c), F.col("_size").alias(f"_size_{c}"), F.col("_parity").alias(f"_parity_{c}"))
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in batches:
@@ -274,7 +285,7 @@ def near_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     linked = checkpoint(_fine(df, rows, pairs, text_col, shingle, similarity).unionByName(shared))
     known = nodes.select("_node").join(connected_components(linked).withColumnRenamed("node", "_node"), "_node", "left")
     grouped = checkpoint(known.select("_node", F.coalesce("component", "_node").alias("_group")))
-    more = checkpoint(_left_out(df.select(text_of(text_col).alias("_text")), grouped, shingle, similarity))
+    more = checkpoint(_left_out(df.select(text_of(text_col).alias("_text")), rows, grouped, shingle, similarity))
     found = checkpoint(connected_components(linked.unionByName(_fine(df, rows, more, text_col, shingle, similarity)))).withColumnRenamed("node", "_node")
     labelled = rows.select("_id", "_hash", "_node").join(found, "_node", "left").select("_id", "_hash", F.coalesce("component", "_node").alias("_component"))
     least = labelled.groupBy("_component").agg(F.min("_id").alias("component_id"))
