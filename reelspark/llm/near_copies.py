@@ -41,8 +41,8 @@ MOST_BITS = 22
 COUNTED, COMMON, MOST_COMMON = 16, 4, 1 << 17
 #: Nodes to compare that are sent to all tasks at most.
 FEW = 200_000
-#: Candidates by prefixes are compared by so many bits before their sets are.
-PARITY_BITS = 2048
+#: Candidates by prefixes are compared by so many bits at least before their sets are.
+PARITY_BITS = 256
 _FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -105,13 +105,18 @@ def _sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
     return df.select(df[id_col].alias("_id"), F.xxhash64(text_of(text_col)).alias("_hash"), text_of(text_col).alias("_text")).mapInArrow(released(run), f"_id {kind}, _hash long, _node string, _print long, _bands array<long>")
 
 
+def _key(node: str) -> Column:
+    """The hash of a node's set."""
+    return F.conv(F.substring(node, 17, 16), 16, -10).cast("long")
+
+
 def _bit(column: Column, i: int) -> Column:
     return F.shiftrightunsigned(column, i).bitwiseAND(F.lit(1))
 
 
 def _met(nodes: DataFrame) -> DataFrame:
     """Candidates (a, b) out of the buckets of nodes (_node, _print, _bands)."""
-    rows = checkpoint(nodes.select("_node", "_print", F.explode("_bands").alias("_band")))
+    rows = nodes.select("_node", "_print", F.explode("_bands").alias("_band"))
     large = checkpoint(rows.groupBy("_band").agg(F.count("*").alias("_n")).filter(F.col("_n") > SPLIT))
     dealt = rows.join(large, "_band", "left").withColumn("_salt", F.pmod(F.xxhash64("_node"), F.coalesce(F.ceil(F.col("_n") / SPLIT), F.lit(1)).cast("long")))
 
@@ -150,29 +155,141 @@ def prefix(shingles: np.ndarray, common: np.ndarray, counts: np.ndarray, similar
 
 
 def parity(shingles: np.ndarray) -> bytes:
-    """PARITY_BITS bits, each the parity of how many shingles fall to it: those of two sets differ in no more bits than the sets in shingles."""
-    at = (mixed(shingles ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(PARITY_BITS)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=PARITY_BITS) & 1).astype(np.uint8)).tobytes()
+    """Two bits or more for each shingle, a power of two in all: the parity of how many shingles fall to a bit. Those of two sets differ in no more bits than the sets in shingles.
 
+    Halves laid over each other give the parities of half as many bits.
+    """
+    bits = max(PARITY_BITS, 1 << (2 * len(shingles) - 1).bit_length())
+    at = (mixed(shingles ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+class Parities:
+    """parity() of rows, by their length."""
+
+    def __init__(self, told: list[bytes]):
+        self.lengths = np.fromiter(map(len, told), np.int64, len(told))
+        self.place = np.zeros(len(told), np.int64)
+        self.held = {}
+        for n in np.unique(self.lengths).tolist():
+            own = np.flatnonzero(self.lengths == n)
+            self.place[own] = np.arange(len(own))
+            self.held[n] = np.frombuffer(b"".join([told[i] for i in own]), np.uint64).reshape(len(own), -1)
+
+    def _cut(self, rows: np.ndarray, length: int) -> np.ndarray:
+        out = np.zeros((len(rows), length // 8), np.uint64)
+        for n in np.unique(self.lengths[rows]).tolist():
+            own = self.lengths[rows] == n
+            bits = self.held[n][self.place[rows[own]]]
+            while bits.shape[1] > out.shape[1]:
+                bits = bits[:, : bits.shape[1] // 2] ^ bits[:, bits.shape[1] // 2 :]
+            out[own] = bits
+        return out
+
+    def apart(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """In how many bits the rows of each pair differ, at the shorter of their lengths."""
+        lengths = np.minimum(self.lengths[one], self.lengths[two])
+        out = np.zeros(len(one), np.int64)
+        for n in np.unique(lengths).tolist():
+            own = np.flatnonzero(lengths == n)
+            step = max(1, (1 << 23) // n)
+            for i in range(0, len(own), step):
+                some = own[i : i + step]
+                out[some] = np.bitwise_count(self._cut(one[some], n) ^ self._cut(two[some], n)).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def meetings(shingles: np.ndarray, groups_: np.ndarray, sizes: np.ndarray, parities: list[bytes], similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of rows, sorted by shingle and group, that have a shingle but no group in common, and sizes and parities near enough."""
+    told = Parities(parities)
+
+    def fine(met: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        a, b = (np.concatenate(x) for x in zip(*met))
+        near = told.apart(a, b) <= (1 - similarity) / (1 + similarity) * (sizes[a].astype(np.int64) + sizes[b]) + 1e-6
+        return a[near], b[near]
 
-def meetings(shingles: np.ndarray, groups_: np.ndarray, sizes: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of rows, sorted by shingle and group, that have a shingle but no group in common and sizes near enough."""
     cuts = np.flatnonzero(np.diff(shingles, prepend=~shingles[:1], append=~shingles[-1:]))
     several = np.flatnonzero((np.diff(cuts) > 1) & (groups_[cuts[:-1]] != groups_[cuts[1:] - 1]))
+    held, n = [], 0
     for k in several:
         start, stop = cuts[k], cuts[k + 1]
-        step = max(1, (1 << 20) // int(stop - start))
+        step = max(1, (1 << 18) // int(stop - start))
         for i in range(start, stop, step):
             own, rest = slice(i, min(i + step, stop)), slice(i, stop)
             one, two = sizes[own, None], sizes[None, rest]
-            met = (groups_[own, None] != groups_[None, rest]) & (np.minimum(one, two) >= similarity * np.maximum(one, two) - 1e-6)
-            a, b = np.nonzero(met)
-            yield a[a < b] + i, b[a < b] + i
-
+            a, b = np.nonzero((groups_[own, None] != groups_[None, rest]) & (np.minimum(one, two) >= similarity * np.maximum(one, two) - 1e-6))
+            held.append((a[a < b] + i, b[a < b] + i))
+            n += len(held[-1][0])
+            if n >= 1 << 16:
+                yield fine(held)
+                held, n = [], 0
+    if held:
+        yield fine(held)
+
+
+def _packed(parts: int):
+    """An Arrow function: rows (key, group, prefix) to (part, shingles, keys, groups), what falls to one of the parts packed; no groups where those are the keys."""
+
+    def packs(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        firsts, keys, groups_ = (np.concatenate(x) for x in zip(*held))
+        part, rest = (firsts % np.uint64(parts)).astype(np.int32), (firsts // np.uint64(parts)).astype(np.uint32)
+        for lone in (True, False):
+            own = np.flatnonzero((keys == groups_) == lone)
+            own = own[np.argsort(part[own], kind="stable")]
+            cuts = np.flatnonzero(np.diff(part[own], prepend=-1, append=-1)) if len(own) else np.zeros(1, np.int64)
+            spans = [own[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+            columns = [[x[i].tobytes() for i in spans] for x in (rest, keys)] + [[b"" if lone else groups_[i].tobytes() for i in spans]]
+            yield pa.record_batch([pa.array([part[i[0]] for i in spans], pa.int32()), *[pa.array(x, pa.binary()) for x in columns]], ["_part", "_rests", "_keys", "_groups"])
 
-def _left_out(texts: DataFrame, rows_: DataFrame, grouped: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Candidates (a, b), nodes of different groups of grouped (_node, _group), out of the prefixes of texts (_text); rows_: of _sketches()."""
-    schema = "_key long, _size int, _prefix array<long>"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            told = batch.column(2).to_pylist()
+            counts = np.fromiter(map(len, told), np.int64, len(told)) // 8
+            held.append((np.frombuffer(b"".join(told), np.uint64), np.repeat(batch.column(0).to_numpy(), counts), np.repeat(batch.column(1).to_numpy(), counts)))
+            n += len(held[-1][0])
+            if n >= 1 << 20:
+                yield from packs(held)
+                held, n = [], 0
+        if n:
+            yield from packs(held)
+
+    return run
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle, key) of packed rows, sorted by part, of the shingles that several groups have."""
+
+    def told(part: int, held: list[tuple[bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        rest = np.frombuffer(b"".join(x for x, _, _ in held), np.uint32)
+        keys = np.frombuffer(b"".join(x for _, x, _ in held), np.int64)
+        groups_ = np.frombuffer(b"".join(x or y for _, y, x in held), np.int64)
+        order = np.lexsort((groups_, rest))
+        rest, keys, groups_ = rest[order], keys[order], groups_[order]
+        cuts = np.flatnonzero(np.diff(rest.astype(np.int64), prepend=-1, append=-1))
+        several = np.flatnonzero(np.repeat(groups_[cuts[:-1]] != groups_[cuts[1:] - 1], np.diff(cuts)))
+        for i in range(0, len(several), 1 << 16):
+            own = several[i : i + (1 << 16)]
+            yield pa.record_batch([pa.array(rest[own].astype(np.int64) + (part << 32)), pa.array(keys[own])], ["_shingle", "_key"])
+
+    part, held = None, []
+    for batch in batches:
+        for at, *packs in zip(*(c.to_pylist() for c in batch.columns)):
+            if at != part and held:
+                yield from told(part, held)
+                held = []
+            part = at
+            held.append(tuple(packs))
+    if held:
+        yield from told(part, held)
+
+
+def _left_out(texts: DataFrame, grouped: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Candidates (a, b), nodes of different groups of grouped (_node, _group), out of the prefixes of texts (_text).
+
+    Prefixes go out packed, to find the shingles that several groups have; only the rows
+    under those take their parities along, and only pairs near enough by them come out.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in slices(batches, 0, BATCH_BYTES):
@@ -189,53 +306,40 @@ def _left_out(texts: DataFrame, rows_: DataFrame, grouped: DataFrame, shingle: i
         for some in slices(batches, 0, BATCH_BYTES):
             sets = [np.unique(shingle_hashes(x.encode(), shingle)) for x in some.column(0).to_pylist()]
             sets = [x for x in sets if len(x)]
-            told = [prefix(x, common, counts, similarity).view(np.int64) for x in sets]
+            told = [prefix(x, common, counts, similarity).tobytes() for x in sets]
             keys = pa.array(np.array([set_hash(x) for x in sets], np.uint64).view(np.int64))
-            yield pa.record_batch([keys, pa.array([len(x) for x in sets], pa.int32()), pa.array(told, pa.list_(pa.int64()))], ["_key", "_size", "_prefix"])
+            yield pa.record_batch([keys, pa.array([len(x) for x in sets], pa.int32()), pa.array([parity(x) for x in sets], pa.binary()), pa.array(told, pa.binary())], ["_key", "_size", "_parity", "_prefix"])
 
-    named = grouped.select("_node", F.xxhash64("_group").alias("_group"), F.conv(F.substring("_node", 17, 16), 16, -10).cast("long").alias("_key"))
-    own = texts.mapInArrow(released(firsts), schema).groupBy("_key").agg(F.first("_size").alias("_size"), F.first("_prefix").alias("_prefix"))
-    rows = own.join(named.groupBy("_key").agg(F.min("_group").alias("_group")), "_key").select(F.explode("_prefix").alias("_shingle"), "_group", "_size", "_key")
+    # a group has the key of its least node; nodes of one key are of one group
+    named = grouped.groupBy(_key("_node").alias("_key")).agg(F.min("_node").alias("_node"), F.min(_key("_group")).alias("_group"))
+    own = texts.mapInArrow(released(firsts), "_key long, _size int, _parity binary, _prefix binary").groupBy("_key").agg(*[F.first(c).alias(c) for c in ("_size", "_parity", "_prefix")])
+    rows = own.join(named.select("_key", "_group"), "_key")
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = rows.select("_key", "_group", "_prefix").mapInArrow(released(_packed(parts)), "_part int, _rests binary, _keys binary, _groups binary")
+    shared = packed.repartition("_part").sortWithinPartitions("_part").mapInArrow(released(_shared), "_shingle long, _key long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        def told(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            columns = [rows.column(i).to_numpy() for i in range(4)]
             if len(columns[0]):
-                for a, b in meetings(columns[0], columns[1], columns[2], similarity):
+                for a, b in meetings(*columns[:3], rows.column(4).to_pylist(), similarity):
                     yield pa.record_batch([pa.array(columns[3][a]), pa.array(columns[3][b])], ["a", "b"])
 
-        held = [np.zeros(0, np.int64)] * 4
+        held = []
         for batch in batches:
             if batch.num_rows:
-                columns = [np.concatenate(x) for x in zip(held, [c.to_numpy() for c in batch.columns])]
-                cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last shingle may go on in the next batch
-                held = [c[cut:] for c in columns]
-                yield from told([c[:cut] for c in columns])
-        yield from told(held)
-
-    met = rows.repartition("_shingle").sortWithinPartitions("_shingle", "_group").mapInArrow(released(run), "a long, b long")
+                cut = int(np.searchsorted(batch.column(0).to_numpy(), batch.column(0)[-1].as_py()))  # the last shingle may go on in the next batch
+                if cut or held and held[0].column(0)[-1].as_py() != batch.column(0)[0].as_py():
+                    yield from told(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                    held = []
+                held.append(batch.slice(cut))
+        if held:
+            yield from told(pa.Table.from_batches(held))
+
+    met = shared.join(rows.drop("_prefix"), "_key").select("_shingle", "_group", "_size", "_key", "_parity").repartition("_shingle").sortWithinPartitions("_shingle", "_group").mapInArrow(released(run), "a long, b long")
     keys = checkpoint(met.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).distinct())
-    asked = checkpoint(keys.select(F.col("_a").alias("_key")).unionByName(keys.select(F.col("_b").alias("_key"))).distinct().join(named.select("_key", "_node"), "_key"))
-    told = checkpoint(rows_.select("_node", "_hash").join(asked, "_node").groupBy("_key", "_node").agg(F.min("_hash").alias("_hash")))
-    told = F.broadcast(told) if told.count() <= FEW else told
-
-    def parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some in slices(batches, 2, BATCH_BYTES):
-            sets = [np.unique(shingle_hashes(x.encode(), shingle)) for x in some.column(2).to_pylist()]
-            yield pa.record_batch([*some.columns[:2], pa.array([len(x) for x in sets], pa.int32()), pa.array([parity(x) for x in sets], pa.binary())], ["_key", "_node", "_size", "_parity"])
-
-    hashed = texts.select(F.xxhash64("_text").alias("_hash"), "_text").join(told, "_hash").select("_key", "_node", "_text")
-    bits = checkpoint(hashed.mapInArrow(released(parities), "_key long, _node string, _size int, _parity binary").groupBy("_key", "_node").agg(F.first("_size").alias("_size"), F.first("_parity").alias("_parity")))
-    of = lambda c: bits.select(F.col("_key").alias(f"_{c}"), F.col("_node").alias(c), F.col("_size").alias(f"_size_{c}"), F.col("_parity").alias(f"_parity_{c}"))
-
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some in batches:
-            if some.num_rows:
-                one, two = (np.frombuffer(b"".join(some.column(i).to_pylist()), np.uint64).reshape(some.num_rows, -1) for i in (3, 5))
-                both = some.column(2).to_numpy() + some.column(4).to_numpy()
-                fine = np.bitwise_count(one ^ two).sum(axis=1) <= (1 - similarity) / (1 + similarity) * both + 1e-6
-                yield pa.record_batch(some.columns[:2], ["a", "b"]).filter(pa.array(fine))
-
-    return keys.join(of("a"), "_a").join(of("b"), "_b").select("a", "b", "_size_a", "_parity_a", "_size_b", "_parity_b").mapInArrow(close, "a string, b string")
+    of = lambda c: named.select(F.col("_key").alias(f"_{c}"), F.col("_node").alias(c))
+    return keys.join(of("a"), "_a").join(of("b"), "_b").select("a", "b")
 
 
 def _fine(df: DataFrame, rows: DataFrame, pairs: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
@@ -282,10 +386,13 @@ def near_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     pairs = checkpoint(_met(nodes).unionByName(apart).unionByName(close).distinct())
     several = rows.filter("_id is not null").groupBy("_id").agg(F.min("_node").alias("_least"), F.max("_node").alias("_most")).filter("_least <> _most").select("_id", "_least")
     shared = rows.join(several, "_id").filter("_node <> _least").select(F.col("_least").alias("a"), F.col("_node").alias("b")).distinct()
-    linked = checkpoint(_fine(df, rows, pairs, text_col, shingle, similarity).unionByName(shared))
+    # nodes of one set, whose words repeat in other numbers
+    sets = nodes.groupBy(_key("_node").alias("_key")).agg(F.min("_node").alias("_least"), F.max("_node").alias("_most")).filter("_least <> _most").select("_key", "_least")
+    twins = nodes.join(sets, _key("_node") == F.col("_key")).filter("_node <> _least").select(F.col("_least").alias("a"), F.col("_node").alias("b"))
+    linked = checkpoint(_fine(df, rows, pairs, text_col, shingle, similarity).unionByName(shared).unionByName(twins))
     known = nodes.select("_node").join(connected_components(linked).withColumnRenamed("node", "_node"), "_node", "left")
     grouped = checkpoint(known.select("_node", F.coalesce("component", "_node").alias("_group")))
-    more = checkpoint(_left_out(df.select(text_of(text_col).alias("_text")), rows, grouped, shingle, similarity))
+    more = checkpoint(_left_out(df.select(text_of(text_col).alias("_text")), grouped, shingle, similarity))
     found = checkpoint(connected_components(linked.unionByName(_fine(df, rows, more, text_col, shingle, similarity)))).withColumnRenamed("node", "_node")
     labelled = rows.select("_id", "_hash", "_node").join(found, "_node", "left").select("_id", "_hash", F.coalesce("component", "_node").alias("_component"))
     least = labelled.groupBy("_component").agg(F.min("_id").alias("component_id"))

@@ -108,3 +108,45 @@ def test_pairs_that_buckets_and_trees_leave_out(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "_met", lambda nodes: nodes.select(nodes["_node"].alias("a"), nodes["_node"].alias("b")).limit(0))
     found = {r._id: r.component_id for r in near_copies.near_copies(df).collect()}
     assert [found[i] for i in range(len(texts))] == group and len(set(group)) < len(texts) - 50
+
+
+def test_a_crowd_under_one_shingle_gives_no_rows_for_its_pairs(spark, monkeypatch):
+    """Texts that share a first shingle but little else are told apart where they meet: nothing that is written grows with their square."""
+    rng = random.Random(3)
+    texts = [" ".join([*"a passage of six words here".split(), *(f"w{rng.randrange(10**6)}" for _ in range(20))]) for _ in range(300)]
+    edited_one = texts[0].split()
+    edited_one[-1] = "else"
+    df = spark.createDataFrame(list(enumerate([*texts, " ".join(edited_one)])), "doc_id long, text string")
+    sizes, write = [], near_copies.checkpoint
+
+    def counted(frame):
+        out = write(frame)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_copies, "checkpoint", counted)
+    monkeypatch.setattr(near_copies, "prefix", lambda shingles, *_: shingles)  # so that all of them meet
+    monkeypatch.setattr(near_copies, "_met", lambda nodes: nodes.select(nodes["_node"].alias("a"), nodes["_node"].alias("b")).limit(0))
+    found = {r._id: r.component_id for r in near_copies.near_copies(df).collect()}
+    assert found == {i: i for i in range(300)} | {300: 0}
+    assert max(sizes) <= 10 * len(texts)
+
+
+def test_sets_of_repeated_words_are_one(spark, monkeypatch):
+    """Two texts of one set whose fingerprints differ are linked, and each links to what is near the set."""
+    tail = "b c d e f g h i j k l m n o p q r s t u v w".split()
+    rows = [(1, " ".join(["x"] * 6 + tail)), (2, " ".join(["x"] * 400 + tail)), (3, " ".join(["x"] * 6 + tail + ["y"])), (4, "something else that is near none of them at all")]
+    monkeypatch.setattr(near_copies, "_met", lambda nodes: nodes.select(nodes["_node"].alias("a"), nodes["_node"].alias("b")).limit(0))
+    found = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r._id: r.component_id for r in found} == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_parities_of_any_length_tell_no_more_than_what_differs():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (1, 5, 120, 130, 200, 1000, 1100)]
+    sets += [np.unique(np.concatenate([s[len(s) // 10 :], rng.integers(0, 2**63, 3, dtype=np.uint64)])) for s in sets]
+    told = near_copies.Parities([near_copies.parity(s) for s in sets])
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    real = np.array([len(np.setxor1d(sets[i], sets[j])) for i, j in zip(a, b)])
+    apart = told.apart(a, b)
+    assert (apart <= real).all() and (apart[real == 0] == 0).all() and (apart[(real > 0) & (real < 20)] > 0).all()
