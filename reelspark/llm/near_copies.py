@@ -30,6 +30,7 @@ from reelspark.llm.common import checkpoint, released, slices, text_of
 from reelspark.llm.hashing import mixed
 from reelspark.llm.simhash import BATCH_BYTES, groups, links, print_of, shingle_hashes
 from reelspark.operators.components import connected_components
+from reelspark.operators.lineage import swept
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 10, 4
@@ -42,7 +43,7 @@ COUNTED, COMMON, MOST_COMMON = 16, 4, 1 << 17
 #: Nodes to compare that are sent to all tasks at most.
 FEW = 200_000
 #: Candidates by prefixes are compared by so many bits at least before their sets are.
-PARITY_BITS = 256
+PARITY_BITS = 512
 _FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -117,7 +118,7 @@ def _bit(column: Column, i: int) -> Column:
 def _met(nodes: DataFrame) -> DataFrame:
     """Candidates (a, b) out of the buckets of nodes (_node, _print, _bands)."""
     rows = nodes.select("_node", "_print", F.explode("_bands").alias("_band"))
-    large = checkpoint(rows.groupBy("_band").agg(F.count("*").alias("_n")).filter(F.col("_n") > SPLIT))
+    large = F.broadcast(checkpoint(rows.groupBy("_band").agg(F.count("*").alias("_n")).filter(F.col("_n") > SPLIT)))  # BANDS of SPLIT nodes at most
     dealt = rows.join(large, "_band", "left").withColumn("_salt", F.pmod(F.xxhash64("_node"), F.coalesce(F.ceil(F.col("_n") / SPLIT), F.lit(1)).cast("long")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,8 +137,8 @@ def _met(nodes: DataFrame) -> DataFrame:
     for i in range(64):
         middle = middle.bitwiseOR(F.when(F.col(f"_b{i}") > 0, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
     away = F.bit_count(F.col("_print").bitwiseXOR(F.col("_middle")))
-    centres = checkpoint(hot.join(checkpoint(sums.select("_band", middle.alias("_middle"))), "_band").groupBy("_band").agg(F.min(F.struct(away.alias("away"), F.col("_node").alias("node"))).alias("_centre")))
-    spokes = hot.join(centres, "_band").select(F.least("_node", "_centre.node").alias("a"), F.greatest("_node", "_centre.node").alias("b")).filter("a <> b")
+    centres = checkpoint(hot.join(F.broadcast(checkpoint(sums.select("_band", middle.alias("_middle")))), "_band").groupBy("_band").agg(F.min(F.struct(away.alias("away"), F.col("_node").alias("node"))).alias("_centre")))
+    spokes = hot.join(F.broadcast(centres), "_band").select(F.least("_node", "_centre.node").alias("a"), F.greatest("_node", "_centre.node").alias("b")).filter("a <> b")
     return own.unionByName(spokes).distinct()
 
 
@@ -155,11 +156,11 @@ def prefix(shingles: np.ndarray, common: np.ndarray, counts: np.ndarray, similar
 
 
 def parity(shingles: np.ndarray) -> bytes:
-    """Two bits or more for each shingle, a power of two in all: the parity of how many shingles fall to a bit. Those of two sets differ in no more bits than the sets in shingles.
+    """A bit or more for every two shingles, a power of two in all: the parity of how many shingles fall to it. Those of two sets differ in no more bits than the sets in shingles.
 
     Halves laid over each other give the parities of half as many bits.
     """
-    bits = max(PARITY_BITS, 1 << (2 * len(shingles) - 1).bit_length())
+    bits = max(PARITY_BITS, 1 << ((len(shingles) - 1) // 2).bit_length())
     at = (mixed(shingles ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(bits)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
@@ -227,26 +228,31 @@ def meetings(shingles: np.ndarray, groups_: np.ndarray, sizes: np.ndarray, parit
         yield fine(held)
 
 
-def _packed(parts: int):
-    """An Arrow function: rows (key, group, prefix) to (part, shingles, keys, groups), what falls to one of the parts packed; no groups where those are the keys."""
+def _packed(parts: int, similarity: float):
+    """An Arrow function: rows (key, group, size, prefix) to (part, shingles, keys, classes, groups), what falls to one of the parts packed; no groups where those are the keys.
+
+    Sets that may be similar are of one class of sizes or of neighbouring ones.
+    """
+    ratio = -np.log(min(max(similarity, 0.01), 0.99))
 
     def packs(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        firsts, keys, groups_ = (np.concatenate(x) for x in zip(*held))
+        firsts, keys, groups_, classes = (np.concatenate(x) for x in zip(*held))
         part, rest = (firsts % np.uint64(parts)).astype(np.int32), (firsts // np.uint64(parts)).astype(np.uint32)
         for lone in (True, False):
             own = np.flatnonzero((keys == groups_) == lone)
             own = own[np.argsort(part[own], kind="stable")]
             cuts = np.flatnonzero(np.diff(part[own], prepend=-1, append=-1)) if len(own) else np.zeros(1, np.int64)
             spans = [own[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-            columns = [[x[i].tobytes() for i in spans] for x in (rest, keys)] + [[b"" if lone else groups_[i].tobytes() for i in spans]]
-            yield pa.record_batch([pa.array([part[i[0]] for i in spans], pa.int32()), *[pa.array(x, pa.binary()) for x in columns]], ["_part", "_rests", "_keys", "_groups"])
+            columns = [[x[i].tobytes() for i in spans] for x in (rest, keys, classes)] + [[b"" if lone else groups_[i].tobytes() for i in spans]]
+            yield pa.record_batch([pa.array([part[i[0]] for i in spans], pa.int32()), *[pa.array(x, pa.binary()) for x in columns]], ["_part", "_rests", "_keys", "_classes", "_groups"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            told = batch.column(2).to_pylist()
+            told = batch.column(3).to_pylist()
             counts = np.fromiter(map(len, told), np.int64, len(told)) // 8
-            held.append((np.frombuffer(b"".join(told), np.uint64), np.repeat(batch.column(0).to_numpy(), counts), np.repeat(batch.column(1).to_numpy(), counts)))
+            classes = np.minimum(np.log(batch.column(2).to_numpy()) / ratio, 255).astype(np.uint8)
+            held.append((np.frombuffer(b"".join(told), np.uint64), *(np.repeat(x, counts) for x in (batch.column(0).to_numpy(), batch.column(1).to_numpy(), classes))))
             n += len(held[-1][0])
             if n >= 1 << 20:
                 yield from packs(held)
@@ -258,16 +264,23 @@ def _packed(parts: int):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shingle, key) of packed rows, sorted by part, of the shingles that several groups have."""
-
-    def told(part: int, held: list[tuple[bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-        rest = np.frombuffer(b"".join(x for x, _, _ in held), np.uint32)
-        keys = np.frombuffer(b"".join(x for _, x, _ in held), np.int64)
-        groups_ = np.frombuffer(b"".join(x or y for _, y, x in held), np.int64)
-        order = np.lexsort((groups_, rest))
-        rest, keys, groups_ = rest[order], keys[order], groups_[order]
-        cuts = np.flatnonzero(np.diff(rest.astype(np.int64), prepend=-1, append=-1))
-        several = np.flatnonzero(np.repeat(groups_[cuts[:-1]] != groups_[cuts[1:] - 1], np.diff(cuts)))
+    """(shingle, key) of packed rows, sorted by part, where another group has the shingle in a set of about the size."""
+
+    def told(part: int, held: list[tuple[bytes, ...]]) -> Iterator[pa.RecordBatch]:
+        rest = np.frombuffer(b"".join(x[0] for x in held), np.uint32)
+        keys = np.frombuffer(b"".join(x[1] for x in held), np.int64)
+        groups_ = np.frombuffer(b"".join(x[3] or x[1] for x in held), np.int64)
+        told = (rest.astype(np.int64) << 8) | np.frombuffer(b"".join(x[2] for x in held), np.uint8)
+        order = np.lexsort((groups_, told))
+        rest, keys, groups_, told = rest[order], keys[order], groups_[order], told[order]
+        cuts = np.flatnonzero(np.diff(told, prepend=-1, append=-1))
+        # of each run of a shingle and a class, and of the next ones if they are neighbours: the least and the greatest group
+        least, most, run = groups_[cuts[:-1]], groups_[cuts[1:] - 1], told[cuts[:-1]]
+        joins = (np.diff(run) == 1) & (run[1:] >> 8 == run[:-1] >> 8)
+        low, high = least.copy(), most.copy()
+        low[1:], high[1:] = np.where(joins, np.minimum(low[1:], least[:-1]), low[1:]), np.where(joins, np.maximum(high[1:], most[:-1]), high[1:])
+        low[:-1], high[:-1] = np.where(joins, np.minimum(low[:-1], least[1:]), low[:-1]), np.where(joins, np.maximum(high[:-1], most[1:]), high[:-1])
+        several = np.flatnonzero(np.repeat(low != high, np.diff(cuts)))
         for i in range(0, len(several), 1 << 16):
             own = several[i : i + (1 << 16)]
             yield pa.record_batch([pa.array(rest[own].astype(np.int64) + (part << 32)), pa.array(keys[own])], ["_shingle", "_key"])
@@ -315,7 +328,7 @@ def _left_out(texts: DataFrame, grouped: DataFrame, shingle: int, similarity: fl
     own = texts.mapInArrow(released(firsts), "_key long, _size int, _parity binary, _prefix binary").groupBy("_key").agg(*[F.first(c).alias(c) for c in ("_size", "_parity", "_prefix")])
     rows = own.join(named.select("_key", "_group"), "_key")
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = rows.select("_key", "_group", "_prefix").mapInArrow(released(_packed(parts)), "_part int, _rests binary, _keys binary, _groups binary")
+    packed = rows.select("_key", "_group", "_size", "_prefix").mapInArrow(released(_packed(parts, similarity)), "_part int, _rests binary, _keys binary, _classes binary, _groups binary")
     shared = packed.repartition("_part").sortWithinPartitions("_part").mapInArrow(released(_shared), "_shingle long, _key long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,10 +402,13 @@ def near_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     # nodes of one set, whose words repeat in other numbers
     sets = nodes.groupBy(_key("_node").alias("_key")).agg(F.min("_node").alias("_least"), F.max("_node").alias("_most")).filter("_least <> _most").select("_key", "_least")
     twins = nodes.join(sets, _key("_node") == F.col("_key")).filter("_node <> _least").select(F.col("_least").alias("a"), F.col("_node").alias("b"))
+    swept(df.sparkSession)
     linked = checkpoint(_fine(df, rows, pairs, text_col, shingle, similarity).unionByName(shared).unionByName(twins))
     known = nodes.select("_node").join(connected_components(linked).withColumnRenamed("node", "_node"), "_node", "left")
     grouped = checkpoint(known.select("_node", F.coalesce("component", "_node").alias("_group")))
+    swept(df.sparkSession)
     more = checkpoint(_left_out(df.select(text_of(text_col).alias("_text")), grouped, shingle, similarity))
+    swept(df.sparkSession)
     found = checkpoint(connected_components(linked.unionByName(_fine(df, rows, more, text_col, shingle, similarity)))).withColumnRenamed("node", "_node")
     labelled = rows.select("_id", "_hash", "_node").join(found, "_node", "left").select("_id", "_hash", F.coalesce("component", "_node").alias("_component"))
     least = labelled.groupBy("_component").agg(F.min("_id").alias("component_id"))

@@ -26,6 +26,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def swept(spark: SparkSession) -> None:
+    """Asks the driver to collect what nothing refers to any more, as the files of its shuffles go only then."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Removes a folder that nothing reads any more, on whatever file system it is."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
