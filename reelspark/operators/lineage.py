@@ -26,6 +26,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df's rows dealt out to tasks on all cores, for work that is long for short rows: of a file, a task reads whole row groups, and there may be one only."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def swept(spark: SparkSession) -> None:
     """Asks the driver to collect what nothing refers to any more, as the files of its shuffles go only then."""
     spark.sparkContext._jvm.System.gc()

@@ -16,7 +16,7 @@ from reelspark.functions import fixed_values as V
 from reelspark.functions import parsing, perceptual, relevance
 from reelspark.functions.taxonomy import KITCHEN, WAREHOUSE
 from reelspark.operators import files, labelling, manifest, near_duplicates, report, seen, validation
-from reelspark.operators.lineage import checkpoint, discard, folder
+from reelspark.operators.lineage import checkpoint, discard, folder, spread
 from reelspark.plans import discovery
 from reelspark.sources import fixtures, records, shards, snapshot
 
@@ -294,7 +294,8 @@ def _sql_checked(relaxed: bool) -> str:
 
 def _checked(spark, sf_dir, relaxed: bool) -> DataFrame:
     raw = F.to_json(F.struct(*[v.alias(k) for k, v in _record_columns().items()]))
-    return validation.checked(_table(spark, sf_dir, "events").select(F.col("event_id").alias("ord"), raw.alias("raw")), WAREHOUSE, relaxed=relaxed)
+    events = spread(_table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "value"))
+    return validation.checked(events.select(F.col("event_id").alias("ord"), raw.alias("raw")), WAREHOUSE, relaxed=relaxed)
 
 
 _SQL_ID = "'clip_' || sha1(source_url || '|' || start_ms || '|' || end_ms)[:16]"

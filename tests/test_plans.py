@@ -210,3 +210,13 @@ def test_curation_by_a_listing_into_shards(spark, tmp_path):
     assert [report["funnel"][k] for k in ("schema_valid", "file_present", "training_ready")] == [2, 1, 1] and report["reject_reasons"] == {"file_missing": 1, "near_duplicate": 0}
     data = manifest.ClipDataset(str(tmp_path / "out/manifest"))
     assert len(data) == 1 and data[0]["video_uri"] == f"{tmp_path}/files/a.mp4" and report["manifest_header"]["n_samples"] == 1
+
+
+def test_records_of_one_row_group_are_validated_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from reelspark.plans import registry
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    busy = registry._checked(spark, str(tmp_path), False).groupBy(F.spark_partition_id()).count().collect()
+    assert len(busy) >= spark.sparkContext.defaultParallelism
