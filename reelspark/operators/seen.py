@@ -3,8 +3,9 @@
 The index is a folder of bucketed tables which only grow: ids, signatures with their
 bands, links and rows. A batch drops clips whose stable id has been seen, meets the index
 by the bands of its new signatures, and appends what is new; the index itself is never
-shuffled or written anew. Winners come out of all rows, so that a later clip of better
-quality takes the place of an earlier one, as if all batches had been one.
+written anew, nor shuffled but for rows of crowded keys. Winners come out of all rows, so
+that a later clip of better quality takes the place of an earlier one, as if all batches
+had been one.
 
 A batch counts once its commit is there; what a failed attempt has appended belongs to no
 commit and is passed over. The folder may be on any file system, and is opened again by
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from reelspark.functions.perceptual import FRAMES, distance
 from reelspark.operators.components import connected_components
 from reelspark.operators.lineage import checkpoint
-from reelspark.operators.near_duplicates import PLAIN, around, banding, in_bands, in_pieces, links, pieces, winners
+from reelspark.operators.near_duplicates import PLAIN, around, banding, in_bands, in_pieces, links, links_to, pieces, winners
 
 #: Tables: their columns, and those that they are bucketed by.
 TABLES = {
@@ -37,7 +38,7 @@ class SeenClips:
     """The index in a folder. expected_rows, threshold and n (hashes of a signature) hold for its whole life, as buckets does."""
 
     def __init__(self, spark: SparkSession, path: str, *, expected_rows: float = 1e6, threshold: float = 8.0, n: int = FRAMES, buckets: int = 16):
-        self.spark, self.path, self.n, self.most_bits = spark, path.rstrip("/"), n, int(threshold * n)
+        self.spark, self.path, self.n, self.most_bits, self.buckets = spark, path.rstrip("/"), n, int(threshold * n), buckets
         self.pieces = pieces([(1 << 64) - 1] * n, self.most_bits) if expected_rows <= PLAIN else []
         if not self.pieces:
             self.bands, far, near = banding(expected_rows, 64 * n, self.most_bits)
@@ -82,34 +83,34 @@ class SeenClips:
         met = sigs.join(held, (sigs["key"] == held["key"]) & (sigs["sig"] == held["_sig"]), "left").select(sigs["key"], "sig", "own", "node")
         met = checkpoint(met)
         new = met.filter("node is null").select("key", "sig", F.col("own").alias("ord"))
-        own, near = self._met(new)
-        # of a crowd that is linked already, each new signature needs one
-        groups = connected_components(self.table("links")).withColumnRenamed("node", "b")
-        near = near.join(groups, "b", "left").groupBy("a", F.coalesce("component", "b").alias("group")).agg(F.min("b").alias("b")).select("a", "b")
-        found = links(checkpoint(new.select("ord", "sig")), self.most_bits, self.n).unionByName(near)
+        own = in_pieces(new, self.pieces, "ord", "sig") if self.pieces else in_bands(new, self.n, self.bands, "sig")
+        found = links(checkpoint(new.select("ord", "sig")), self.most_bits, self.n)
+        if self.commits():
+            near = self._met(own)
+            # of a crowd that is linked already, one link is enough
+            groups = connected_components(self.table("links"))
+            for end in ("a", "b"):
+                near = near.join(groups.select(F.col("node").alias(end), "component"), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+            found = found.unionByName(near.filter("a <> b").select("a", "b").distinct())
         rows = fresh.join(met.select("key", F.col("sig").alias("_sig"), F.coalesce("node", "own").alias("node")).withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & (F.col("sig") == F.col("_sig")))
         for table, df in (
             ("ids", fresh.select("clip_id")), ("nodes", new.select("key", "sig", F.col("ord").alias("node"))), ("bands", own.select("band", "value", F.col("ord").alias("node"), "sig")),
             ("links", found.select("a", "b")), ("clips", rows.select("ord", "clip_id", "node", F.col("quality").cast("double").alias("quality"))),
         ):
+            # else each task writes a file for each bucket; bands are many rows a signature, and are not shuffled for that
+            df = df.coalesce(self.buckets) if table == "bands" else df.repartition(self.buckets, *TABLES[table][1].split(", "))
             df.withColumn("attempt", F.lit(attempt)).write.mode("append").insertInto(self.names[table])
         where, store = self._file(f"{batch}={attempt}")
         store.create(where, False).close()
         return True
 
-    def _met(self, new: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows of the bands of new (ord, sig) rows, and the links (a, b) from new to held nodes that those find."""
+    def _met(self, own: DataFrame) -> DataFrame:
+        """Links (a, b) that connect new nodes with the held ones near them, from rows of the new nodes' bands."""
+        if self.pieces:
+            return links_to(own, self.table("bands"), self.most_bits, self.n)
         is_near = distance(F.col("_a"), F.col("sig"), self.n) <= self.most_bits
-        if not self.pieces:
-            own = in_bands(new, self.n, self.bands, "sig")
-            probes = around(own, self.n, self.bands, self.reach).select("band", "value", F.col("ord").alias("a"), F.col("sig").alias("_a"))
-            return own, probes.join(self.table("bands"), ["band", "value"]).filter(is_near).select("a", F.col("node").alias("b"))
-        own = in_pieces(new, self.pieces, "ord", "sig")
-        probes = own.select("band", "value", F.col("ord").alias("a"), F.col("sig").alias("_a"), F.get("sig", F.col("word")).alias("_hash"), "share")
-        word = F.get(F.array(*[F.lit(i) for i, *_ in self.pieces]), F.col("band"))
-        held = self.table("bands").withColumn("hash", F.get("sig", word))
-        share = F.bit_count(F.col("_hash").bitwiseXOR(F.col("hash"))) <= F.col("share")  # of the one hash first, which nearly all that meet by chance fail
-        return own, probes.join(held, ["band", "value"]).filter(share).filter(is_near).select("a", F.col("node").alias("b"))
+        probes = around(own, self.n, self.bands, self.reach).select("band", "value", F.col("ord").alias("a"), F.col("sig").alias("_a"))
+        return probes.join(self.table("bands"), ["band", "value"]).filter(is_near).select("a", F.col("node").alias("b"))
 
     def winners(self) -> DataFrame:
         """(ord, cluster, keep) of all clips that count, as of one batch with all of them."""
